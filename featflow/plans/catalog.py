@@ -10,14 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featflow.plans import monitoring, taxi
+from featflow.plans import monitoring, taxi, tracking
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-for _mod in (taxi, monitoring):
+for _mod in (taxi, monitoring, tracking):
     QUERIES.update(_mod.QUERIES)
     ORACLE_SQL.update(_mod.SQL)
 
