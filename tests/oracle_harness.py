@@ -82,8 +82,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
     res["status"] = "exact" if exact else ("close" if close else "MISMATCH")
     if not close:
         a, b = _rows(s_names, s_rows, 9), _rows(d_names, d_rows, 9)
-        diff_a = [r for r in a if r not in set(b)][:3]
-        diff_b = [r for r in b if r not in set(a)][:3]
+        sa, sb = set(a), set(b)
+        diff_a = [r for r in a if r not in sb][:3]
+        diff_b = [r for r in b if r not in sa][:3]
         res["spark_only"] = diff_a
         res["duck_only"] = diff_b
     return res
