@@ -105,7 +105,7 @@ def month_key(c: str | Column, dtype: DataType) -> Column:
 
 def parse_date(c: str | Column, fmt: str = "d/M/yyyy") -> Column:
     """Text to DATE with a pattern; unparseable text gives null instead of an error."""
-    return F.try_to_date(_col(c), F.lit(fmt))
+    return F.try_to_date(_col(c), fmt)
 
 
 def time_literal(value, dtype: DataType) -> Column:
