@@ -1,6 +1,7 @@
 """Column-level helpers; every function returns a native Spark ``Column``."""
 
 from featflow.functions.times import (  # noqa: F401
+    as_instant,
     epoch_micros,
     epoch_seconds,
     filter_df_by_ts,

@@ -61,6 +61,13 @@ def utc_wallclock(c: str | Column, dtype: DataType) -> Column:
     raise TypeError(f"expected a timestamp or date column, got {dtype.simpleString()}")
 
 
+def as_instant(c: str | Column, dtype: DataType) -> Column:
+    """The column as a ``TIMESTAMP`` instant (NTZ read as UTC); exact, zone-free."""
+    if isinstance(dtype, TimestampType):
+        return _col(c)
+    return F.timestamp_micros(epoch_micros(c, dtype))
+
+
 def epoch_seconds(c: str | Column, dtype: DataType) -> Column:
     """``unix_timestamp``: whole seconds since the epoch (floor), as BIGINT."""
     us = epoch_micros(c, dtype)

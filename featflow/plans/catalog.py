@@ -10,14 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featflow.plans import files, learning, monitoring, taxi, tracking
+from featflow.plans import files, learning, monitoring, streams, taxi, tracking
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-for _mod in (taxi, monitoring, tracking, learning, files):
+for _mod in (taxi, monitoring, tracking, learning, files, streams):
     QUERIES.update(_mod.QUERIES)
     ORACLE_SQL.update(_mod.SQL)
 

@@ -19,7 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- trips
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Taxi trips from ``events``: one trip per event."""
-    ev = table(spark, sf_dir, "events")
+    return trips_from_events(table(spark, sf_dir, "events"))
+
+
+def trips_from_events(ev: DataFrame) -> DataFrame:
+    """The trips projection of an events frame (batch or streaming)."""
     secs = F.lit(60) + F.pmod(F.col("event_id") * 37, F.lit(3600))
     return ev.select(
         F.col("event_id").alias("trip_id"),
