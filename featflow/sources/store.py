@@ -128,11 +128,36 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
         f"LOCATION {_lit(location)} COMMENT {_lit(description)} TBLPROPERTIES ({prop_sql})"
     )
     if df is not None:
-        check_keys(df, keys)
+        # Write once, then check the keys on the written (compact) table rather
+        # than evaluating the source plan a second time.
         _write_rows(spark, name, df.select(*names), parts, location, overwrite=False)
+        try:
+            check_keys(spark.table(name), keys)
+        except FeatureTableError:
+            drop_table(spark, name)
+            _delete_path(spark, location)
+            raise
     return get_table(spark, name)
 
 
+def _delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stage(spark: SparkSession, df: DataFrame, label: str = "batch") -> DataFrame:
+    """Materialise ``df`` once on shared storage and return a frame reading it.
+
+    Cuts lineage: later checks and the merge read the staged files instead of
+    re-running the (possibly expensive) plan, and a lost executor re-reads
+    them instead of recomputing from the raw input.
+    """
+    path = fresh_path(spark, "stage", label)
+    df.write.format("parquet").save(path)
+    return spark.read.format("parquet").load(path)
+
+
 def _write_rows(spark: SparkSession, name: str, df: DataFrame, parts: Sequence[str],
                 location: str, overwrite: bool) -> None:
     writer = df.write.format("parquet")
@@ -211,6 +236,7 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
     if extra:
         raise FeatureTableError(f"columns not in {name}: {extra}")
     keys, parts = list(t.primary_keys), list(t.partition_columns)
+    df = stage(spark, df, name.replace(".", "_"))
     check_keys(df, keys)
     if mode == "overwrite":
         missing = [c for c in table_cols if c not in df.columns]
@@ -240,9 +266,7 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
         merged = keep.unionByName(incoming)
         # Unpartitioned tables are rewritten whole; stage through a new folder
         # because Spark refuses to overwrite a path it is reading.
-        staged = fresh_path(spark, "stage", name.replace(".", "_"))
-        merged.write.format("parquet").save(staged)
-        spark.read.parquet(staged).write.format("parquet").mode("overwrite").save(t.path)
+        stage(spark, merged, "merged").write.format("parquet").mode("overwrite").save(t.path)
         spark.sql(f"REFRESH TABLE {_q(name)}")
         return
 
