@@ -26,6 +26,12 @@ from pyspark.sql import functions as F
 from featflow.sources.store import get_table
 
 
+# Broadcast the feature side of a lookup when the optimizer's size estimate of
+# its pruned scan is at most this many bytes; otherwise let AQE pick (sort-merge
+# join with skew splitting).  None leaves the choice to Spark alone.
+DEFAULT_BROADCAST_BYTES = 64 << 20
+
+
 class LookupError_(ValueError):
     """Invalid lookup spec (name clash, key arity, missing column)."""
 
@@ -56,7 +62,8 @@ class FeatureLookup:
 def size_estimate(df: DataFrame) -> int | None:
     """Optimizer's size estimate (bytes) of a plan, or None when unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
     except Exception:  # Spark Connect or a plan without stats
         return None
 
@@ -83,7 +90,7 @@ def _feature_side(spark: SparkSession, lookup: FeatureLookup, base: DataFrame) -
 
 
 def lookup_features(spark: SparkSession, base: DataFrame, lookup: FeatureLookup,
-                    broadcast_max_bytes: int | None = None) -> DataFrame:
+                    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Left-join the named features of one feature table onto ``base``."""
     clash = [f for f in lookup.feature_names if f in base.columns]
     if clash:
@@ -97,7 +104,7 @@ def lookup_features(spark: SparkSession, base: DataFrame, lookup: FeatureLookup,
 
 
 def apply_lookups(spark: SparkSession, base: DataFrame, lookups: Sequence[FeatureLookup],
-                  broadcast_max_bytes: int | None = None) -> DataFrame:
+                  broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Chain of left lookups; a feature name may appear only once overall."""
     seen: dict[str, str] = {}
     for lk in lookups:
@@ -116,7 +123,7 @@ class TrainingSet:
 
     def __init__(self, spark: SparkSession, df: DataFrame, feature_lookups: Sequence[FeatureLookup],
                  label: str | None, exclude_columns: Sequence[str] = (),
-                 broadcast_max_bytes: int | None = None):
+                 broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES):
         self.spark = spark
         self.df = df
         self.feature_lookups = tuple(feature_lookups)
@@ -147,5 +154,5 @@ class TrainingSet:
 def create_training_set(spark: SparkSession, df: DataFrame,
                         feature_lookups: Sequence[FeatureLookup], label: str | None,
                         exclude_columns: Sequence[str] = (),
-                        broadcast_max_bytes: int | None = None) -> TrainingSet:
+                        broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> TrainingSet:
     return TrainingSet(spark, df, feature_lookups, label, exclude_columns, broadcast_max_bytes)

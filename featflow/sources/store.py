@@ -168,9 +168,16 @@ def _write_rows(spark: SparkSession, name: str, df: DataFrame, parts: Sequence[s
     else:
         writer = writer.mode("append")
     writer.save(location)
-    if parts:
+    _register_files(spark, name, bool(parts))
+
+
+def _register_files(spark: SparkSession, name: str, partitioned: bool) -> None:
+    """Make the catalog see new files; refresh size statistics (file sizes only,
+    no scan) so the planner can size-check lookups against this table."""
+    if partitioned:
         spark.sql(f"ALTER TABLE {_q(name)} RECOVER PARTITIONS")
     spark.sql(f"REFRESH TABLE {_q(name)}")
+    spark.sql(f"ANALYZE TABLE {_q(name)} COMPUTE STATISTICS NOSCAN")
 
 
 def get_table(spark: SparkSession, name: str) -> FeatureTable:
@@ -246,9 +253,7 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
         if parts:
             writer = writer.partitionBy(*parts)
         writer.save(t.path)
-        if parts:
-            spark.sql(f"ALTER TABLE {_q(name)} RECOVER PARTITIONS")
-        spark.sql(f"REFRESH TABLE {_q(name)}")
+        _register_files(spark, name, bool(parts))
         return
     if mode != "merge":
         raise FeatureTableError("mode must be 'merge' or 'overwrite'")
@@ -267,7 +272,7 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
         # Unpartitioned tables are rewritten whole; stage through a new folder
         # because Spark refuses to overwrite a path it is reading.
         stage(spark, merged, "merged").write.format("parquet").mode("overwrite").save(t.path)
-        spark.sql(f"REFRESH TABLE {_q(name)}")
+        _register_files(spark, name, False)
         return
 
     # Distinct partition values of the batch: bounded by the table's partition
