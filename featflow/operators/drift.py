@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featflow.session import stage
+
 # Bins up to this count are counted with one ``count_if`` per bin in a single
 # aggregation; above it, a long (group, bin) aggregation is gathered per group.
 _WIDE_LIMIT = 64
@@ -159,8 +161,16 @@ def baseline_dist(hist: DataFrame, group_col: str, dist_col: str = "dist",
 
 
 def drift_report(hist: DataFrame, group_col: str, dist_col: str = "dist", baseline=None,
-                 metrics: Sequence[str] = tuple(METRICS)) -> DataFrame:
-    """Every group against the baseline: one column per metric (DOUBLE)."""
+                 metrics: Sequence[str] = tuple(METRICS), materialize: bool = True) -> DataFrame:
+    """Every group against the baseline: one column per metric (DOUBLE).
+
+    The histogram is read twice (baseline subquery and main plan), and Spark
+    does not share the exchange between them; ``materialize`` therefore writes
+    the group-level histogram (groups x bins, small) once to shared storage, so
+    the raw data is scanned and aggregated once.  This runs that job eagerly.
+    """
+    if materialize:
+        hist = stage(hist.sparkSession, hist.select(group_col, dist_col), "histogram")
     base = baseline_dist(hist, group_col, dist_col, baseline)
     with_base = hist.select(group_col, dist_col, base.alias("_base"))
     return with_base.select(

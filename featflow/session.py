@@ -59,3 +59,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     shared_root(spark)
     return spark
+
+
+def stage(spark: SparkSession, df, label: str = "batch"):
+    """Materialise ``df`` once on shared storage and return a frame reading it.
+
+    Cuts lineage: later readers (checks, subqueries, merges) read the staged
+    files instead of re-running the plan, and a lost executor re-reads them
+    instead of recomputing from the raw input.
+    """
+    path = fresh_path(spark, "stage", label)
+    df.write.format("parquet").save(path)
+    return spark.read.format("parquet").load(path)

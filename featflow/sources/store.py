@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from featflow.session import fresh_path, shared_root
+from featflow.session import fresh_path, shared_root, stage
 
 _P = "featflow."
 _KEYS = _P + "primary_keys"
@@ -146,18 +146,6 @@ def _delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def stage(spark: SparkSession, df: DataFrame, label: str = "batch") -> DataFrame:
-    """Materialise ``df`` once on shared storage and return a frame reading it.
-
-    Cuts lineage: later checks and the merge read the staged files instead of
-    re-running the (possibly expensive) plan, and a lost executor re-reads
-    them instead of recomputing from the raw input.
-    """
-    path = fresh_path(spark, "stage", label)
-    df.write.format("parquet").save(path)
-    return spark.read.format("parquet").load(path)
-
-
 def _write_rows(spark: SparkSession, name: str, df: DataFrame, parts: Sequence[str],
                 location: str, overwrite: bool) -> None:
     writer = df.write.format("parquet")
