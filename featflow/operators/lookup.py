@@ -16,6 +16,7 @@ optimizer's size estimate of the pruned side is below that bound.
 
 from __future__ import annotations
 
+import datetime as _dt
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -68,7 +69,25 @@ def size_estimate(df: DataFrame) -> int | None:
         return None
 
 
-def _feature_side(spark: SparkSession, lookup: FeatureLookup, base: DataFrame) -> DataFrame:
+def _month(epoch_s: int) -> str:
+    d = _dt.datetime.fromtimestamp(int(epoch_s), _dt.timezone.utc)
+    return f"{d.year:04d}-{d.month:02d}"
+
+
+def _month_range_filter(table, lookup: FeatureLookup, base: DataFrame):
+    """``part BETWEEN lo AND hi`` from the base's key range (one small aggregation)."""
+    if not table.partition_time_key:
+        return None
+    base_col = lookup.lookup_key[list(table.primary_keys).index(table.partition_time_key)]
+    lo, hi = base.agg(F.min(base_col), F.max(base_col)).collect()[0]
+    part = F.col(table.partition_columns[0])
+    if lo is None:
+        return F.lit(False)  # no key in the base: no partition can match
+    return part.between(F.lit(_month(lo)), F.lit(_month(hi)))
+
+
+def _feature_side(spark: SparkSession, lookup: FeatureLookup, base: DataFrame,
+                  prune_partitions: bool = False) -> DataFrame:
     table = get_table(spark, lookup.table_name)
     keys = table.primary_keys
     if len(keys) != len(lookup.lookup_key):
@@ -83,6 +102,10 @@ def _feature_side(spark: SparkSession, lookup: FeatureLookup, base: DataFrame) -
         raise LookupError_(f"{lookup.table_name} has no feature {unknown}")
     base_types = dict(base.dtypes)
     feats = spark.table(lookup.table_name)
+    if prune_partitions:
+        cond = _month_range_filter(table, lookup, base)
+        if cond is not None:
+            feats = feats.where(cond)
     return feats.select(
         *[F.col(k).cast(base_types[b]).alias(b) for k, b in zip(keys, lookup.lookup_key)],
         *lookup.feature_names,
@@ -90,12 +113,19 @@ def _feature_side(spark: SparkSession, lookup: FeatureLookup, base: DataFrame) -
 
 
 def lookup_features(spark: SparkSession, base: DataFrame, lookup: FeatureLookup,
-                    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Left-join the named features of one feature table onto ``base``."""
+                    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+                    prune_partitions: bool = False) -> DataFrame:
+    """Left-join the named features of one feature table onto ``base``.
+
+    ``prune_partitions`` (tables created with ``partition_time_key``): read only
+    the months spanned by the base's lookup keys -- a static partition filter
+    on the feature scan, at the cost of one min/max aggregation over the base's
+    key column.  Worth it when a narrow batch is scored against a long history.
+    """
     clash = [f for f in lookup.feature_names if f in base.columns]
     if clash:
         raise LookupError_(f"feature names already in the frame: {clash}")
-    side = _feature_side(spark, lookup, base)
+    side = _feature_side(spark, lookup, base, prune_partitions)
     if broadcast_max_bytes is not None:
         est = size_estimate(side)
         if est is not None and est <= broadcast_max_bytes:
@@ -104,7 +134,8 @@ def lookup_features(spark: SparkSession, base: DataFrame, lookup: FeatureLookup,
 
 
 def apply_lookups(spark: SparkSession, base: DataFrame, lookups: Sequence[FeatureLookup],
-                  broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                  broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+                  prune_partitions: bool = False) -> DataFrame:
     """Chain of left lookups; a feature name may appear only once overall."""
     seen: dict[str, str] = {}
     for lk in lookups:
@@ -114,7 +145,7 @@ def apply_lookups(spark: SparkSession, base: DataFrame, lookups: Sequence[Featur
             seen[f] = lk.table_name
     out = base
     for lk in lookups:
-        out = lookup_features(spark, out, lk, broadcast_max_bytes)
+        out = lookup_features(spark, out, lk, broadcast_max_bytes, prune_partitions)
     return out
 
 

@@ -148,7 +148,7 @@ def load_model(path: str) -> PipelineModel:
 
 
 def score_batch(spark: SparkSession, model_path: str, df: DataFrame,
-                keep_vector: bool = False) -> DataFrame:
+                keep_vector: bool = False, prune_partitions: bool = False) -> DataFrame:
     """Look up the model's features for ``df`` and append ``prediction``.
 
     Output: the input columns, the looked-up features and ``prediction``.
@@ -156,7 +156,7 @@ def score_batch(spark: SparkSession, model_path: str, df: DataFrame,
     """
     spec = load_spec(spark, model_path)
     lookups = [FeatureLookup.from_dict(d) for d in spec.get("feature_lookups", [])]
-    joined = apply_lookups(spark, df, lookups)
+    joined = apply_lookups(spark, df, lookups, prune_partitions=prune_partitions)
     out = load_model(model_path).transform(joined)
     helper = [c for c in out.columns if c.endswith("__d") or c.endswith("__filled")]
     out = out.drop(*helper)

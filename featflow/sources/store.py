@@ -35,6 +35,7 @@ _P = "featflow."
 _KEYS = _P + "primary_keys"
 _PARTS = _P + "partition_columns"
 _PART_OF_KEY = _P + "partition_of_key"
+_TIME_KEY = _P + "partition_time_key"
 _TAG = _P + "tag."
 
 
@@ -52,6 +53,7 @@ class FeatureTable:
     path: str
     partition_of_key: bool = True
     tags: dict = field(default_factory=dict)
+    partition_time_key: str | None = None
 
 
 def _q(name: str) -> str:
@@ -93,13 +95,16 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
                  df: DataFrame | None = None, schema: StructType | None = None,
                  partition_columns: Sequence[str] | str | None = None,
                  description: str = "", path: str | None = None,
-                 partition_of_key: bool = True) -> FeatureTable:
+                 partition_of_key: bool = True,
+                 partition_time_key: str | None = None) -> FeatureTable:
     """Register a feature table; if ``df`` is given also write its rows.
 
     ``partition_of_key`` states that the partition columns are a function of
     the primary key (``yyyy_mm`` of ``ts``); merges then only read and rewrite
     the partitions of the incoming rows.  Otherwise a merge first finds the
-    partitions holding the incoming keys.
+    partitions holding the incoming keys.  ``partition_time_key`` names an INT
+    epoch-seconds key column whose UTC month (``YYYY-MM``) is the partition
+    value; lookups can then prune partitions to the base's key range.
     """
     if df is None and schema is None:
         raise FeatureTableError("pass df or schema")
@@ -121,6 +126,11 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
         _PARTS: ",".join(parts),
         _PART_OF_KEY: str(bool(partition_of_key)).lower(),
     }
+    if partition_time_key:
+        if partition_time_key not in keys or len(parts) != 1:
+            raise FeatureTableError("partition_time_key must be a key column of a table "
+                                    "with one partition column")
+        props[_TIME_KEY] = partition_time_key
     prop_sql = ", ".join(f"{_lit(k)}={_lit(v)}" for k, v in props.items())
     part_sql = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
     spark.sql(
@@ -190,6 +200,7 @@ def get_table(spark: SparkSession, name: str) -> FeatureTable:
         path=detail.get("Location", ""),
         partition_of_key=props.get(_PART_OF_KEY, "true") == "true",
         tags={k[len(_TAG):]: v for k, v in props.items() if k.startswith(_TAG)},
+        partition_time_key=props.get(_TIME_KEY),
     )
 
 

@@ -40,3 +40,22 @@ def test_key_arity_checked(spark):
     ts = create_training_set(spark, base, [FeatureLookup(t, ["f1"], ["z"])], label="y")
     with pytest.raises(LookupError_):
         ts.load_df()
+
+
+def test_partition_pruned_lookup(spark):
+    import datetime as dt
+    name = f"featflow_test.p_{uuid.uuid4().hex[:8]}"
+    jan = int(dt.datetime(2016, 1, 10, tzinfo=dt.timezone.utc).timestamp())
+    feb = int(dt.datetime(2016, 2, 10, tzinfo=dt.timezone.utc).timestamp())
+    df = spark.createDataFrame([(1, jan, "2016-01", 1.0), (1, feb, "2016-02", 2.0)],
+                               "zip int, ts int, yyyy_mm string, f double")
+    store.create_table(spark, name, ["zip", "ts"], df=df, partition_columns="yyyy_mm",
+                       partition_time_key="ts")
+    base = spark.createDataFrame([(1, feb, 0.0), (1, feb + 60, 0.0)], "z int, k int, y double")
+    from featflow.operators.lookup import lookup_features
+    pruned = lookup_features(spark, base, FeatureLookup(name, ["f"], ["z", "k"]),
+                             prune_partitions=True)
+    full = lookup_features(spark, base, FeatureLookup(name, ["f"], ["z", "k"]))
+    assert sorted(pruned.collect()) == sorted(full.collect())
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(yyyy_mm" in plan and "2016-02" in plan
