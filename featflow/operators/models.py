@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featflow.operators.lookup import FeatureLookup, TrainingSet, apply_lookups
+from featflow.session import spread
 
 FEATURES_COL = "rawFeatures"
 
@@ -97,7 +98,7 @@ def fit_pipeline(train: DataFrame, feature_cols: Sequence[str], label: str,
                                  strategy="mean")]
         feats = filled
     stages += [assembler(feats), regressor(kind, label, **params)]
-    return Pipeline(stages=stages).fit(train)
+    return Pipeline(stages=stages).fit(spread(train))
 
 
 # -------------------------------------------------------------- evaluation

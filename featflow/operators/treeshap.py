@@ -41,6 +41,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 
+from featflow.session import spread
+
 # A leaf table has 2^K x K entries; refuse paths with more distinct features.
 MAX_PATH_FEATURES = 12
 _CHUNK_ELEMS = 4_000_000
@@ -157,16 +159,30 @@ class Ensemble:
             if L == 0 or K == 0:
                 continue
             step = max(1, _CHUNK_ELEMS // (L * K))
-            bit = 1 << np.arange(K)
             for s in range(0, n, step):
-                xb = X[s:s + step][:, c["feats"]]  # (b, L, K)
-                o = ((xb > c["lo"]) & (xb <= c["hi"])) | ~c["valid"]
-                mask = (o * bit).sum(-1)  # (b, L)
-                contrib = c["table"][c["leaf_idx"], mask]  # (b, L, K)
-                phi[s:s + step] += contrib.reshape(len(xb), L * K) @ c["scatter"]
+                xb = X[s:s + step]
+                mask = _patterns(xb, c)  # (b, L): 0/1 pattern of each leaf's features
+                if "ftab" in c:
+                    # Few distinct features in this tree: one (b, L) gather each.
+                    idx = mask + c["row_offset"]
+                    for f, tab in zip(c["used"], c["ftab"]):
+                        phi[s:s + step, f] += np.take(tab, idx).sum(1)
+                else:
+                    contrib = c["table"][c["leaf_idx"], mask]  # (b, L, K)
+                    phi[s:s + step] += contrib.reshape(len(xb), L * K) @ c["scatter"]
         return phi
 
 
+def _patterns(xb: np.ndarray, c: dict) -> np.ndarray:
+    feats, lo, hi, valid = c["feats"], c["lo"], c["hi"], c["valid"]
+    mask = np.zeros((len(xb), feats.shape[0]), np.int64)
+    for k in range(feats.shape[1]):
+        xv = xb[:, feats[:, k]]
+        inside = ((xv > lo[:, k]) & (xv <= hi[:, k])) | ~valid[:, k]
+        mask |= inside.astype(np.int64) << k
+    return mask
+
+
 def _shapley_tables(values: np.ndarray, z: np.ndarray, K: int) -> np.ndarray:
     """(L, 2^K, K) Shapley shares for every leaf and 0/1 pattern of its features."""
     L = len(values)
@@ -219,8 +235,20 @@ def _compile(tree: Tree, weight: float, n_features: int) -> dict:
     scatter = np.zeros((L * K, n_features))
     rows = np.arange(L * K)[valid.ravel()]
     scatter[rows, feats.ravel()[valid.ravel()]] = 1.0
-    return {"feats": feats, "lo": lo, "hi": hi, "valid": valid, "table": table,
-            "leaf_idx": np.arange(L)[None, :], "scatter": scatter, "base": weight * base}
+    out = {"feats": feats, "lo": lo, "hi": hi, "valid": valid, "table": table,
+           "leaf_idx": np.arange(L)[None, :], "scatter": scatter, "base": weight * base}
+    used = sorted(set(feats[valid].tolist()))
+    if K and len(used) <= K:
+        # Per-feature tables (leaf x pattern), flattened for np.take.
+        M = table.shape[1]
+        ftab = np.zeros((len(used), L, M))
+        for j, f in enumerate(used):
+            for k in range(K):
+                sel = valid[:, k] & (feats[:, k] == f)
+                ftab[j, sel] += table[sel, :, k]
+        out.update(used=used, ftab=[t.ravel() for t in ftab],
+                   row_offset=(np.arange(L) * M)[None, :])
+    return out
 
 
 # ------------------------------------------------------- from Spark ML models
@@ -295,6 +323,8 @@ def shap_values(df: DataFrame, ensemble: Ensemble, feature_cols: Sequence[str] |
                         + [StructField(prefix + c, phi_type) for c in feats])
     np_type = np.float32 if dtype == "float" else np.float64
     model = ensemble
+    # Row-local, CPU-heavy work: spread a few-partition input over the cores.
+    src = spread(src)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base = model.expected_value()

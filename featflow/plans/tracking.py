@@ -7,6 +7,7 @@ from featflow.operators.runs import (
     latest_model_version,
     latest_runs,
     resolve_stage,
+    runs_by_start,
     search_runs,
 )
 from featflow.plans.fixtures import RUN_METRICS, model_version_log, run_log
@@ -16,7 +17,8 @@ RUN_NAMES = ("run-F", "run-O", "run-P")
 
 
 def q_runs_search(spark, sf_dir):
-    return search_runs(run_log(spark, sf_dir), EXPERIMENT, RUN_METRICS)
+    """Runs of one experiment, newest first (start time, then run id)."""
+    return runs_by_start(search_runs(run_log(spark, sf_dir), EXPERIMENT, RUN_METRICS))
 
 
 def q_runs_latest(spark, sf_dir):

@@ -71,3 +71,18 @@ def stage(spark: SparkSession, df, label: str = "batch"):
     path = fresh_path(spark, "stage", label)
     df.write.format("parquet").save(path)
     return spark.read.format("parquet").load(path)
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's cores when it has fewer partitions.
+
+    For CPU-heavy, row-local work fed by a few large files (model fitting,
+    tree SHAP).  On a cluster reading many files this is a no-op.
+    """
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    except Exception:  # Spark Connect: keep the layout
+        pass
+    return df
