@@ -24,8 +24,15 @@ from featflow.operators.treeshap import (
     shap_summary,
     shap_values,
 )
-from featflow.plans.fixtures import WINE_FEATURES, WINE_ID, WINE_LABEL, regression_table, table, trips
-from featflow.plans.fixtures import TRIPS_SQL
+from featflow.plans.fixtures import (
+    TRIPS_SQL,
+    WINE_FEATURES,
+    WINE_ID,
+    WINE_LABEL,
+    regression_table,
+    table,
+    trips,
+)
 from featflow.plans.taxi import (
     _DROP,
     _ROUNDED,
@@ -88,10 +95,12 @@ def _report(scored: DataFrame) -> DataFrame:
 
 
 def q_score_batch(spark, sf_dir):
+    """Train on a 75/25 key-hash split of the training set, score every trip."""
     pn, dn = build_feature_tables(spark, sf_dir)
-    base = rounded_taxi_data(trips(spark, sf_dir)).drop("trip_id")
-    ts = create_training_set(spark, base, lookups(pn, dn), label="fare_amount",
-                             exclude_columns=list(EXCLUDE))
+    base = rounded_taxi_data(trips(spark, sf_dir))
+    train_base, _ = split_by_hash(base, ["trip_id"], 0.75, 123)
+    ts = create_training_set(spark, train_base, lookups(pn, dn), label="fare_amount",
+                             exclude_columns=[*EXCLUDE, "trip_id"])
     train = ts.load_df()
     feats = [c for c in train.columns if c != "fare_amount"]
     model = fit_pipeline(train, feats, "fare_amount", "gbt", impute=True, maxIter=100, maxDepth=5)

@@ -86,3 +86,27 @@ def spread(df):
     except Exception:  # Spark Connect: keep the layout
         pass
     return df
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Starting settings for a large run, to pass at submit time.
+
+    Input splits and shuffle partitions are sized to ``partition_bytes`` so a
+    task's data fits executor memory; the shuffle partition count is set for
+    the largest shuffle (a sort-merge lookup moves the whole base) and AQE
+    coalesces the small ones (window features shuffle only partial aggregates)
+    and splits skewed ones.
+    """
+    cores = max(1, executors * cores_per_executor)
+    shuffle = min(100_000, max(cores * 3, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
