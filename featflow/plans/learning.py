@@ -261,7 +261,7 @@ phi AS (
          v3 * (CAST(d <= {DISCOUNT_SPLIT} AS DOUBLE) - zd3) * (zp + CAST(p <= {PRICE_SPLIT} AS DOUBLE)) / 2
        + v4 * (CAST(d > {DISCOUNT_SPLIT} AS DOUBLE) - zd4) * (zp + CAST(p <= {PRICE_SPLIT} AS DOUBLE)) / 2
            AS l_discount,
-         0.0 AS l_tax
+         CAST(0.0 AS DOUBLE) AS l_tax
   FROM lf, z
 )"""
 

@@ -83,7 +83,7 @@ def _case_bin(v: str, edges) -> str:
 
 def _hist_sql(src: str, group: str, value: str, edges, name: str = "hist") -> str:
     nb = len(edges) - 1
-    counts = ", ".join(f"count_if(bin = {i})" for i in range(nb))
+    counts = ", ".join(f"CAST(count_if(bin = {i}) AS BIGINT)" for i in range(nb))
     bins = ", ".join(_num(x) for x in edges)
     return f"""
 {name}_b AS (
@@ -95,7 +95,8 @@ def _hist_sql(src: str, group: str, value: str, edges, name: str = "hist") -> st
 )"""
 
 
-_YEARS_SRC = ("(SELECT year(o_orderdate) AS year, o_totalprice AS temp FROM orders) AS dm")
+_YEARS_SRC = ("(SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_totalprice AS temp "
+              "FROM orders) AS dm")
 
 
 def _metrics_sql(hist: str, group_alias: str, metrics) -> str:
