@@ -66,3 +66,29 @@ def test_feature_plans_have_no_python(spark):
     for df in (pickup_features_fn(t), pickup_features_fn(t, method="pane"), dropoff_features_fn(t)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_user_feature_function_plugs_in(spark):
+    from pyspark.sql import functions as F
+
+    from featflow.operators.windows import apply_feature_fn
+
+    def max_fare_fn(df, ts_column=None, start_date=None, end_date=None):
+        from featflow.functions.times import filter_df_by_ts
+        df = filter_df_by_ts(df, ts_column, start_date, end_date)
+        return df.groupBy(F.col("pickup_zip").alias("zip")).agg(F.max("fare_amount").alias("mx"))
+
+    out = apply_feature_fn(trips(spark, SF001), max_fare_fn, "tpep_pickup_datetime",
+                           None, "2024-01-20")
+    want = trips(spark, SF001).where(F.col("tpep_pickup_datetime") < F.lit("2024-01-20")
+                                     .cast("timestamp_ntz")).select("pickup_zip").distinct().count()
+    assert out.count() == want and out.columns == ["zip", "mx"]
+
+
+def test_sizing_helpers(spark):
+    from featflow.session import cluster_conf, spread
+    conf = cluster_conf(100 * 2**40, 1000, 8)
+    assert conf["spark.sql.shuffle.partitions"] == "100000"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = spark.range(10).coalesce(1)
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
