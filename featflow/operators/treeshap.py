@@ -18,9 +18,11 @@ Model side (small, bounded by the model: trees x leaves)
 
 Row side (large)
     Arrow batches from ``mapInPandas``: per tree, the pattern of every
-    (row, leaf) is a few vectorised comparisons, the table gather gives the
-    contributions, and a matrix product adds them per feature.  No shuffle:
-    the output keeps the input partitioning and the row id.
+    (row, leaf) is a few vectorised comparisons and a table gather gives the
+    contributions -- from per-feature tables when the tree uses few distinct
+    features, else per path slot followed by a matrix product.  No shuffle by
+    key: the output keeps the row id (a few-partition input is only spread
+    round-robin over the cores).
 
 The expected value is ``sum_leaf value * prod z``.  ``expected + sum(phi)``
 equals the model prediction (additivity) for decision trees, forests (mean of
