@@ -11,13 +11,16 @@ user can read the table with plain SQL.
 
 ``write_table(mode="merge")`` is an upsert by primary key without a
 transactional table format: only the partitions the incoming rows touch are
-rewritten, with Spark's *dynamic partition overwrite*.  Old rows of those
-partitions whose key is not in the batch are kept (anti join), incoming rows
-win on a key match.  The source files are deleted only at job commit, so a
-lost executor just retries its tasks.  Columns absent from the batch keep
-their stored value for existing keys (null for new keys).  When the session
-catalog can run ``MERGE INTO`` (a Delta table) a user can do that instead; we
-do not depend on it.
+rewritten.  Old rows of those partitions whose key is not in the batch are
+kept (anti join), incoming rows win on a key match.  The rewritten partitions
+go to a fresh folder and each catalog partition is then repointed at its new
+files (``ALTER TABLE ... PARTITION ... SET LOCATION``): every partition is
+always complete, old or new, even if the driver dies half way; old folders
+are removed only after the switch.  Lost executors just retry tasks.  Columns
+absent from the batch keep their stored value for existing keys (null for new
+keys).  Without JVM catalog access (Spark Connect) the fallback is a dynamic
+partition overwrite.  When the session catalog can run ``MERGE INTO`` (a
+Delta table) a user can do that instead; we do not depend on it.
 """
 
 from __future__ import annotations
@@ -248,7 +251,12 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
         missing = [c for c in table_cols if c not in df.columns]
         if missing:
             raise FeatureTableError(f"overwrite needs every column; missing {missing}")
-        writer = df.select(*table_cols).write.format("parquet").mode("overwrite")
+        frame = df.select(*table_cols)
+        if parts:
+            values = [tuple(r) for r in frame.select(*parts).distinct().collect()]
+            if _swap_partitions(spark, name, frame, parts, values, drop_others=True):
+                return
+        writer = frame.write.format("parquet").mode("overwrite")
         if parts:
             writer = writer.partitionBy(*parts)
         writer.save(t.path)
@@ -286,7 +294,79 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
     keep = existing.where(_partition_filter(parts, values)).join(
         incoming.select(*keys), keys, "left_anti")
     merged = keep.select(*table_cols).unionByName(incoming)
-    _write_rows(spark, name, merged, parts, t.path, overwrite=True)
+    if not _swap_partitions(spark, name, merged, parts, values):
+        _write_rows(spark, name, merged, parts, t.path, overwrite=True)
+
+
+def _swap_partitions(spark: SparkSession, name: str, frame: DataFrame, parts: Sequence[str],
+                     values: list[tuple], drop_others: bool = False) -> bool:
+    """Write ``frame`` to a fresh folder, then repoint each touched partition at it.
+
+    Each ``ALTER TABLE ... PARTITION ... SET LOCATION`` is one catalog update,
+    so after a crash every partition still points at complete files (old or
+    new); nothing is deleted before the switch.  Replaced partition folders are
+    removed afterwards.  Returns False where the catalog route is unavailable
+    (null partition values, no JVM access) so the caller can fall back to a
+    dynamic partition overwrite.
+    """
+    if any(v is None for row in values for v in row):
+        return False
+    try:
+        jvm = spark.sparkContext._jvm
+        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        return False
+    root = fresh_path(spark, "partitions", name.replace(".", "_"))
+    frame.write.format("parquet").partitionBy(*parts).save(root)
+
+    def rel(v):
+        return "/".join(f"{p}={escape(str(x))}" for p, x in zip(parts, v))
+
+    def spec(v):
+        return ", ".join(f"`{p}`={_lit(str(x))}" for p, x in zip(parts, v))
+
+    def location(v):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)} PARTITION ({spec(v)})").collect()
+        return next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
+
+    def fs_path(path):
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        return hp, hp.getFileSystem(conf)
+
+    current = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_q(name)}").collect()}
+    retired = []
+    for v in values:
+        new_loc = f"{root}/{rel(v)}"
+        hp, fs = fs_path(new_loc)
+        if rel(v) in current:
+            old = location(v)
+            if fs.exists(hp):
+                spark.sql(f"ALTER TABLE {_q(name)} PARTITION ({spec(v)}) "
+                          f"SET LOCATION {_lit(new_loc)}")
+            else:  # every row of this partition moved out
+                spark.sql(f"ALTER TABLE {_q(name)} DROP PARTITION ({spec(v)})")
+            retired.append(old)
+        elif fs.exists(hp):
+            spark.sql(f"ALTER TABLE {_q(name)} ADD PARTITION ({spec(v)}) "
+                      f"LOCATION {_lit(new_loc)}")
+    if drop_others:
+        unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        keep = {rel(v) for v in values}
+        for part in current - keep:
+            v = tuple(unescape(kv.split("=", 1)[1]) for kv in part.split("/"))
+            retired.append(location(v))
+            spark.sql(f"ALTER TABLE {_q(name)} DROP PARTITION ({spec(v)})")
+    spark.sql(f"REFRESH TABLE {_q(name)}")
+    spark.sql(f"ANALYZE TABLE {_q(name)} COMPUTE STATISTICS NOSCAN")
+    for old in retired:  # best effort: readers of the old listing are done
+        if old:
+            try:
+                hp, fs = fs_path(old)
+                fs.delete(hp, True)
+            except Exception:
+                pass
+    return True
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
