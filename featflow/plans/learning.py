@@ -34,13 +34,13 @@ from featflow.plans.fixtures import (
     trips,
 )
 from featflow.plans.taxi import (
-    _DROP,
-    _ROUNDED,
     CUT,
+    DROPOFF_SQL,
     EXCLUDE,
-    _pickup_sql,
+    ROUNDED_SQL,
     build_feature_tables,
     lookups,
+    pickup_sql,
     rounded_taxi_data,
 )
 
@@ -280,7 +280,7 @@ def _per_row_rank_sql(feats) -> str:
     return "ranked AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM ranked"
 
 
-_SCORE_REPORT = f"""WITH {TRIPS_SQL}, {_ROUNDED}, {_pickup_sql(None, CUT)}, {_DROP}
+_SCORE_REPORT = f"""WITH {TRIPS_SQL}, {ROUNDED_SQL}, {pickup_sql(None, CUT)}, {DROPOFF_SQL}
     SELECT round(coalesce(CAST(p.mean_fare_window_1h_pickup_zip AS DOUBLE), 0.0) * 1.1
                  + r.trip_distance * 0.3713579 + 0.000123, 2) AS predicted_fare_amount,
            r.fare_amount, r.trip_distance, r.pickup_zip, r.dropoff_zip,
