@@ -59,3 +59,40 @@ def test_partition_pruned_lookup(spark):
     assert sorted(pruned.collect()) == sorted(full.collect())
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(yyyy_mm" in plan and "2016-02" in plan
+
+
+def test_hot_key_lookup_without_broadcast(spark):
+    """A third of the base on one key: sort-merge path, AQE splits the hot partition."""
+    from pyspark.sql import functions as F
+
+    from featflow.operators.lookup import lookup_features
+    name = _table(spark, [(k, 100, "2016-01", float(k), k) for k in range(50)])
+    n = 30000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise((F.col("id") % 50).cast("int")).alias("z"),
+        F.lit(100).alias("t"), F.col("id"))
+    lk = FeatureLookup(name, ["f1"], ["z", "t"])
+    want = lookup_features(spark, base, lk).groupBy("z").agg(F.sum("f1"), F.count("*"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        joined = lookup_features(spark, base, lk, broadcast_max_bytes=None)
+        got = joined.groupBy("z").agg(F.sum("f1"), F.count("*"))
+        assert sorted(got.collect()) == sorted(want.collect())
+        assert joined.count() == n
+        qe = joined._jdf.queryExecution()
+        qe.toRdd().count()  # run this plan so AQE finalises it
+        plan = qe.executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -8,8 +8,12 @@ SF = "/root/testdata/sf0.001"
 
 
 def _plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The final (post-AQE) physical plan: run the frame's own query execution."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    plan = qe.executedPlan().toString()
+    assert "isFinalPlan=true" in plan or "AdaptiveSparkPlan" not in plan
+    return plan.split("== Initial Plan ==")[0]
 
 
 def test_feature_scan_is_pruned_and_filtered(spark):
