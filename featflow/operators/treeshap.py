@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 
-from featflow.session import spread
+from featflow.session import ship_package, spread
 
 # A leaf table has 2^K x K entries; refuse paths with more distinct features.
 MAX_PATH_FEATURES = 12
@@ -327,6 +327,8 @@ def shap_values(df: DataFrame, ensemble: Ensemble, feature_cols: Sequence[str] |
     model = ensemble
     # Row-local, CPU-heavy work: spread a few-partition input over the cores.
     src = spread(src)
+    # The closure refers to this module; workers must be able to import it.
+    ship_package(src.sparkSession)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base = model.expected_value()

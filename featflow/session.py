@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -110,3 +111,39 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``featflow`` importable in Python workers (``addPyFile`` of a zip).
+
+    Needed by operators whose closures run Python on executors (tree SHAP's
+    ``mapInPandas``); the same as submitting with ``--py-files``.  Done once
+    per Spark application.  The zip goes to the shared root when that is a
+    local path; otherwise the driver serves it to executors.
+    """
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # Spark Connect: ship with the client's artifact API instead
+        return
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = shared_root(spark)
+    folder = root[len("file:"):] if root.startswith("file:") else root
+    if "://" in folder or not os.path.isdir(folder):
+        folder = tempfile.mkdtemp(prefix="featflow-pyfiles-")
+    target = os.path.join(folder, f"featflow-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
