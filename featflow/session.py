@@ -127,8 +127,8 @@ def ship_package(spark: SparkSession) -> None:
     try:
         sc = spark.sparkContext
         app = sc.applicationId
-    except Exception:  # Spark Connect: ship with the client's artifact API instead
-        return
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -145,5 +145,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(target)
+    if sc is not None:
+        sc.addPyFile(target)
+    else:
+        spark.addArtifacts(target, pyfile=True)
     _SHIPPED.add(app)
