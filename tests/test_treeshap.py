@@ -88,3 +88,24 @@ def test_distributed_operator_keeps_rows_and_ids(spark):
     assert same.mean() > 0.5
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan  # row-local work: no shuffle by key
+
+
+def test_shap_runs_when_workers_do_not_see_the_repo(tmp_path):
+    """Driver started elsewhere, package only on the driver's sys.path: the
+    operator must ship itself to the Python workers."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "from featflow.plans import learning\n"
+        "s = SparkSession.builder.master('local[2]').getOrCreate()\n"
+        "print('ROWS', learning.q_tree_shap_fixed(s, '/root/testdata/sf0.001').count())\n"
+    ) % root
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS 6000" in out.stdout, out.stderr[-2000:]
