@@ -105,8 +105,8 @@ def model_version_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``event_id`` (the order key).
     """
     o = table(spark, sf_dir, "orders")
-    stage = F.when(F.col("o_orderstatus") == "F", "Production") \
-        .when(F.col("o_orderstatus") == "O", "Staging").otherwise("Archived")
+    stages = F.create_map(*[F.lit(x) for kv in STAGE_OF_STATUS.items() for x in kv])
+    stage = F.coalesce(stages[F.col("o_orderstatus")], F.lit("Archived"))
     return o.select(
         F.col("o_orderpriority").alias("name"),
         F.col("o_custkey").cast("string").alias("version"),

@@ -65,3 +65,27 @@ def test_saved_model_scores_all_rows_with_imputation(spark):
     out = score_batch(spark, path, df.drop("y"))
     assert out.count() == 60 and out.where(F.col("prediction").isNull()).count() == 0
     assert set(out.columns) == {"x", "f", "prediction"}
+
+
+def test_stage_log_round_trip_and_readers(spark):
+    import uuid
+
+    from featflow.sources import io, store
+    path = fresh_path(spark, "stages-test")
+    t = dt.datetime(2024, 1, 1)
+    runs.log_stage(spark, path, "m", 1, "Staging", t, 1)
+    runs.log_stage(spark, path, "m", 2, "Staging", t + dt.timedelta(hours=1), 2)
+    runs.log_stage(spark, path, "m", 2, "Production", t + dt.timedelta(hours=2), 3)
+    log = io.read_table(spark, path, "parquet")
+    assert {r[0]: r[1] for r in runs.resolve_stage(log, "Staging").collect()} == {"m": "1"}
+    assert {r[0]: r[1] for r in runs.resolve_stage(log, "Production").collect()} == {"m": "2"}
+    rpath = fresh_path(spark, "runs-test2")
+    runs.log_run(spark, rpath, "e", {"mse": 1.0}, run_id="x", start_time=t)
+    runs.log_run(spark, rpath, "e", {"mse": 2.0}, run_id="y", start_time=t + dt.timedelta(1))
+    assert runs.latest_run(spark.read.parquet(rpath), "e").collect()[0]["run_id"] == "y"
+    name = f"featflow_test.r_{uuid.uuid4().hex[:8]}"
+    store.create_table(spark, name, ["k"], df=spark.createDataFrame([(1, 2.0)], "k int, v double"))
+    store.set_feature_table_tag(spark, name, "a", "1")
+    store.delete_feature_table_tag(spark, name, "a")
+    assert store.get_table(spark, name).tags == {}
+    assert io.read_named(spark, name).count() == 1
