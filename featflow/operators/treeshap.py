@@ -45,8 +45,10 @@ from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 
 from featflow.session import ship_package, spread
 
-# A leaf table has 2^K x K entries; refuse paths with more distinct features.
+# A leaf table has 2^K x K entries; refuse paths with more distinct features,
+# and trees whose tables (leaves x 2^K x K doubles) would not fit a worker.
 MAX_PATH_FEATURES = 12
+MAX_TABLE_ENTRIES = 25_000_000
 _CHUNK_ELEMS = 4_000_000
 # Compiled leaf tables of the last model used in this (reused) Python worker.
 _TABLE_CACHE: dict[str, list] = {}
@@ -216,6 +218,9 @@ def _compile(tree: Tree, weight: float, n_features: int) -> dict:
     if K > MAX_PATH_FEATURES:
         raise ValueError(f"a leaf path uses {K} distinct features; at most "
                          f"{MAX_PATH_FEATURES} are supported")
+    if L * (1 << K) * K > MAX_TABLE_ENTRIES:
+        raise ValueError(f"tree too large for leaf tables: {L} leaves x 2^{K} patterns x {K} "
+                         f"features exceeds {MAX_TABLE_ENTRIES} entries")
     feats = np.zeros((L, K), np.int64)
     lo = np.full((L, K), -np.inf)
     hi = np.full((L, K), np.inf)

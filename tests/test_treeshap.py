@@ -109,3 +109,16 @@ def test_shap_runs_when_workers_do_not_see_the_repo(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=600)
     assert "ROWS 6000" in out.stdout, out.stderr[-2000:]
+
+
+def test_oversized_tables_are_refused(monkeypatch):
+    import pytest
+
+    from featflow.operators import treeshap
+    nodes = [_node(0, 0, 5.0, 1, 2, 0, 10), _node(1, 1, 2.0, 3, 4, 0, 6),
+             _node(2, -1, 0, -1, -1, 1.0, 4), _node(3, -1, 0, -1, -1, 2.0, 3),
+             _node(4, -1, 0, -1, -1, 3.0, 3)]
+    monkeypatch.setattr(treeshap, "MAX_TABLE_ENTRIES", 10)
+    ens = Ensemble([Tree.from_nodes(nodes)], [1.0], ["a", "b"])
+    with pytest.raises(ValueError, match="too large"):
+        ens.shap(np.zeros((2, 2)))
