@@ -99,7 +99,8 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
                  partition_columns: Sequence[str] | str | None = None,
                  description: str = "", path: str | None = None,
                  partition_of_key: bool = True,
-                 partition_time_key: str | None = None) -> FeatureTable:
+                 partition_time_key: str | None = None,
+                 validate: bool = True) -> FeatureTable:
     """Register a feature table; if ``df`` is given also write its rows.
 
     ``partition_of_key`` states that the partition columns are a function of
@@ -108,6 +109,8 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
     partitions holding the incoming keys.  ``partition_time_key`` names an INT
     epoch-seconds key column whose UTC month (``YYYY-MM``) is the partition
     value; lookups can then prune partitions to the base's key range.
+    ``validate=False`` skips the key check (a shuffle of the whole table) for
+    rows that are unique by construction, e.g. a ``groupBy`` over the key.
     """
     if df is None and schema is None:
         raise FeatureTableError("pass df or schema")
@@ -145,7 +148,8 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
         # than evaluating the source plan a second time.
         _write_rows(spark, name, df.select(*names), parts, location, overwrite=False)
         try:
-            check_keys(spark.table(name), keys)
+            if validate:
+                check_keys(spark.table(name), keys)
         except FeatureTableError:
             drop_table(spark, name)
             _delete_path(spark, location)
@@ -237,8 +241,12 @@ def _partition_filter(parts: Sequence[str], values: list[tuple]):
     return cond
 
 
-def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merge") -> None:
-    """Write rows into a feature table: ``merge`` (upsert by key) or ``overwrite``."""
+def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merge",
+                validate: bool = True) -> None:
+    """Write rows into a feature table: ``merge`` (upsert by key) or ``overwrite``.
+
+    ``validate=False`` skips the null/duplicate key check of the batch.
+    """
     t = get_table(spark, name)
     table_cols = spark.table(name).columns
     extra = [c for c in df.columns if c not in table_cols]
@@ -246,7 +254,8 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
         raise FeatureTableError(f"columns not in {name}: {extra}")
     keys, parts = list(t.primary_keys), list(t.partition_columns)
     df = stage(spark, df, name.replace(".", "_"))
-    check_keys(df, keys)
+    if validate:
+        check_keys(df, keys)
     if mode == "overwrite":
         missing = [c for c in table_cols if c not in df.columns]
         if missing:
