@@ -47,7 +47,9 @@ def refresh_feature_table(spark: SparkSession, trips_stream: DataFrame, table_na
     feats = streaming_features(trips_stream, kind, watermark)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        store.write_table(batch.sparkSession, table_name, batch, mode="merge")
+        # Update mode emits each (key, window) at most once per micro-batch,
+        # so the batch's keys are unique by construction: skip that shuffle.
+        store.write_table(batch.sparkSession, table_name, batch, mode="merge", validate=False)
 
     writer = (feats.writeStream.outputMode("update").foreachBatch(upsert)
               .option("checkpointLocation", checkpoint or fresh_path(spark, "stream-cp", kind)))
