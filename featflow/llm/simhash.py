@@ -206,7 +206,8 @@ def _compare(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.Re
             step = max(1, (1 << 21) // max(1, len(homes)))
             for at in range(0, len(here), step):
                 some = here[at:at + step]
-                near = np.bitwise_count(some[:, None] ^ homes[None, :]) <= max_bits
+                apart = (some[:, None] ^ homes[None, :]).view(np.uint64)
+                near = np.bitwise_count(apart) <= max_bits
                 x, y = np.nonzero(near)
                 differ = some[x] != homes[y]
                 if differ.any():
