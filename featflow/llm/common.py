@@ -68,3 +68,112 @@ def byte_texts(batch: pa.RecordBatch, text: str = "text") -> list[bytes | None]:
     col = batch.column(text)
     kind = pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()
     return col.cast(kind).to_pylist()
+
+
+_SPACE = None
+
+
+def _space_table():
+    global _SPACE
+    import numpy as np
+    if _SPACE is None:
+        _SPACE = np.zeros(256, bool)
+        _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+    return _SPACE
+
+
+def text_bytes(col: pa.Array):
+    """(bytes, offsets): the UTF-8 of a string column end to end (null: empty),
+    as numpy arrays; text i is ``bytes[offsets[i]:offsets[i + 1]]``."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    if col.null_count:
+        col = pc.fill_null(col, "")
+    wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
+    _, offs, data = col.buffers()
+    kind = np.int64 if wide else np.int32
+    offsets = np.frombuffer(offs, kind)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def binary_array(data, offsets) -> pa.Array:
+    """Arrow binary values ``data[offsets[i]:offsets[i + 1]]``, without a copy."""
+    import numpy as np
+    return pa.Array.from_buffers(
+        pa.binary(), len(offsets) - 1,
+        [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int32)),
+         pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def split_words(data, offsets):
+    """Words (runs of bytes other than ASCII white space) of each text.
+
+    Returns (words as Arrow binary, text offsets into them, start and end byte
+    of each word).
+    """
+    import numpy as np
+
+    blank = _space_table()[data]
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
+    begins[heads] = ~blank[heads]
+    starts = np.flatnonzero(begins)
+    stops = np.zeros(len(data) + 1, bool)  # a word ends before a blank or a new text
+    stops[1:] = ~blank
+    stops[1:-1] &= blank[1:]
+    tails = offsets[1:][offsets[:-1] < offsets[1:]]
+    stops[tails] = ~blank[tails - 1]
+    ends = np.flatnonzero(stops)
+    bounds = np.concatenate([[0], np.cumsum(ends - starts)])
+    return (binary_array(data[~blank], bounds), np.searchsorted(starts, offsets), starts, ends)
+
+
+def split_segments(data, offsets):
+    """Each text cut before every run of ASCII white space (so a segment is
+    such a run, perhaps empty, and the word after it).  Returns (segments,
+    text offsets into them); the segments of a text join to the text."""
+    import numpy as np
+
+    blank = _space_table()[data]
+    begins = blank.copy()
+    begins[1:] &= ~blank[:-1]
+    begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    starts = np.flatnonzero(begins)
+    return (binary_array(data, np.concatenate([starts, [len(data)]])),
+            np.searchsorted(starts, offsets))
+
+
+def ragged_take(values, starts, lengths):
+    """Concatenated ``values[starts[i]:starts[i] + lengths[i]]``."""
+    import numpy as np
+
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+    return values[at]
+
+
+def prefix_offsets(lengths):
+    import numpy as np
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+#: Largest vocabulary file sent to every executor.
+VOCABULARY_BYTES = 64 << 20
+
+
+def vocabulary(spark: SparkSession, path: str):
+    """A tokenizer's file as a broadcast; its size is checked first."""
+    import os
+    if os.path.getsize(path) > VOCABULARY_BYTES:
+        raise ValueError(f"{path} is larger than {VOCABULARY_BYTES} bytes")
+    with open(path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)

@@ -3,11 +3,13 @@ where SQL can express the query)."""
 
 from __future__ import annotations
 
-from featflow.llm import quality, simhash
+from featflow.llm import byte_bpe, quality, simhash, token_files
 
 QUERIES = {
+    "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op5_simhash": simhash.op5_simhash,
     "op7_quality": quality.op7_quality,
+    "op10_token_files": token_files.op10_token_files,
 }
 
 ORACLE_SQL = {
