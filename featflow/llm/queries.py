@@ -3,15 +3,21 @@ where SQL can express the query)."""
 
 from __future__ import annotations
 
-from featflow.llm import byte_bpe, quality, simhash, token_files
+from featflow.llm import (byte_bpe, chat, lang_id, quality, secret_scan, simhash, token_count,
+                          token_files)
 
 QUERIES = {
+    "op1_lang_id": lang_id.op1_lang_id,
     "op2_byte_bpe": byte_bpe.op2_byte_bpe,
+    "op3_secrets": secret_scan.op3_secrets,
     "op5_simhash": simhash.op5_simhash,
+    "op6_chat": chat.op6_chat,
     "op7_quality": quality.op7_quality,
+    "op9_token_count": token_count.op9_token_count,
     "op10_token_files": token_files.op10_token_files,
 }
 
 ORACLE_SQL = {
+    "op6_chat": chat.SQL_OP6,
     "op7_quality": quality.SQL_OP7,
 }
