@@ -3,13 +3,14 @@ where SQL can express the query)."""
 
 from __future__ import annotations
 
-from featflow.llm import (byte_bpe, chat, lang_id, quality, secret_scan, simhash, token_count,
+from featflow.llm import (byte_bpe, chat, decontam, lang_id, quality, secret_scan, simhash, token_count,
                           token_files)
 
 QUERIES = {
     "op1_lang_id": lang_id.op1_lang_id,
     "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op3_secrets": secret_scan.op3_secrets,
+    "op4_decontam": decontam.op4_decontam,
     "op5_simhash": simhash.op5_simhash,
     "op6_chat": chat.op6_chat,
     "op7_quality": quality.op7_quality,
@@ -18,6 +19,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_decontam": decontam.SQL_OP4,
     "op6_chat": chat.SQL_OP6,
     "op7_quality": quality.SQL_OP7,
 }
