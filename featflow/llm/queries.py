@@ -3,8 +3,8 @@ where SQL can express the query)."""
 
 from __future__ import annotations
 
-from featflow.llm import (byte_bpe, chat, decontam, lang_id, quality, secret_scan, simhash, token_count,
-                          token_files)
+from featflow.llm import (byte_bpe, chat, decontam, lang_id, quality, secret_scan, simhash,
+                          suffix_dedup, token_count, token_files)
 
 QUERIES = {
     "op1_lang_id": lang_id.op1_lang_id,
@@ -14,6 +14,7 @@ QUERIES = {
     "op5_simhash": simhash.op5_simhash,
     "op6_chat": chat.op6_chat,
     "op7_quality": quality.op7_quality,
+    "op8_repeats": suffix_dedup.op8_repeats,
     "op9_token_count": token_count.op9_token_count,
     "op10_token_files": token_files.op10_token_files,
 }
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op4_decontam": decontam.SQL_OP4,
     "op6_chat": chat.SQL_OP6,
     "op7_quality": quality.SQL_OP7,
+    "op8_repeats": suffix_dedup.SQL_OP8,
 }
