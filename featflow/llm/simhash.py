@@ -65,17 +65,19 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3) -> DataFrame:
-    """``id`` and ``fp`` (the 64 bits as a signed long) of every row."""
+    """``id``, ``fp`` (the 64 bits as a signed long) and ``th`` (hash of the
+    text) of every row."""
     ready(docs.sparkSession)
-    src = id_and_text(docs, id_col, text_col)
+    src = id_and_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             fps = np.array([fingerprint(t, shingle) for t in byte_texts(b)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps.view(np.int64))],
-                                             ["id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array(fps.view(np.int64)), b.column("th")], ["id", "fp", "th"])
 
-    return src.mapInArrow(run, schema(("id", src.schema["id"].dataType), ("fp", T.LongType())))
+    return src.mapInArrow(run, schema(("id", src.schema["id"].dataType), ("fp", T.LongType()),
+                                      ("th", T.LongType())))
 
 
 # --- the covering code ------------------------------------------------------
@@ -308,7 +310,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_bits: int = 2,
                     homes_per_group: int = HOMES_PER_GROUP) -> DataFrame:
-    """``id``, ``fp`` (long) and ``component_id`` (smallest id reachable over
+    """``id``, ``fp`` (long), ``th`` (hash of the text), ``root`` (a fingerprint
+    that names the class) and ``component_id`` (smallest id reachable over
     links of at most ``max_bits`` bits) of every row of ``docs``."""
     spark = docs.sparkSession
     fps = stage(spark, fingerprints(docs, id_col, text_col, shingle), "simhash")
@@ -317,8 +320,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = vertices.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return fps.join(classes, "fp").select("id", "fp", "component_id")
+    classes = named.select("fp", "root").join(least, "root")
+    return fps.join(classes, "fp").select("id", "fp", "th", "root", "component_id")
+
+
+def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """One row of ``docs`` per class, with exactly its columns: the one with the
+    smallest id (null last); among rows that repeat that id, the one whose text
+    hashes lowest, once."""
+    spark = docs.sparkSession
+    rows = near_duplicates(docs, id_col, text_col, shingle, max_bits).groupBy(
+        "root", "id", "th").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min_by(F.struct("id", "th", "n"), F.struct(F.isnull("id"), "id", "th"))
+    keep = stage(spark, rows.groupBy("root").agg(first.alias("k")).select(
+        F.col("k.id").alias("_llm_id"), F.col("k.th").alias("_llm_th"),
+        F.col("k.n").alias("_llm_n")), "kept")
+
+    def matching(some: DataFrame) -> DataFrame:
+        return docs.join(some, docs[f"`{id_col}`"].eqNullSafe(some["_llm_id"])
+                         & (F.xxhash64(docs[f"`{text_col}`"]) == some["_llm_th"]))
+
+    kept = matching(keep.where("_llm_n = 1"))
+    repeated = keep.where("_llm_n > 1")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(matching(repeated).dropDuplicates(["_llm_id", "_llm_th"]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

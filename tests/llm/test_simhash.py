@@ -111,3 +111,16 @@ def test_edge_cases(spark):
     assert comp[None] == [None] and comp[11] == [11]
     empty = spark.createDataFrame([], schema)
     assert simhash.near_duplicates(empty).collect() == []
+
+
+def test_one_row_stays_per_class(spark):
+    rows = [(5, None, "a"), (3, "", "b"), (9, " ", "c"), (7, "One", "d"), (8, "one ", "e"), (8, "one ", "e"),
+            (8, "other text here", "f"), (None, "alone", "g"), (None, "alone", "g"), (None, "single", None),
+            (2, "twice twice", "h"), (2, "twice twice", "h"), (1, "TWICE twice x", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, th string")
+    got = simhash.keep_one_per_class(docs)
+    assert got.schema == docs.schema
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
+        (3, "", "b"), (7, "One", "d"), (8, "other text here", "f"), (None, "alone", "g"), (None, "single", None),
+        (2, "twice twice", "h"), (1, "TWICE twice x", "i")]))
+    assert simhash.keep_one_per_class(docs.limit(0)).collect() == []
