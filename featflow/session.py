@@ -1,9 +1,9 @@
 """Session helpers: shared storage location and a local session for tests.
 
 Anything we persist (feature tables, saved models, CSV round trips) goes under
-the cluster's shared folder named by ``spark.checkpoint.dir``.  We only choose
-a folder ourselves when the session has none (local tests), and then we also
-register it as the checkpoint dir so ``DataFrame.checkpoint()`` works.
+the cluster's shared folder named by ``spark.checkpoint.dir``.  Only a session
+with a ``local`` master may leave it unset (tests); it then gets a folder of
+its own.  The caller's session is never changed.
 """
 
 from __future__ import annotations
@@ -12,26 +12,27 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+#: Folders of local sessions without a configured one, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
     """Root folder shared by driver and executors (``spark.checkpoint.dir``)."""
     root = spark.conf.get(_CONF, None)
     if not root:
-        root = spark.sparkContext.getConf().get(_CONF, None)
-    if not root:
-        # Only reached in local runs without a configured shared folder.
-        root = tempfile.mkdtemp(prefix="featflow-")
-        spark.conf.set(_CONF, root)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # pragma: no cover - e.g. Spark Connect has no sparkContext
-        pass
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {_CONF} to a folder that the driver and all executors share")
+        app = spark.conf.get("spark.app.id", "local")
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="featflow-")
+        root = _LOCAL_ROOTS[app]
     return root.rstrip("/")
 
 
@@ -62,27 +63,46 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def stage(spark: SparkSession, df, label: str = "batch"):
+def stage(spark: SparkSession, df: DataFrame, label: str = "batch") -> DataFrame:
     """Materialise ``df`` once on shared storage and return a frame reading it.
 
-    Cuts lineage: later readers (checks, subqueries, merges) read the staged
-    files instead of re-running the plan, and a lost executor re-reads them
-    instead of recomputing from the raw input.
+    Cuts lineage: later readers read the staged files instead of re-running the
+    plan, and a lost executor re-reads them instead of recomputing from the raw
+    input.  The files stay for as long as lazy readers may need them; use
+    :func:`staged` where they are only needed inside a block.
     """
     path = fresh_path(spark, "stage", label)
     df.write.format("parquet").save(path)
-    return spark.read.format("parquet").load(path)
+    return spark.read.schema(df.schema).format("parquet").load(path)
+
+
+@contextmanager
+def staged(spark: SparkSession, df: DataFrame, label: str = "batch") -> Iterator[DataFrame]:
+    """:func:`stage` for the length of a block; the files go afterwards."""
+    path = fresh_path(spark, "stage", label)
+    df.write.format("parquet").save(path)
+    try:
+        yield spark.read.schema(df.schema).format("parquet").load(path)
+    finally:
+        delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whichever file system it is on."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
 
 
-def spread(df):
-    """Round-robin ``df`` over the cluster's cores when it has fewer partitions.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a plain scan of few files over the cluster's cores.
 
-    For CPU-heavy, row-local work fed by a few large files (model fitting,
-    tree SHAP).  On a cluster reading many files this is a no-op.
+    For CPU-heavy, row-local work.  Looks at the number of input files only, so
+    nothing is run to decide; a scan of many files is left as it is.
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        if len(df.inputFiles()) < cores:
             return df.repartition(cores)
     except Exception:  # Spark Connect: keep the layout
         pass
@@ -100,7 +120,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     and splits skewed ones.
     """
     cores = max(1, executors * cores_per_executor)
-    shuffle = min(100_000, max(cores * 3, -(-input_bytes // partition_bytes)))
+    shuffle = max(cores * 3, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -8,22 +8,15 @@ files), with inference still available.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def default_format(spark: SparkSession) -> str:
-    """``delta`` when the session has the Delta reader on its classpath, else ``parquet``."""
-    try:
-        spark._jvm.java.lang.Class.forName("io.delta.sql.DeltaSparkSessionExtension")
-        return "delta"
-    except Exception:
-        return "parquet"
-
-
-def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Scan a stored table by path (columns pruned and filters pushed by Catalyst)."""
-    return spark.read.format(fmt or default_format(spark)).load(path)
+    return spark.read.format(fmt).load(path)
 
 
 def read_named(spark: SparkSession, name: str) -> DataFrame:
@@ -53,12 +46,23 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def sample_range(df: DataFrame, ts_column: str, start=None, end=None,
-                 fraction: float = 1.0, seed: int = 42) -> DataFrame:
-    """Date-range restriction then a seeded Bernoulli sample (input preparation)."""
+                 fraction: float = 1.0, seed: int = 42,
+                 key_cols: Sequence[str] | None = None) -> DataFrame:
+    """Date-range restriction then a seeded sample (input preparation).
+
+    With ``key_cols`` a row is taken by the hash of its key, the same rows
+    wherever and however often this runs; otherwise by ``DataFrame.sample``,
+    which depends on the partitioning.
+    """
     from featflow.functions.times import filter_df_by_ts
+    from featflow.operators.models import hash_fraction
 
     out = filter_df_by_ts(df, ts_column, start, end)
-    return out if fraction >= 1.0 else out.sample(fraction=fraction, seed=seed)
+    if fraction >= 1.0:
+        return out
+    if key_cols:
+        return out.where(hash_fraction(key_cols, seed) < fraction)
+    return out.sample(fraction=fraction, seed=seed)
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

@@ -12,19 +12,25 @@ user can read the table with plain SQL.
 ``write_table(mode="merge")`` is an upsert by primary key without a
 transactional table format: only the partitions the incoming rows touch are
 rewritten.  Old rows of those partitions whose key is not in the batch are
-kept (anti join), incoming rows win on a key match.  The rewritten partitions
-go to a fresh folder and each catalog partition is then repointed at its new
-files (``ALTER TABLE ... PARTITION ... SET LOCATION``): every partition is
-always complete, old or new, even if the driver dies half way; old folders
-are removed only after the switch.  Lost executors just retry tasks.  Columns
-absent from the batch keep their stored value for existing keys (null for new
-keys).  Without JVM catalog access (Spark Connect) the fallback is a dynamic
-partition overwrite.  When the session catalog can run ``MERGE INTO`` (a
-Delta table) a user can do that instead; we do not depend on it.
+kept (anti join), incoming rows win on a key match.  Columns absent from the
+batch keep their stored value for existing keys (null for new keys).
+
+There is one write path.  New files always go to a fresh version folder of the
+table; what was written is listed from the file system (so partition values
+are named as Spark renders them, whatever their type); then each catalog
+partition (or the unpartitioned table) is pointed at its new files, and it is
+checked that every written partition is registered.  A partition is thus always
+complete, old or new, even if the driver dies half way.  Replaced files stay
+for readers that still scan them until :func:`vacuum` removes them.  An empty
+string as partition value is stored as null, as Spark's file layout does.
+When the session catalog can run ``MERGE INTO`` (a Delta table) a user can do
+that instead; we do not depend on it.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -32,14 +38,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from featflow.session import fresh_path, shared_root, stage
+from featflow.session import delete_path, fresh_path, shared_root, staged
 
 _P = "featflow."
 _KEYS = _P + "primary_keys"
 _PARTS = _P + "partition_columns"
 _PART_OF_KEY = _P + "partition_of_key"
 _TIME_KEY = _P + "partition_time_key"
+_BASE = _P + "base_path"
 _TAG = _P + "tag."
+_VERSIONS = "_versions"
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 class FeatureTableError(ValueError):
@@ -131,6 +140,7 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
         _KEYS: ",".join(keys),
         _PARTS: ",".join(parts),
         _PART_OF_KEY: str(bool(partition_of_key)).lower(),
+        _BASE: location,
     }
     if partition_time_key:
         if partition_time_key not in keys or len(parts) != 1:
@@ -144,47 +154,16 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
         f"LOCATION {_lit(location)} COMMENT {_lit(description)} TBLPROPERTIES ({prop_sql})"
     )
     if df is not None:
-        # Write once, then check the keys on the written (compact) table rather
-        # than evaluating the source plan a second time.
-        _write_rows(spark, name, df.select(*names), parts, location, overwrite=False)
         try:
-            if validate:
-                check_keys(spark.table(name), keys)
+            _replace(spark, name, df.select(*names), parts, location, set(),
+                     keys if validate else ())
         except FeatureTableError:
             drop_table(spark, name)
-            _delete_path(spark, location)
+            delete_path(spark, location)
             raise
     return get_table(spark, name)
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _write_rows(spark: SparkSession, name: str, df: DataFrame, parts: Sequence[str],
-                location: str, overwrite: bool) -> None:
-    writer = df.write.format("parquet")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    if overwrite:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.save(location)
-    _register_files(spark, name, bool(parts))
-
-
-def _register_files(spark: SparkSession, name: str, partitioned: bool) -> None:
-    """Make the catalog see new files; refresh size statistics (file sizes only,
-    no scan) so the planner can size-check lookups against this table."""
-    if partitioned:
-        spark.sql(f"ALTER TABLE {_q(name)} RECOVER PARTITIONS")
-    spark.sql(f"REFRESH TABLE {_q(name)}")
-    spark.sql(f"ANALYZE TABLE {_q(name)} COMPUTE STATISTICS NOSCAN")
-
-
 def get_table(spark: SparkSession, name: str) -> FeatureTable:
     """Keys, partitioning, description, tags, location and feature names."""
     props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_q(name)}").collect()}
@@ -204,7 +183,7 @@ def get_table(spark: SparkSession, name: str) -> FeatureTable:
         partition_columns=parts,
         features=tuple(c for c in cols if c not in keys and c not in parts),
         description=meta.description or "",
-        path=detail.get("Location", ""),
+        path=props.get(_BASE) or detail.get("Location", ""),
         partition_of_key=props.get(_PART_OF_KEY, "true") == "true",
         tags={k[len(_TAG):]: v for k, v in props.items() if k.startswith(_TAG)},
         partition_time_key=props.get(_TIME_KEY),
@@ -231,12 +210,19 @@ def delete_feature_table_tag(spark: SparkSession, table_name: str, key: str) ->
     spark.sql(f"ALTER TABLE {_q(table_name)} UNSET TBLPROPERTIES IF EXISTS ({_lit(_TAG + key)})")
 
 
+def _named(parts: Sequence[str]):
+    """Partition values as the text Spark names folders with (null stays null)."""
+    return [F.nullif(F.col(p).cast("string"), F.lit("")).alias(p) for p in parts]
+
+
 def _partition_filter(parts: Sequence[str], values: list[tuple]):
+    """Rows of the listed partitions (values as folder text); prunes partitions."""
     cond = F.lit(False)
     for v in values:
         one = F.lit(True)
         for p, x in zip(parts, v):
-            one = one & (F.col(p).isNull() if x is None else (F.col(p) == F.lit(x)))
+            text = F.col(p).cast("string")
+            one = one & (text.isNull() if x is None else (text == F.lit(x)))
         cond = cond | one
     return cond
 
@@ -253,129 +239,148 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
     if extra:
         raise FeatureTableError(f"columns not in {name}: {extra}")
     keys, parts = list(t.primary_keys), list(t.partition_columns)
-    df = stage(spark, df, name.replace(".", "_"))
-    if validate:
-        check_keys(df, keys)
+    missing = [c for c in table_cols if c not in df.columns]
     if mode == "overwrite":
-        missing = [c for c in table_cols if c not in df.columns]
         if missing:
             raise FeatureTableError(f"overwrite needs every column; missing {missing}")
-        frame = df.select(*table_cols)
-        if parts:
-            values = [tuple(r) for r in frame.select(*parts).distinct().collect()]
-            if _swap_partitions(spark, name, frame, parts, values, drop_others=True):
-                return
-        writer = frame.write.format("parquet").mode("overwrite")
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.save(t.path)
-        _register_files(spark, name, bool(parts))
+        _replace(spark, name, df.select(*table_cols), parts, t.path, None,
+                 keys if validate else ())
         return
     if mode != "merge":
         raise FeatureTableError("mode must be 'merge' or 'overwrite'")
+    with staged(spark, df, name.replace(".", "_")) as batch:
+        if validate:
+            check_keys(batch, keys)
+        _merge(spark, t, batch, table_cols, missing)
 
-    existing = spark.table(name)
-    missing = [c for c in table_cols if c not in df.columns]
-    incoming = df
+
+def _merge(spark: SparkSession, t: FeatureTable, batch: DataFrame, table_cols: list[str],
+           missing: list[str]) -> None:
+    existing = spark.table(t.name)
+    keys, parts = list(t.primary_keys), list(t.partition_columns)
+    replaced: set[str] = set()
+    if parts:
+        # Distinct partition values of the batch: bounded by the table's
+        # partition count (months), never by its row count.
+        touched = batch.select(*_named(parts))
+        if not t.partition_of_key:
+            touched = touched.unionByName(
+                existing.join(batch.select(*keys), keys, "left_semi").select(*_named(parts)))
+        values = [tuple(r) for r in touched.distinct().collect()]
+        if not values:
+            return
+        existing = existing.where(_partition_filter(parts, values))
+        replaced = {_folder(spark, parts, v) for v in values}
+    incoming = batch
     if missing:
         # Columns not supplied keep their stored value for existing keys.
-        incoming = df.join(existing.select(*keys, *missing), keys, "left")
+        incoming = batch.join(existing.select(*keys, *missing), keys, "left")
     incoming = incoming.select(*table_cols)
+    keep = existing.select(*table_cols).join(incoming.select(*keys), keys, "left_anti")
+    _replace(spark, t.name, keep.select(*table_cols).unionByName(incoming), parts, t.path,
+             replaced, ())
 
-    if not parts:
-        keep = existing.join(incoming.select(*keys), keys, "left_anti")
-        merged = keep.unionByName(incoming)
-        # Unpartitioned tables are rewritten whole; stage through a new folder
-        # because Spark refuses to overwrite a path it is reading.
-        stage(spark, merged, "merged").write.format("parquet").mode("overwrite").save(t.path)
-        _register_files(spark, name, False)
-        return
 
-    # Distinct partition values of the batch: bounded by the table's partition
-    # count (months), never by its row count.
-    touched = incoming.select(*parts)
-    if not t.partition_of_key:
-        touched = touched.unionByName(
-            existing.join(incoming.select(*keys), keys, "left_semi").select(*parts))
-    values = [tuple(r) for r in touched.distinct().collect()]
-    if not values:
-        return
-    keep = existing.where(_partition_filter(parts, values)).join(
-        incoming.select(*keys), keys, "left_anti")
-    merged = keep.select(*table_cols).unionByName(incoming)
-    if not _swap_partitions(spark, name, merged, parts, values):
-        _write_rows(spark, name, merged, parts, t.path, overwrite=True)
-
-
-def _swap_partitions(spark: SparkSession, name: str, frame: DataFrame, parts: Sequence[str],
-                     values: list[tuple], drop_others: bool = False) -> bool:
-    """Write ``frame`` to a fresh folder, then repoint each touched partition at it.
-
-    Each ``ALTER TABLE ... PARTITION ... SET LOCATION`` is one catalog update,
-    so after a crash every partition still points at complete files (old or
-    new); nothing is deleted before the switch.  Replaced partition folders are
-    removed afterwards.  Returns False where the catalog route is unavailable
-    (null partition values, no JVM access) so the caller can fall back to a
-    dynamic partition overwrite.
+def _folder(spark: SparkSession, parts: Sequence[str], values: Sequence[str | None]) -> str:
+    """Relative folder of a partition, escaped as Spark does."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(f"{names.escapePathName(p)}="
+                    f"{_NULL_FOLDER if v is None else names.escapePathName(v)}"
+                    for p, v in zip(parts, values))
+
+
+def _spec(spark: SparkSession, folder: str) -> str:
+    """``PARTITION`` clause of a relative folder."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    out = []
+    for part in folder.split("/"):
+        k, _, v = part.partition("=")
+        value = "null" if v == _NULL_FOLDER else _lit(names.unescapePathName(v))
+        out.append(f"`{names.unescapePathName(k)}`={value}")
+    return f"PARTITION ({', '.join(out)})"
+
+
+def _list(spark: SparkSession, path: str, depth: int) -> list[tuple[str, int]]:
+    """(path relative to ``path``, modification time in ms) of folders ``depth`` down."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [("", root, 0)]
+    for _ in range(depth):
+        found = [(f"{rel}/{x.getPath().getName()}".lstrip("/"), x.getPath(),
+                  x.getModificationTime())
+                 for rel, p, _ in found if fs.exists(p)
+                 for x in fs.listStatus(p)
+                 if x.isDirectory() and not x.getPath().getName().startswith("_temporary")]
+    return [(rel, at) for rel, _, at in found]
+
+
+def _partitions(spark: SparkSession, name: str) -> set[str]:
+    return {r[0] for r in spark.sql(f"SHOW PARTITIONS {_q(name)}").collect()}
+
+
+def _replace(spark: SparkSession, name: str, frame: DataFrame, parts: Sequence[str], base: str,
+             replaced: set[str] | None, check: Sequence[str]) -> None:
+    """Write ``frame`` to a new version folder and switch the table to it.
+
+    ``replaced`` names the partitions whose present rows are superseded by
+    ``frame`` (None: all); those it has no rows for are dropped.  ``check``:
+    key columns to validate on the written files before the switch.
     """
-    if any(v is None for row in values for v in row):
-        return False
-    try:
-        jvm = spark.sparkContext._jvm
-        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:
-        return False
-    root = fresh_path(spark, "partitions", name.replace(".", "_"))
-    frame.write.format("parquet").partitionBy(*parts).save(root)
-
-    def rel(v):
-        return "/".join(f"{p}={escape(str(x))}" for p, x in zip(parts, v))
-
-    def spec(v):
-        return ", ".join(f"`{p}`={_lit(str(x))}" for p, x in zip(parts, v))
-
-    def location(v):
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)} PARTITION ({spec(v)})").collect()
-        return next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
-
-    def fs_path(path):
-        hp = jvm.org.apache.hadoop.fs.Path(path)
-        return hp, hp.getFileSystem(conf)
-
-    current = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_q(name)}").collect()}
-    retired = []
-    for v in values:
-        new_loc = f"{root}/{rel(v)}"
-        hp, fs = fs_path(new_loc)
-        if rel(v) in current:
-            old = location(v)
-            if fs.exists(hp):
-                spark.sql(f"ALTER TABLE {_q(name)} PARTITION ({spec(v)}) "
-                          f"SET LOCATION {_lit(new_loc)}")
-            else:  # every row of this partition moved out
-                spark.sql(f"ALTER TABLE {_q(name)} DROP PARTITION ({spec(v)})")
-            retired.append(old)
-        elif fs.exists(hp):
-            spark.sql(f"ALTER TABLE {_q(name)} ADD PARTITION ({spec(v)}) "
-                      f"LOCATION {_lit(new_loc)}")
-    if drop_others:
-        unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-        keep = {rel(v) for v in values}
-        for part in current - keep:
-            v = tuple(unescape(kv.split("=", 1)[1]) for kv in part.split("/"))
-            retired.append(location(v))
-            spark.sql(f"ALTER TABLE {_q(name)} DROP PARTITION ({spec(v)})")
+    root = f"{base}/{_VERSIONS}/{uuid.uuid4().hex}"
+    writer = frame.write.format("parquet")
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.save(root)
+    if check:
+        check_keys(spark.read.schema(frame.schema).parquet(root), check)
+    if not parts:
+        spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION {_lit(root)}")
+    else:
+        written = {rel for rel, _ in _list(spark, root, len(parts))}
+        current = _partitions(spark, name)
+        for rel in sorted(written & current):
+            spark.sql(f"ALTER TABLE {_q(name)} {_spec(spark, rel)} "
+                      f"SET LOCATION {_lit(f'{root}/{rel}')}")
+        if written - current:
+            new = " ".join(f"{_spec(spark, rel)} LOCATION {_lit(f'{root}/{rel}')}"
+                           for rel in sorted(written - current))
+            spark.sql(f"ALTER TABLE {_q(name)} ADD {new}")
+        lost = written - _partitions(spark, name)
+        if lost:
+            raise FeatureTableError(f"written partitions not registered in {name}: {sorted(lost)}")
+        gone = (current if replaced is None else replaced & current) - written
+        if gone:
+            spark.sql(f"ALTER TABLE {_q(name)} DROP "
+                      + ", ".join(_spec(spark, rel) for rel in sorted(gone)))
     spark.sql(f"REFRESH TABLE {_q(name)}")
+    # File sizes only, no scan, so that the planner can size joins.
     spark.sql(f"ANALYZE TABLE {_q(name)} COMPUTE STATISTICS NOSCAN")
-    for old in retired:  # best effort: readers of the old listing are done
-        if old:
-            try:
-                hp, fs = fs_path(old)
-                fs.delete(hp, True)
-            except Exception:
-                pass
-    return True
+
+
+def vacuum(spark: SparkSession, name: str, retention_s: float = 7 * 86400) -> int:
+    """Delete replaced files older than the retention time; returns the number
+    of folders removed.  Files the catalog refers to are never touched."""
+    t = get_table(spark, name)
+    state = spark._jsparkSession.sessionState()
+    ident = state.sqlParser().parseTableIdentifier(_q(name))
+    depth = len(t.partition_columns) + 1
+    used = set()
+    if t.partition_columns:
+        found = state.catalog().listPartitions(ident, spark._jvm.scala.Option.empty()).iterator()
+        while found.hasNext():
+            used.add(found.next().storage().locationUri().get().getPath())
+    else:
+        used.add(state.catalog().getTableMetadata(ident).location().getPath())
+    removed = 0
+    before = (time.time() - retention_s) * 1000
+    for rel, at in _list(spark, f"{t.path}/{_VERSIONS}", depth):
+        path = f"{t.path}/{_VERSIONS}/{rel}"
+        plain = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+        if plain not in used and at <= before:
+            delete_path(spark, path)
+            removed += 1
+    return removed
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

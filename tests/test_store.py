@@ -103,3 +103,117 @@ def test_overwrite_replaces_all_partitions_and_merge_after_swap(spark):
     assert parts == ["yyyy_mm=2016-03"]
     est = size_estimate(spark.table(name))
     assert est is not None and est < 10 << 20  # statistics stay usable for broadcast checks
+
+
+TYPED = [
+    ("boolean", ["true", "false", "true"]),
+    ("date", ["DATE'2024-01-01'", "DATE'2024-02-01'", "DATE'2024-01-01'"]),
+    ("timestamp", ["TIMESTAMP'2024-01-01 00:00:00.25'", "TIMESTAMP'2024-03-10 02:30:00'",
+                   "TIMESTAMP'2024-01-01 00:00:00.25'"]),
+    ("double", ["1e-5D", "2.5D", "1e-5D"]),
+    ("string", ["'a b/c=%'", "''", "'a b/c=%'"]),
+    ("string", ["'x'", "null", "'x'"]),
+    ("int", ["7", "-1", "7"]),
+]
+
+
+@pytest.mark.parametrize("kind,values", TYPED)
+@pytest.mark.parametrize("of_key", [True, False])
+def test_typed_partitions_lose_nothing(spark, kind, values, of_key):
+    """Merge and overwrite for partition values of every kind."""
+    name = _name()
+
+    def frame(rows):
+        return spark.sql(" UNION ALL ".join(
+            f"SELECT {k} AS k, '{v}' AS v, CAST({p} AS {kind}) AS p" for k, v, p in rows))
+
+    def rows():
+        return sorted((r.k, r.v) for r in spark.table(name).collect())
+
+    a, b, _ = values
+    store.create_table(spark, name, ["k"], df=frame([(1, "one", a), (2, "two", b)]),
+                       partition_columns="p", partition_of_key=of_key)
+    assert rows() == [(1, "one"), (2, "two")]
+    store.write_table(spark, name, frame([(1, "new", a), (3, "three", b)]))
+    assert rows() == [(1, "new"), (2, "two"), (3, "three")]
+    if not of_key:  # a key moves to another partition, and one partition empties
+        store.write_table(spark, name, frame([(1, "moved", b)]))
+        assert rows() == [(1, "moved"), (2, "two"), (3, "three")]
+    assert spark.table(name).where(f"p <=> CAST(nullif(CAST({b} AS string), '') AS {kind})").count() >= 2
+    store.write_table(spark, name, frame([(9, "nine", b)]), mode="overwrite")
+    assert rows() == [(9, "nine")]
+    store.write_table(spark, name, frame([(9, "nine", b)]).limit(0), mode="overwrite")
+    assert rows() == []
+
+
+def test_replaced_files_outlive_readers_until_vacuum(spark):
+    name = _name()
+    first = spark.createDataFrame([(1, 10, "2016-01", 1.0, 1), (2, 20, "2016-02", 2.0, 2)], SCHEMA)
+    store.create_table(spark, name, ["zip", "ts"], df=first, partition_columns="yyyy_mm")
+    old = spark.table(name)
+    files = old.inputFiles()
+    store.write_table(spark, name, spark.createDataFrame([(1, 10, "2016-01", 5.0, 5)], SCHEMA))
+    assert spark.read.parquet(*files).count() == 2  # a running reader still finds its files
+    assert store.vacuum(spark, name) == 0
+    assert store.vacuum(spark, name, retention_s=-60) == 1
+    assert _rows(spark, name) == [(1, 10, "2016-01", 5.0, 5), (2, 20, "2016-02", 2.0, 2)]
+
+
+def test_merge_leaves_no_staged_files(spark):
+    import os
+
+    from featflow.session import shared_root
+    name = _name()
+    store.create_table(spark, name, ["zip", "ts"], partition_columns="yyyy_mm",
+                       df=spark.createDataFrame([(1, 10, "2016-01", 1.0, 1)], SCHEMA))
+    folder = f"{shared_root(spark)}/featflow"
+    before = set(os.listdir(folder))
+    store.write_table(spark, name, spark.createDataFrame([(1, 10, "2016-01", 5.0, 5)], SCHEMA))
+    assert set(os.listdir(folder)) == before
+
+
+def test_unpartitioned_merge_and_overwrite(spark):
+    name = _name()
+    df = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double")
+    store.create_table(spark, name, ["k"], df=df)
+    store.write_table(spark, name, spark.createDataFrame([(2, 5.0), (3, 3.0)], "k int, v double"))
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, 1.0), (2, 5.0), (3, 3.0)]
+    store.write_table(spark, name, spark.createDataFrame([(4, 4.0)], "k int, v double"), mode="overwrite")
+    assert [tuple(r) for r in spark.table(name).collect()] == [(4, 4.0)]
+    assert store.vacuum(spark, name, retention_s=-60) == 2
+
+
+def test_subset_merge_reads_touched_partitions_only(spark):
+    name = _name()
+    first = spark.createDataFrame([(1, 10, "2016-01", 1.0, 1), (2, 20, "2016-02", 2.0, 2)], SCHEMA)
+    store.create_table(spark, name, ["zip", "ts"], df=first, partition_columns="yyyy_mm")
+    plans = []
+    original = store._replace
+    try:
+        store._replace = lambda s, n, frame, *a: plans.append(frame.inputFiles()) or original(
+            s, n, frame, *a)
+        store.write_table(spark, name, spark.createDataFrame([(1, 10, "2016-01", 7)],
+                                                             "zip int, ts int, yyyy_mm string, b int"))
+    finally:
+        store._replace = original
+    assert any("2016-01" in f for f in plans[0]) and not any("2016-02" in f for f in plans[0])
+    assert _rows(spark, name) == [(1, 10, "2016-01", 1.0, 7), (2, 20, "2016-02", 2.0, 2)]
+
+
+def test_cluster_sessions_need_a_shared_folder():
+    from featflow.session import shared_root
+
+    class Conf:
+        def __init__(self, **kv):
+            self.kv = kv
+
+        def get(self, key, default=None):
+            return self.kv.get(key, default)
+
+    class Session:
+        conf = Conf(**{"spark.master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session)
+    Session.conf = Conf(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///x/"})
+    assert shared_root(Session) == "hdfs:///x"
