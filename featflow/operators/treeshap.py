@@ -1,57 +1,49 @@
 """Exact path-dependent tree SHAP, distributed over rows with ``mapInPandas``.
 
-Model side (small, bounded by the model: trees x leaves)
-    For every leaf we record its value, and for each *distinct* feature on its
-    root path: the interval ``(lo, hi]`` the path imposes and ``z`` -- the
-    product of child/parent cover ratios over that feature's splits.  With
-    path-dependent conditional expectations (Lundberg et al., 2018), a leaf's
-    part of ``E[f(x) | x_S]`` is ``value * prod_g (o_g if g in S else z_g)``,
-    where ``o_g`` = 1 when x lies in the interval of g.  Its Shapley share for
-    feature f is then
-
-        value * (o_f - z_f) * sum_S |S|!(K-|S|-1)!/K! prod_{g in S} o_g prod_{g not in S} z_g
-
-    over subsets S of the other K-1 path features.  It only depends on the
-    leaf and on the 0/1 pattern ``o`` of its K features, so each leaf has a
-    table (2^K patterns x K values).  Tables are built inside the executors
-    (once per Python worker) from the tree description the closure carries.
-
-Row side (large)
-    Arrow batches from ``mapInPandas``: per tree, the pattern of every
-    (row, leaf) is a few vectorised comparisons and a table gather gives the
-    contributions -- from per-feature tables when the tree uses few distinct
-    features, else per path slot followed by a matrix product.  No shuffle by
-    key: the output keeps the row id (a few-partition input is only spread
-    round-robin over the cores).
-
-The expected value is ``sum_leaf value * prod z``.  ``expected + sum(phi)``
-equals the model prediction (additivity) for decision trees, forests (mean of
-trees) and boosted trees (weighted sum).  Continuous splits only
-(``x <= threshold`` goes left), as produced by ``VectorAssembler`` features.
+A leaf's Shapley share for feature j on its path is
+
+    value * (o_j - z_j) * integral over t in (0, 1) of prod_{g != j} (z_g (1 - t) + o_g t)
+
+over the distinct features g of the path, where ``z_g`` is the product of
+child/parent cover ratios over that feature's splits (path-dependent
+conditional expectations, Lundberg et al., 2018) and ``o_g`` is 1 when the row
+takes all of them.  (The integral of t^s (1-t)^(K-1-s) is the Shapley weight
+s!(K-s-1)!/K!.)  The integrand is a polynomial, so Gauss-Legendre quadrature
+with half as many nodes as path features is exact.
+
+Per tree one walk suffices: going down, every node keeps the product of its
+path at the quadrature nodes; going up, leaf values times products are summed,
+and each edge adds its feature's share of the sum below it (and takes back what
+the next edge above on the same feature would have claimed).  Cost per row is
+tree nodes x path features / 2, memory is depth x quadrature nodes, so neither
+depth nor the number of features is limited, and no table is built.
+
+Row side: Arrow batches from ``mapInPandas``, vectorised over the rows of a
+batch.  No shuffle by key: the output keeps the row id and, on request, the
+model's prediction (a few-file input is only dealt over the cores).
+
+``expected + sum(phi)`` equals the model prediction (additivity) for decision
+trees, forests (mean of trees) and boosted trees (weighted sum).  Continuous
+splits only (``x <= threshold`` goes left), as produced by ``VectorAssembler``.
 """
 
 from __future__ import annotations
 
-import hashlib
-import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 
 from featflow.session import ship_package, spread
 
-# A leaf table has 2^K x K entries; refuse paths with more distinct features,
-# and trees whose tables (leaves x 2^K x K doubles) would not fit a worker.
-MAX_PATH_FEATURES = 12
-MAX_TABLE_ENTRIES = 25_000_000
-_CHUNK_ELEMS = 4_000_000
-# Compiled leaf tables of the last model used in this (reused) Python worker.
-_TABLE_CACHE: dict[str, list] = {}
+# Rows explained together; bounds the memory of a walk (depth x nodes x rows).
+_ROWS = 4096
+# Stands in for a cover ratio of zero (a branch no training row took).
+_TINY = 1e-30
 
 
 @dataclass
@@ -90,28 +82,71 @@ class Tree:
             go_left = X[idx, f[idx]] <= self.threshold[node[idx]]
             node[idx] = np.where(go_left, self.left[node[idx]], self.right[node[idx]])
 
-    def leaf_paths(self):
-        """Per leaf: value, and per distinct path feature (feature, lo, hi, z)."""
-        leaves = []
-        stack = [(0, {})]
+    def ratio(self, child: int, parent: int) -> float:
+        return float(self.cover[child] / self.cover[parent]) if self.cover[parent] > 0 else 0.0
+
+    def path_features(self) -> int:
+        """Most distinct features on any path."""
+        most, stack = 0, [(0, frozenset())]
+        while stack:
+            i, seen = stack.pop()
+            if self.feature[i] < 0:
+                most = max(most, len(seen))
+            else:
+                seen = seen | {int(self.feature[i])}
+                stack += [(int(self.left[i]), seen), (int(self.right[i]), seen)]
+        return most
+
+    def expected_value(self) -> float:
+        """Mean leaf value, weighted by the cover ratios of the paths."""
+        total, stack = 0.0, [(0, 1.0)]
         while stack:
-            i, path = stack.pop()
+            i, reach = stack.pop()
+            if self.feature[i] < 0:
+                total += reach * float(self.value[i])
+            else:
+                for c in (int(self.left[i]), int(self.right[i])):
+                    stack.append((c, reach * self.ratio(c, i)))
+        return total
+
+    def add_shap(self, X: np.ndarray, weight: float, phi: np.ndarray) -> None:
+        """Add this tree's weighted shares for the rows of ``X`` to ``phi``."""
+        features = self.path_features()
+        if not features:
+            return
+        nodes, weights = np.polynomial.legendre.leggauss((features + 1) // 2)
+        t = ((nodes + 1) / 2)[:, None]
+        w = (weights / 2 * weight)[:, None]
+
+        def factor(o, z):
+            return z * (1 - t) + t * o
+
+        def share(o, z, f, below):
+            return (o - z) * (w * below / f).sum(axis=0)
+
+        def walk(i: int, product: np.ndarray, taken: dict) -> np.ndarray:
+            """Sum over the leaves below node i of value x path product."""
             f = int(self.feature[i])
             if f < 0:
-                leaves.append((float(self.value[i]), path))
-                continue
-            thr = float(self.threshold[i])
-            for child, is_left in ((int(self.left[i]), True), (int(self.right[i]), False)):
-                lo, hi, z = path.get(f, (-np.inf, np.inf, 1.0))
-                ratio = self.cover[child] / self.cover[i] if self.cover[i] > 0 else 0.0
-                if is_left:
-                    hi = min(hi, thr)
-                else:
-                    lo = max(lo, thr)
-                p = dict(path)
-                p[f] = (lo, hi, z * ratio)
-                stack.append((child, p))
-        return leaves
+                return product * float(self.value[i])
+            left = (X[:, f] <= self.threshold[i]).astype(np.float64)
+            above = taken.get(f)
+            total = None
+            for child, goes in ((int(self.left[i]), left), (int(self.right[i]), 1 - left)):
+                z = max(self.ratio(child, i), _TINY)
+                o = goes
+                if above is not None:
+                    z, o = z * above[1], o * above[0]
+                own = factor(o, z)
+                inner = product * own if above is None else product * (own / above[2])
+                below = walk(child, inner, {**taken, f: (o, z, own)})
+                phi[:, f] += share(o, z, own, below)
+                if above is not None:
+                    phi[:, f] -= share(above[0], above[1], above[2], below)
+                total = below if total is None else total + below
+            return total
+
+        walk(0, np.ones((len(t), len(X))), {})
 
 
 @dataclass
@@ -120,144 +155,26 @@ class Ensemble:
     trees: list[Tree]
     weights: list[float]
     feature_names: list[str]
-    _compiled: list = field(default=None, repr=False, compare=False)
 
     def predict(self, X: np.ndarray) -> np.ndarray:
         return sum(w * t.predict(X) for t, w in zip(self.trees, self.weights))
 
-    def __getstate__(self):
-        # Ship only the tree description; leaf tables are rebuilt where used.
-        state = dict(self.__dict__)
-        state["_compiled"] = None
-        return state
-
-    def fingerprint(self) -> str:
-        h = hashlib.sha1()
-        for t, w in zip(self.trees, self.weights):
-            h.update(np.float64(w).tobytes())
-            for a in (t.feature, t.threshold, t.left, t.right, t.value, t.cover):
-                h.update(np.ascontiguousarray(a).tobytes())
-        h.update("|".join(self.feature_names).encode())
-        return h.hexdigest()
-
-    def compiled(self):
-        if self._compiled is None:
-            key = self.fingerprint()
-            if key not in _TABLE_CACHE:
-                d = len(self.feature_names)
-                _TABLE_CACHE.clear()  # keep one model per Python worker
-                _TABLE_CACHE[key] = [_compile(t, w, d) for t, w in zip(self.trees, self.weights)]
-            self._compiled = _TABLE_CACHE[key]
-        return self._compiled
-
     def expected_value(self) -> float:
-        return float(sum(c["base"] for c in self.compiled()))
+        return float(sum(w * t.expected_value() for t, w in zip(self.trees, self.weights)))
 
     def shap(self, X: np.ndarray) -> np.ndarray:
         """phi (n x d) for a dense float matrix."""
         X = np.asarray(X, dtype=np.float64)
-        n, d = X.shape
-        phi = np.zeros((n, d))
-        for c in self.compiled():
-            L, K = c["feats"].shape
-            if L == 0 or K == 0:
-                continue
-            step = max(1, _CHUNK_ELEMS // (L * K))
-            for s in range(0, n, step):
-                xb = X[s:s + step]
-                mask = _patterns(xb, c)  # (b, L): 0/1 pattern of each leaf's features
-                if "ftab" in c:
-                    # Few distinct features in this tree: one (b, L) gather each.
-                    idx = mask + c["row_offset"]
-                    for f, tab in zip(c["used"], c["ftab"]):
-                        phi[s:s + step, f] += np.take(tab, idx).sum(1)
-                else:
-                    contrib = c["table"][c["leaf_idx"], mask]  # (b, L, K)
-                    phi[s:s + step] += contrib.reshape(len(xb), L * K) @ c["scatter"]
+        phi = np.zeros(X.shape)
+        for s in range(0, len(X), _ROWS):
+            part = np.asfortranarray(X[s:s + _ROWS])
+            out = np.zeros(part.shape, order="F")
+            for tree, weight in zip(self.trees, self.weights):
+                tree.add_shap(part, weight, out)
+            phi[s:s + _ROWS] = out
         return phi
 
 
-def _patterns(xb: np.ndarray, c: dict) -> np.ndarray:
-    feats, lo, hi, valid = c["feats"], c["lo"], c["hi"], c["valid"]
-    mask = np.zeros((len(xb), feats.shape[0]), np.int64)
-    for k in range(feats.shape[1]):
-        xv = xb[:, feats[:, k]]
-        inside = ((xv > lo[:, k]) & (xv <= hi[:, k])) | ~valid[:, k]
-        mask |= inside.astype(np.int64) << k
-    return mask
-
-
-def _shapley_tables(values: np.ndarray, z: np.ndarray, K: int) -> np.ndarray:
-    """(L, 2^K, K) Shapley shares for every leaf and 0/1 pattern of its features."""
-    L = len(values)
-    M = 1 << K
-    bits = ((np.arange(M)[:, None] >> np.arange(K)[None, :]) & 1).astype(np.float64)
-    O = np.broadcast_to(bits[None], (L, M, K))
-    Z = np.broadcast_to(z[:, None, :], (L, M, K))
-    coef = np.array([math.factorial(s) * math.factorial(K - s - 1) / math.factorial(K)
-                     for s in range(K)])
-    out = np.zeros((L, M, K))
-    for j in range(K):
-        # Coefficients of prod_{g != j} (z_g + o_g t), degree < K.
-        poly = np.zeros((L, M, K))
-        poly[..., 0] = 1.0
-        for g in range(K):
-            if g == j:
-                continue
-            shifted = np.zeros_like(poly)
-            shifted[..., 1:] = poly[..., :-1]
-            poly = poly * Z[..., g:g + 1] + shifted * O[..., g:g + 1]
-        out[..., j] = (O[..., j] - Z[..., j]) * (poly @ coef)
-    return out * values[:, None, None]
-
-
-def _compile(tree: Tree, weight: float, n_features: int) -> dict:
-    leaves = tree.leaf_paths()
-    L = len(leaves)
-    K = max((len(p) for _, p in leaves), default=0)
-    if K > MAX_PATH_FEATURES:
-        raise ValueError(f"a leaf path uses {K} distinct features; at most "
-                         f"{MAX_PATH_FEATURES} are supported")
-    if L * (1 << K) * K > MAX_TABLE_ENTRIES:
-        raise ValueError(f"tree too large for leaf tables: {L} leaves x 2^{K} patterns x {K} "
-                         f"features exceeds {MAX_TABLE_ENTRIES} entries")
-    feats = np.zeros((L, K), np.int64)
-    lo = np.full((L, K), -np.inf)
-    hi = np.full((L, K), np.inf)
-    z = np.ones((L, K))
-    valid = np.zeros((L, K), bool)
-    values = np.zeros(L)
-    base = 0.0
-    for i, (v, path) in enumerate(leaves):
-        values[i] = v
-        reach = 1.0
-        for k, (f, (a, b, zz)) in enumerate(sorted(path.items())):
-            feats[i, k], lo[i, k], hi[i, k], z[i, k], valid[i, k] = f, a, b, zz, True
-            reach *= zz
-        base += v * reach
-    # Padding slots act as dummy players (o = z = 1): they change no share.
-    table = _shapley_tables(values * weight, z, K) if K else np.zeros((L, 1, 0))
-    if valid.any() and int(feats[valid].max()) >= n_features:
-        raise ValueError("tree splits on a feature index beyond the feature list")
-    scatter = np.zeros((L * K, n_features))
-    rows = np.arange(L * K)[valid.ravel()]
-    scatter[rows, feats.ravel()[valid.ravel()]] = 1.0
-    out = {"feats": feats, "lo": lo, "hi": hi, "valid": valid, "table": table,
-           "leaf_idx": np.arange(L)[None, :], "scatter": scatter, "base": weight * base}
-    used = sorted(set(feats[valid].tolist()))
-    if K and len(used) <= K:
-        # Per-feature tables (leaf x pattern), flattened for np.take.
-        M = table.shape[1]
-        ftab = np.zeros((len(used), L, M))
-        for j, f in enumerate(used):
-            for k in range(K):
-                sel = valid[:, k] & (feats[:, k] == f)
-                ftab[j, sel] += table[sel, :, k]
-        out.update(used=used, ftab=[t.ravel() for t in ftab],
-                   row_offset=(np.arange(L) * M)[None, :])
-    return out
-
-
 # ------------------------------------------------------- from Spark ML models
 def ensemble_from_spark(spark: SparkSession, model, feature_names: Sequence[str],
                         path: str | None = None) -> Ensemble:
@@ -310,8 +227,9 @@ def ensemble_from_spark(spark: SparkSession, model, feature_names: Sequence[str]
 # ------------------------------------------------------------ Spark operator
 def shap_values(df: DataFrame, ensemble: Ensemble, feature_cols: Sequence[str] | None = None,
                 id_cols: Sequence[str] = (), dtype: str = "float",
-                prefix: str = "") -> DataFrame:
-    """Per row: ``id_cols``, ``expected_value`` and one phi column per feature.
+                prefix: str = "", prediction_col: str | None = None) -> DataFrame:
+    """Per row: ``id_cols``, ``expected_value`` and one phi column per feature,
+    and the ensemble's prediction where ``prediction_col`` names a column.
 
     Rows with a null or NaN feature are skipped (as the assembler's
     ``handleInvalid='skip'`` does in training).  ``dtype='float'`` gives FLOAT
@@ -327,7 +245,8 @@ def shap_values(df: DataFrame, ensemble: Ensemble, feature_cols: Sequence[str] |
     phi_type = FloatType() if dtype == "float" else DoubleType()
     id_fields = [f for f in src.schema.fields if f.name in ids]
     schema = StructType(id_fields + [StructField("expected_value", DoubleType())]
-                        + [StructField(prefix + c, phi_type) for c in feats])
+                        + [StructField(prefix + c, phi_type) for c in feats]
+                        + ([StructField(prediction_col, DoubleType())] if prediction_col else []))
     np_type = np.float32 if dtype == "float" else np.float64
     model = ensemble
     # Row-local, CPU-heavy work: spread a few-partition input over the cores.
@@ -338,11 +257,14 @@ def shap_values(df: DataFrame, ensemble: Ensemble, feature_cols: Sequence[str] |
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base = model.expected_value()
         for pdf in batches:
-            phi = model.shap(pdf[feats].to_numpy(dtype=np.float64))
+            X = pdf[feats].to_numpy(dtype=np.float64)
+            phi = model.shap(X)
             out = pdf[ids].copy() if ids else pd.DataFrame(index=pdf.index)
             out["expected_value"] = base
             for j, c in enumerate(feats):
                 out[prefix + c] = phi[:, j].astype(np_type)
+            if prediction_col:
+                out[prediction_col] = model.predict(X)
             yield out
 
     return src.mapInPandas(explain, schema)
@@ -350,18 +272,23 @@ def shap_values(df: DataFrame, ensemble: Ensemble, feature_cols: Sequence[str] |
 
 def shap_summary(shap_df: DataFrame, feature_cols: Sequence[str],
                  quantiles: bool = True) -> DataFrame:
-    """Global importance: per feature mean |phi|, mean phi (and |phi| quartiles), ranked.
+    """Global importance: per feature its rank, mean |phi|, mean phi and the
+    exact quartiles of |phi|; rank 1 has the largest mean |phi| (ties by name).
 
-    The data behind a summary plot.  One partial aggregation over an unpivot;
-    the output has one row per feature.
+    The data behind a summary plot.  One partial aggregation over an unpivot
+    (quartiles merge counts per distinct value); the rank is over one row per
+    feature.
     """
     long = shap_df.unpivot([], list(feature_cols), "feature", "phi")
     absval = F.abs(F.col("phi").cast("double"))
     aggs = [F.avg(absval).alias("mean_abs_shap"), F.avg(F.col("phi").cast("double"))
             .alias("mean_shap")]
     if quantiles:
-        aggs.append(F.percentile_approx(absval, [0.25, 0.5, 0.75], 10000).alias("abs_quartiles"))
-    return long.groupBy("feature").agg(*aggs)
+        aggs.append(F.percentile(absval, F.array(*map(F.lit, (0.25, 0.5, 0.75))))
+                    .alias("abs_quartiles"))
+    out = long.groupBy("feature").agg(*aggs)
+    order = Window.orderBy(F.desc("mean_abs_shap"), "feature")
+    return out.withColumn("rank", F.row_number().over(order))
 
 
 def shap_ranked(shap_df: DataFrame, feature_cols: Sequence[str], id_cols: Sequence[str],
