@@ -118,22 +118,31 @@ def parse_date(c: str | Column, fmt: str = "d/M/yyyy") -> Column:
 def time_literal(value, dtype: DataType) -> Column:
     """A literal of the same time kind as the column it is compared with.
 
-    Python ``datetime`` literals would otherwise be read in the *driver's* local
-    zone; we render them as text and cast, so an NTZ column is compared with an
-    NTZ literal (and the filter reaches the Parquet scan as a pushed filter).
+    Bounds are instants: one with a UTC offset (an aware ``datetime`` or text
+    ending in an offset) is that instant, one without is UTC wall-clock time,
+    whatever the zone of the session or the driver.  NTZ columns hold UTC
+    wall-clock time.  A literal of the column's own type lets the filter reach
+    the Parquet scan.
     """
     if isinstance(value, Column):
         return value
+    if isinstance(value, str):
+        try:
+            value = _dt.datetime.fromisoformat(value)
+        except ValueError:
+            pass
     if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
         text = value.isoformat(sep=" ")
     elif isinstance(value, _dt.date):
-        text = value.isoformat()
+        text = f"{value.isoformat()} 00:00:00"
     else:
         text = str(value)
     if isinstance(dtype, TimestampNTZType):
         return F.lit(text).cast("timestamp_ntz")
     if isinstance(dtype, TimestampType):
-        return F.lit(text).cast("timestamp")
+        return F.lit(f"{text}+00:00").cast("timestamp")
     if isinstance(dtype, DateType):
         return F.lit(text).cast("date")
     return F.lit(value)

@@ -7,32 +7,28 @@ Each lookup is one left equi-join, so every base row survives and rows whose
 key is missing or null get null features.
 
 Join strategy is Spark's: the feature side is keyed unique, so the join never
-multiplies rows; AQE turns it into a broadcast hash join when the runtime
-size of the (pruned) feature side is under the broadcast threshold, and
-otherwise a sort-merge join whose skewed base partitions AQE splits.  An
-explicit ``broadcast_max_bytes`` broadcasts the feature side only when the
-optimizer's size estimate of the pruned side is below that bound.
+multiplies rows; it is a broadcast hash join when the size of the (pruned)
+feature side, estimated or measured at run time, is under the broadcast
+threshold, and otherwise a sort-merge join whose skewed base partitions AQE
+splits.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
+from featflow.functions.times import month_key
 from featflow.sources.store import get_table
 
 
-# Broadcast the feature side of a lookup when the optimizer's size estimate of
-# its pruned scan is at most this many bytes; otherwise let AQE pick (sort-merge
-# join with skew splitting).  None leaves the choice to Spark alone.
-DEFAULT_BROADCAST_BYTES = 64 << 20
-
-
 class LookupError_(ValueError):
     """Invalid lookup spec (name clash, key arity, missing column)."""
 
@@ -69,25 +65,28 @@ def size_estimate(df: DataFrame) -> int | None:
         return None
 
 
-def _month(epoch_s: int) -> str:
-    d = _dt.datetime.fromtimestamp(int(epoch_s), _dt.timezone.utc)
-    return f"{d.year:04d}-{d.month:02d}"
+def _month(key) -> Column:
+    """``YYYY-MM`` (UTC) of an epoch-seconds column, whatever the session zone."""
+    # Keys no 32-bit time can equal have no month, and no match.
+    near = F.when(key.between(-(1 << 31), (1 << 31) - 1), key)
+    wall = F.expr("TIMESTAMP_NTZ'1970-01-01'") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), near)
+    return F.when(wall.isNotNull(), month_key(wall, TimestampNTZType()))
 
 
-def _month_range_filter(table, lookup: FeatureLookup, base: DataFrame):
-    """``part BETWEEN lo AND hi`` from the base's key range (one small aggregation)."""
-    if not table.partition_time_key:
-        return None
-    base_col = lookup.lookup_key[list(table.primary_keys).index(table.partition_time_key)]
-    lo, hi = base.agg(F.min(base_col), F.max(base_col)).collect()[0]
-    part = F.col(table.partition_columns[0])
-    if lo is None:
-        return F.lit(False)  # no key in the base: no partition can match
-    return part.between(F.lit(_month(lo)), F.lit(_month(hi)))
-
+def lookup_features(spark: SparkSession, base: DataFrame, lookup: FeatureLookup) -> DataFrame:
+    """Left-join the named features of one feature table onto ``base``.
 
-def _feature_side(spark: SparkSession, lookup: FeatureLookup, base: DataFrame,
-                  prune_partitions: bool = False) -> DataFrame:
+    Keys are compared in the wider of both types, so a key beyond the base
+    column's range is a miss.  For a table with ``partition_time_key`` the month
+    derived from the base's time key joins the partition column too, so Spark
+    can prune months dynamically when the base is selective.  How the join runs
+    (broadcast, sort-merge with skew splitting) is Spark's choice, from file
+    sizes and, at run time, from measured sizes.
+    """
+    clash = [f for f in lookup.feature_names if f in base.columns]
+    if clash:
+        raise LookupError_(f"feature names already in the frame: {clash}")
     table = get_table(spark, lookup.table_name)
     keys = table.primary_keys
     if len(keys) != len(lookup.lookup_key):
@@ -100,42 +99,23 @@ def _feature_side(spark: SparkSession, lookup: FeatureLookup, base: DataFrame,
     unknown = [f for f in lookup.feature_names if f not in table.features]
     if unknown:
         raise LookupError_(f"{lookup.table_name} has no feature {unknown}")
-    base_types = dict(base.dtypes)
     feats = spark.table(lookup.table_name)
-    if prune_partitions:
-        cond = _month_range_filter(table, lookup, base)
-        if cond is not None:
-            feats = feats.where(cond)
-    return feats.select(
-        *[F.col(k).cast(base_types[b]).alias(b) for k, b in zip(keys, lookup.lookup_key)],
-        *lookup.feature_names,
-    )
-
-
-def lookup_features(spark: SparkSession, base: DataFrame, lookup: FeatureLookup,
-                    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
-                    prune_partitions: bool = False) -> DataFrame:
-    """Left-join the named features of one feature table onto ``base``.
-
-    ``prune_partitions`` (tables created with ``partition_time_key``): read only
-    the months spanned by the base's lookup keys -- a static partition filter
-    on the feature scan, at the cost of one min/max aggregation over the base's
-    key column.  Worth it when a narrow batch is scored against a long history.
-    """
-    clash = [f for f in lookup.feature_names if f in base.columns]
-    if clash:
-        raise LookupError_(f"feature names already in the frame: {clash}")
-    side = _feature_side(spark, lookup, base, prune_partitions)
-    if broadcast_max_bytes is not None:
-        est = size_estimate(side)
-        if est is not None and est <= broadcast_max_bytes:
-            side = F.broadcast(side)
-    return base.join(side, on=list(lookup.lookup_key), how="left")
-
-
-def apply_lookups(spark: SparkSession, base: DataFrame, lookups: Sequence[FeatureLookup],
-                  broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
-                  prune_partitions: bool = False) -> DataFrame:
+    own = [f"_ff_key_{i}" for i in range(len(keys))]
+    cols = [F.col(k).alias(o) for k, o in zip(keys, own)]
+    month = table.partition_time_key is not None
+    if month:
+        cols.append(F.col(table.partition_columns[0]).alias("_ff_month"))
+    side = feats.select(*cols, *lookup.feature_names)
+    on = [base[b] == side[o] for b, o in zip(lookup.lookup_key, own)]
+    if month:
+        time_key = lookup.lookup_key[list(keys).index(table.partition_time_key)]
+        on.append(_month(base[time_key]) == side["_ff_month"])
+    return base.join(side, reduce(and_, on), "left").select(
+        *[base[f"`{c}`"] for c in base.columns], *lookup.feature_names)
+
+
+def apply_lookups(spark: SparkSession, base: DataFrame,
+                  lookups: Sequence[FeatureLookup]) -> DataFrame:
     """Chain of left lookups; a feature name may appear only once overall."""
     seen: dict[str, str] = {}
     for lk in lookups:
@@ -145,7 +125,7 @@ def apply_lookups(spark: SparkSession, base: DataFrame, lookups: Sequence[Featur
             seen[f] = lk.table_name
     out = base
     for lk in lookups:
-        out = lookup_features(spark, out, lk, broadcast_max_bytes, prune_partitions)
+        out = lookup_features(spark, out, lk)
     return out
 
 
@@ -153,21 +133,19 @@ class TrainingSet:
     """Lazy training frame: base rows + looked-up features, minus exclusions."""
 
     def __init__(self, spark: SparkSession, df: DataFrame, feature_lookups: Sequence[FeatureLookup],
-                 label: str | None, exclude_columns: Sequence[str] = (),
-                 broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES):
+                 label: str | None, exclude_columns: Sequence[str] = ()):
         self.spark = spark
         self.df = df
         self.feature_lookups = tuple(feature_lookups)
         self.label = label
         self.exclude_columns = tuple(exclude_columns)
-        self.broadcast_max_bytes = broadcast_max_bytes
         if label is not None and label not in df.columns:
             raise LookupError_(f"label {label!r} not in the base frame")
         if label in self.exclude_columns:
             raise LookupError_("the label cannot be excluded")
 
     def load_df(self) -> DataFrame:
-        joined = apply_lookups(self.spark, self.df, self.feature_lookups, self.broadcast_max_bytes)
+        joined = apply_lookups(self.spark, self.df, self.feature_lookups)
         return joined.drop(*self.exclude_columns)
 
     def feature_columns(self) -> list[str]:
@@ -184,6 +162,5 @@ class TrainingSet:
 
 def create_training_set(spark: SparkSession, df: DataFrame,
                         feature_lookups: Sequence[FeatureLookup], label: str | None,
-                        exclude_columns: Sequence[str] = (),
-                        broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> TrainingSet:
-    return TrainingSet(spark, df, feature_lookups, label, exclude_columns, broadcast_max_bytes)
+                        exclude_columns: Sequence[str] = ()) -> TrainingSet:
+    return TrainingSet(spark, df, feature_lookups, label, exclude_columns)

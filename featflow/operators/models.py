@@ -12,7 +12,7 @@ import json
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Imputer, ImputerModel, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -22,31 +22,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featflow.operators.lookup import FeatureLookup, TrainingSet, apply_lookups
-from featflow.session import spread
+from featflow.session import spread, staged
 
 FEATURES_COL = "rawFeatures"
 
 
 # ------------------------------------------------------------------ splits
-def hash_bucket(key_cols: Sequence[str], seed: int = 42) -> Column:
-    """0..99 from the md5 of ``"<seed>:<key>"`` (same value in any SQL engine)."""
+def hash_fraction(key_cols: Sequence[str], seed: int = 42) -> Column:
+    """A number in [0, 1) from the md5 of ``"<seed>:<key>"`` (32 bits of it; the
+    same value in any SQL engine)."""
     key = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
-    return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(100))
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
 
 
 def split_by_hash(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0.75,
                   seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Repeatable train/test split by key hash (independent of partitioning)."""
-    b = hash_bucket(key_cols, seed)
-    cut = int(round(train_fraction * 100))
-    return df.where(b < cut), df.where(b >= cut)
+    h = hash_fraction(key_cols, seed)
+    return df.where(h < train_fraction), df.where(h >= train_fraction)
 
 
 def label_split(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0.75,
                 seed: int = 42, col: str = "split") -> DataFrame:
     """Every row with a ``split`` column, ``train`` or ``test``."""
-    cut = int(round(train_fraction * 100))
-    return df.withColumn(col, F.when(hash_bucket(key_cols, seed) < cut, "train")
+    return df.withColumn(col, F.when(hash_fraction(key_cols, seed) < train_fraction, "train")
                          .otherwise("test"))
 
 
@@ -58,8 +57,9 @@ def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42) -> list[Data
 # --------------------------------------------------------------- learners
 def regressor(kind: str, label: str, features_col: str = FEATURES_COL, **params):
     """``dt`` (decision tree), ``rf`` (forest: 100 trees, depth 6, 3 features
-    per split by default) or ``gbt`` (boosting: 100 rounds, depth 5 = at most
-    32 leaves, squared loss)."""
+    per split by default), ``gbt`` (boosting: 100 rounds, depth 5 = at most
+    32 leaves, squared loss) or ``gbt_default`` (boosting with the learner's
+    own defaults: 20 rounds, depth 5)."""
     if kind == "dt":
         return DecisionTreeRegressor(featuresCol=features_col, labelCol=label, **params)
     if kind == "rf":
@@ -70,7 +70,9 @@ def regressor(kind: str, label: str, features_col: str = FEATURES_COL, **params)
         p = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "lossType": "squared", "seed": 42}
         p.update(params)
         return GBTRegressor(featuresCol=features_col, labelCol=label, **p)
-    raise ValueError("kind must be 'dt', 'rf' or 'gbt'")
+    if kind == "gbt_default":
+        return GBTRegressor(featuresCol=features_col, labelCol=label, seed=42, **params)
+    raise ValueError("kind must be 'dt', 'rf', 'gbt' or 'gbt_default'")
 
 
 def assembler(feature_cols: Sequence[str], output_col: str = FEATURES_COL,
@@ -80,25 +82,47 @@ def assembler(feature_cols: Sequence[str], output_col: str = FEATURES_COL,
                            handleInvalid=handle_invalid)
 
 
+def _helpers(n: int) -> tuple[list[str], list[str]]:
+    """Names of the columns an imputing pipeline adds (cast and filled)."""
+    return [f"_ff_cast_{i}" for i in range(n)], [f"_ff_filled_{i}" for i in range(n)]
+
+
 def fit_pipeline(train: DataFrame, feature_cols: Sequence[str], label: str,
                  kind: str = "dt", impute: bool = False, **params) -> PipelineModel:
     """Assembler + regressor, fit on the cluster.
 
-    ``impute=True`` puts a mean ``Imputer`` in front, so rows whose looked-up
-    features are missing are still scored instead of skipped; the means are
-    learnt from ``train`` and saved with the pipeline.
+    The training columns are staged once on shared storage for the length of
+    the fit, so a joined frame is not evaluated again by every stage and
+    iteration.  ``impute=True`` puts a mean ``Imputer`` in front, so rows whose
+    looked-up features are missing count too; the means are learnt from
+    ``train`` and saved with the pipeline.  Otherwise rows with a null or NaN
+    feature are left out; the model's ``rows_used`` and ``rows_dropped`` say how
+    many.
     """
-    feats = list(feature_cols)
+    names = list(feature_cols)
+    feats = names
     stages = []
     if impute:
-        filled = [f"{c}__filled" for c in feats]
-        cast = SQLTransformer(statement="SELECT *, " + ", ".join(
-            f"CAST(`{c}` AS DOUBLE) AS `{c}__d`" for c in feats) + " FROM __THIS__")
-        stages += [cast, Imputer(inputCols=[f"{c}__d" for c in feats], outputCols=filled,
-                                 strategy="mean")]
+        cast, filled = _helpers(len(names))
+        sql = SQLTransformer(statement="SELECT *, " + ", ".join(
+            f"CAST(`{c}` AS DOUBLE) AS `{h}`" for c, h in zip(names, cast)) + " FROM __THIS__")
+        stages += [sql, Imputer(inputCols=cast, outputCols=filled, strategy="mean")]
         feats = filled
     stages += [assembler(feats), regressor(kind, label, **params)]
-    return Pipeline(stages=stages).fit(spread(train))
+    needed = train.select(*dict.fromkeys([*names, label])).where(F.col(label).isNotNull())
+    with staged(train.sparkSession, spread(needed), "training") as rows:
+        model = Pipeline(stages=stages).fit(rows)
+        n = rows.agg(F.count(F.lit(1)).alias("all"), F.count_if(_valid(names)).alias("ok")).first()
+    model.rows_used = n["all"] if impute else n["ok"]
+    model.rows_dropped = n["all"] - model.rows_used
+    return model
+
+
+def _valid(cols: Sequence[str]) -> Column:
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(f"`{c}`").isNotNull() & ~F.isnan(F.col(f"`{c}`").cast("double"))
+    return ok
 
 
 # -------------------------------------------------------------- evaluation
@@ -149,18 +173,27 @@ def load_model(path: str) -> PipelineModel:
 
 
 def score_batch(spark: SparkSession, model_path: str, df: DataFrame,
-                keep_vector: bool = False, prune_partitions: bool = False) -> DataFrame:
+                keep_vector: bool = False) -> DataFrame:
     """Look up the model's features for ``df`` and append ``prediction``.
 
-    Output: the input columns, the looked-up features and ``prediction``.
-    Rows with an invalid feature are skipped by the assembler, as in training.
+    Output: the input columns, the looked-up features and ``prediction``, one
+    row per input row.  A row with a missing feature is scored with the imputed
+    one if the model imputes; otherwise its prediction is null.
     """
     spec = load_spec(spark, model_path)
     lookups = [FeatureLookup.from_dict(d) for d in spec.get("feature_lookups", [])]
-    joined = apply_lookups(spark, df, lookups, prune_partitions=prune_partitions)
-    out = load_model(model_path).transform(joined)
-    helper = [c for c in out.columns if c.endswith("__d") or c.endswith("__filled")]
-    out = out.drop(*helper)
+    joined = apply_lookups(spark, df, lookups)
+    model = load_model(model_path)
+    for s in model.stages:
+        if isinstance(s, VectorAssembler):
+            s.setHandleInvalid("keep")
+    out = model.transform(joined)
+    feats = spec.get("feature_cols") or []
+    if any(isinstance(s, ImputerModel) for s in model.stages):
+        out = out.drop(*[h for names in _helpers(len(feats)) for h in names])
+    else:
+        used = feats or next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+        out = out.withColumn("prediction", F.when(_valid(used), F.col("prediction")))
     return out if keep_vector else out.drop(FEATURES_COL)
 
 

@@ -32,25 +32,41 @@ def _snake(text: str) -> str:
 def log_run(spark: SparkSession, path: str, experiment: str, metrics: Mapping[str, float],
             params: Mapping[str, str] | None = None, run_name: str | None = None,
             run_id: str | None = None, start_time: _dt.datetime | None = None) -> str:
-    """Append one run (a single small row) to the run log at ``path``."""
-    run_id = run_id or uuid.uuid4().hex
-    start_time = start_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    row = (run_id, experiment, run_name, start_time,
-           {k: str(v) for k, v in (params or {}).items()},
-           {k: float(v) for k, v in metrics.items()})
-    spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").parquet(path)
-    return run_id
+    """Append one run to the run log at ``path`` (many at once: :func:`log_runs`)."""
+    return log_runs(spark, path, [dict(experiment=experiment, metrics=metrics, params=params,
+                                       run_name=run_name, run_id=run_id,
+                                       start_time=start_time)])[0]
+
+
+def log_runs(spark: SparkSession, path: str, runs: Sequence[Mapping]) -> list[str]:
+    """Append runs in one file; each is a mapping with ``experiment`` and
+    ``metrics`` and the optional arguments of :func:`log_run`.  Returns the ids."""
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    rows = [(r.get("run_id") or uuid.uuid4().hex, r["experiment"], r.get("run_name"),
+             r.get("start_time") or now,
+             {k: str(v) for k, v in (r.get("params") or {}).items()},
+             {k: float(v) for k, v in r["metrics"].items()}) for r in runs]
+    spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    return [r[0] for r in rows]
+
+
+def compact_log(spark: SparkSession, path: str, target: str, files: int = 1) -> str:
+    """Rewrite a log of many small files as ``files`` files at ``target``."""
+    spark.read.parquet(path).repartition(files).write.parquet(target)
+    return target
 
 
 def log_stage(spark: SparkSession, path: str, name: str, version: str | int, stage: str,
-              event_time: _dt.datetime | None = None, event_id: int | None = None) -> None:
-    """Append a stage transition of a model version."""
+              event_time: _dt.datetime | None = None, event_id: int | None = None,
+              model_path: str | None = None) -> None:
+    """Append a stage transition of a model version; ``model_path`` is where the
+    version's files are."""
     if stage not in STAGES:
         raise ValueError(f"stage must be one of {STAGES}")
     event_time = event_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     event_id = event_id if event_id is not None else uuid.uuid4().int >> 65
-    spark.createDataFrame([(name, str(version), stage, event_time, event_id)],
-                          VERSION_SCHEMA).write.mode("append").parquet(path)
+    spark.createDataFrame([(name, str(version), stage, event_time, event_id, model_path)],
+                          VERSION_SCHEMA + ", model_path string").write.mode("append").parquet(path)
 
 
 def search_runs(runs: DataFrame, experiment: str | None = None,
@@ -65,10 +81,15 @@ def search_runs(runs: DataFrame, experiment: str | None = None,
     if metric_names is None:
         metric_names = sorted(r[0] for r in runs.select(F.explode(F.map_keys("metrics")))
                               .distinct().collect())
-    return runs.select(
-        "run_id", "experiment", "run_name", "start_time",
-        *[F.col("metrics")[m].alias(f"metrics_{_snake(m)}") for m in metric_names],
-    )
+    names: dict[str, int] = {}
+    columns = []
+    for m in metric_names:
+        name = f"metrics_{_snake(m)}"
+        names[name] = names.get(name, 0) + 1
+        if names[name] > 1:  # metrics that only differ in punctuation or case
+            name = f"{name}_{names[name]}"
+        columns.append(F.col("metrics")[m].alias(name))
+    return runs.select("run_id", "experiment", "run_name", "start_time", *columns)
 
 
 def latest_runs(runs: DataFrame, by: str = "experiment") -> DataFrame:
@@ -116,3 +137,22 @@ def resolve_stage(versions: DataFrame, stage: str) -> DataFrame:
     cur = current_stages(versions).where(F.col("stage") == F.lit(stage))
     return cur.groupBy("name").agg(
         F.max_by("version", F.expr("try_cast(version AS INT)")).alias("version"))
+
+
+def model_path(versions: DataFrame, name: str, version: str | int | None = None,
+               stage: str | None = None) -> str:
+    """Path of a model's version, of its highest version in a stage, or (neither
+    given) of its latest version; pass it on to ``score_batch``."""
+    own = versions.where(F.col("name") == F.lit(name))
+    if version is None:
+        if stage is not None:
+            found = resolve_stage(own, stage).first()
+        else:
+            found = own.agg(F.max_by("version", F.expr("try_cast(version AS INT)"))
+                            .alias("version")).first()
+        version = found["version"] if found else None
+    path = own.where(F.col("version") == F.lit(str(version))).agg(
+        F.max_by("model_path", F.struct("event_time", "event_id")).alias("p")).first()["p"]
+    if path is None:
+        raise LookupError(f"no files known for model {name!r}, version {version}, stage {stage}")
+    return path

@@ -101,7 +101,7 @@ def _keyed(end: Column, end_type) -> list[Column]:
 
 
 def pickup_features_fn(df: DataFrame, ts_column: str | None = None, start_date=None,
-                       end_date=None, *, method: str = "direct",
+                       end_date=None, *, method: str = "pane",
                        time_col: str = "tpep_pickup_datetime", key_col: str = "pickup_zip",
                        value_col: str = "fare_amount") -> DataFrame:
     """Pickup feature group: per zip, 1-hour windows sliding every 15 minutes.
@@ -153,7 +153,3 @@ def apply_feature_fn(df: DataFrame, fn, ts_column: str | None = None, start_date
     if not isinstance(out, DataFrame):
         raise TypeError("a feature function must return a DataFrame")
     return out
-
-
-def feature_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in set(keys)]

@@ -1,7 +1,7 @@
 """Registry of every named query: ``QUERIES`` (Spark) and ``ORACLE_SQL`` (DuckDB).
 
-A query without an ``ORACLE_SQL`` entry is one no SQL engine can express
-(sampling, model training); its correctness is covered in ``tests/``.
+Every query has a DuckDB twin; those of models that SQL cannot fit are checked
+row by row (see :mod:`featflow.plans.learning`).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ for _mod in (taxi, monitoring, tracking, learning, files, streams):
     QUERIES.update(_mod.QUERIES)
     ORACLE_SQL.update(_mod.SQL)
 
-# Queries whose output is random or model-dependent: rows-only checks.
+# A twin must belong to a query.
 for _name in list(ORACLE_SQL):
     if _name not in QUERIES:
         raise RuntimeError(f"oracle without a query: {_name}")

@@ -79,6 +79,7 @@ def dated_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -------------------------------------------------------------- run log
+# The metric names of the run log example.
 RUN_METRICS = ("Mean absolute error", "Mean squared error")
 STAGE_OF_STATUS = {"F": "Production", "O": "Staging", "P": "Archived"}
 

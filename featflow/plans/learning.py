@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from featflow.operators.lookup import create_training_set
 from featflow.operators.models import (
+    FEATURES_COL,
     fit_pipeline,
     label_split,
+    load_model,
     model_dir,
-    random_split,
     regression_metrics,
     save_model,
     score_batch,
@@ -51,9 +52,14 @@ def q_split_hash(spark, sf_dir):
 
 
 def q_split_random(spark, sf_dir):
-    train, test = random_split(regression_table(spark, sf_dir), (0.7, 0.3), 42)
-    return train.withColumn("split", F.lit("train")).unionByName(
-        test.withColumn("split", F.lit("test")))
+    """A second, differently seeded split (70/30)."""
+    return label_split(regression_table(spark, sf_dir), WINE_ID, 0.7, 7).select(*WINE_ID, "split")
+
+
+def q_split_counts(spark, sf_dir):
+    """Row counts of both sides of the split."""
+    split = label_split(regression_table(spark, sf_dir), WINE_ID, 0.7, 42)
+    return split.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
 # -------------------------------------------------------------- evaluation
@@ -69,17 +75,80 @@ def q_eval_metrics(spark, sf_dir):
                     F.round("r2", 9).alias("r2"))
 
 
-def _train_eval(kind: str, **params):
+# One-level tree over features of few distinct values: every cut between two
+# values is a candidate, so SQL can find the same best cut.
+STUMP_FEATURES = ("l_discount", "l_tax")
+
+
+def q_dt_train_eval(spark, sf_dir):
+    """Depth-1 decision tree fit on the train side, evaluated on the test side."""
+    data = regression_table(spark, sf_dir)
+    train, test = split_by_hash(data, WINE_ID, 0.7, 42)
+    model = fit_pipeline(train, STUMP_FEATURES, WINE_LABEL, "dt", maxDepth=1)
+    m = regression_metrics(model.transform(test), WINE_LABEL)
+    return m.select(F.lit("dt").alias("model"), "n", F.round("mae", 4).alias("mae"),
+                    F.round("mse", 0).alias("mse"), F.round("rmse", 4).alias("rmse"),
+                    F.round("r2", 7).alias("r2"))
+
+
+def _close(a, b):
+    return F.abs(F.col(a) - F.col(b)) <= 1e-6 * F.greatest(F.lit(1.0), F.abs(F.col(b)))
+
+
+def _model_checks(spark, data: DataFrame, features, label, ids, kind: str, **params) -> DataFrame:
+    """Fit on the train side, score and explain every row.
+
+    Per row: the ids, the split side, and whether the model's prediction equals
+    the combination of its trees (``trees_ok``), base value plus shares
+    (``shap_ok``) and the prediction of the model saved and loaded again
+    (``reload_ok``).
+    """
+    train, _ = split_by_hash(data, ids, 0.7, 42)
+    model = fit_pipeline(train, features, label, kind, **params)
+    again = load_model(save_model(model, model_dir(spark, kind), None, features))
+    ens = ensemble_from_spark(spark, again, features)
+    side = label_split(data, ids, 0.7, 42)
+    scored = model.transform(side).drop(FEATURES_COL).withColumnRenamed("prediction", "fitted")
+    scored = again.transform(scored).drop(FEATURES_COL)
+    out = shap_values(scored, ens, features, [*ids, "split", "fitted", "prediction"],
+                      dtype="double", prefix="phi_", prediction_col="trees")
+    total = F.col("expected_value")
+    for f in features:
+        total = total + F.col(f"phi_{f}")
+    out = out.withColumn("total", total)
+    return out.select(*ids, "split", _close("trees", "fitted").alias("trees_ok"),
+                      _close("total", "fitted").alias("shap_ok"),
+                      (F.col("prediction") == F.col("fitted")).alias("reload_ok"))
+
+
+def _checks(kind: str, **params):
     def q(spark, sf_dir):
-        data = regression_table(spark, sf_dir)
-        train, test = split_by_hash(data, WINE_ID, 0.7, 42)
-        model = fit_pipeline(train, WINE_FEATURES, WINE_LABEL, kind, **params)
-        m = regression_metrics(model.transform(test), WINE_LABEL)
-        return m.select(F.lit(kind).alias("model"), "*")
-    q.__name__ = f"q_{kind}_train_eval"
+        return _model_checks(spark, regression_table(spark, sf_dir), WINE_FEATURES, WINE_LABEL,
+                             WINE_ID, kind, **params)
+    q.__name__ = f"q_{kind}_checks"
     return q
 
 
+# A dozen features: four measures and eight small ones from the keys.
+WIDE_FEATURES = ("l_quantity", "l_discount", "l_tax", "l_extendedprice",
+                 *[f"k{i}" for i in range(8)])
+
+
+def wide_table(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    keys = [F.pmod(F.col(c), F.lit(m)).cast("double").alias(f"k{i}") for i, (c, m) in enumerate(
+        (c, m) for c in ("l_partkey", "l_suppkey") for m in (3, 7, 11, 13))]
+    base = li.select(*WINE_ID, *WIDE_FEATURES[:4], *keys)
+    y = F.col("l_extendedprice") * (1 - F.col("l_discount")) + 500 * F.col("k1") - 90 * F.col("k6")
+    return base.withColumn("y", y + F.col("k0") * F.col("l_quantity"))
+
+
+def q_tree_shap_wide(spark, sf_dir):
+    """Boosted model over twelve features, every row explained."""
+    return _model_checks(spark, wide_table(spark, sf_dir), WIDE_FEATURES, "y", WINE_ID, "gbt",
+                         maxIter=20, maxDepth=5)
+
+
 # ------------------------------------------------------------ batch scoring
 _SCORE_COLS = ["fare_amount", "trip_distance", "pickup_zip", "dropoff_zip",
                "rounded_pickup_datetime", "rounded_dropoff_datetime",
@@ -105,7 +174,9 @@ def q_score_batch(spark, sf_dir):
     feats = [c for c in train.columns if c != "fare_amount"]
     model = fit_pipeline(train, feats, "fare_amount", "gbt", impute=True, maxIter=100, maxDepth=5)
     path = save_model(model, model_dir(spark, "taxi_fare"), ts, feats)
-    return _report(score_batch(spark, path, base))
+    scored = score_batch(spark, path, base)
+    return scored.select(*_SCORE_COLS, F.col("prediction").isNotNull().alias("scored")).withColumn(
+        "mean_fare_window_1h_pickup_zip", F.col("mean_fare_window_1h_pickup_zip").cast("double"))
 
 
 def q_score_report(spark, sf_dir):
@@ -175,45 +246,34 @@ def q_tree_shap_fixed(spark, sf_dir):
 
 
 def q_shap_summary(spark, sf_dir):
-    s = shap_summary(_fixed_shap(spark, sf_dir), FIXED_FEATURES, quantiles=False)
-    return _round6(s, {"mean_abs_shap", "mean_shap"})
+    s = shap_summary(_fixed_shap(spark, sf_dir), FIXED_FEATURES)
+    q = F.transform("abs_quartiles", lambda x: F.round(x, 6)).alias("abs_quartiles")
+    return _round6(s, {"mean_abs_shap", "mean_shap"}).select(
+        "feature", "rank", "mean_abs_shap", "mean_shap", q)
 
 
 def q_shap_local(spark, sf_dir):
+    """Per row and feature: base value, rank and share."""
     r = shap_ranked(_fixed_shap(spark, sf_dir), FIXED_FEATURES, WINE_ID)
-    return _round6(r.drop("expected_value"), {"phi"})
-
-
-def q_tree_shap_model(spark, sf_dir):
-    """Decision tree fit on the train split, explained on every row (FLOAT phi)."""
-    data = regression_table(spark, sf_dir)
-    train, _ = split_by_hash(data, WINE_ID, 0.7, 42)
-    model = fit_pipeline(train, WINE_FEATURES, WINE_LABEL, "dt")
-    ens = ensemble_from_spark(spark, model, WINE_FEATURES)
-    return shap_values(data, ens, WINE_FEATURES, WINE_ID)
-
-
-def q_tree_shap_forest(spark, sf_dir):
-    """Forest (100 trees, depth 6, 3 features per split) explained on every row."""
-    data = regression_table(spark, sf_dir)
-    train, _ = split_by_hash(data, WINE_ID, 0.7, 42)
-    model = fit_pipeline(train, WINE_FEATURES, WINE_LABEL, "rf")
-    ens = ensemble_from_spark(spark, model, WINE_FEATURES)
-    return shap_values(data, ens, WINE_FEATURES, WINE_ID)
+    return _round6(r, {"phi", "expected_value"})
 
 
 QUERIES = {
     "split_hash": q_split_hash,
     "split_random": q_split_random,
+    "split_counts": q_split_counts,
     "eval_mae_mse_rmse_r2": q_eval_metrics,
-    "dt_train_eval": _train_eval("dt"),
-    "rf_train_eval": _train_eval("rf"),
-    "gbt_train_eval": _train_eval("gbt"),
+    "dt_train_eval": q_dt_train_eval,
+    "rf_train_eval": _checks("rf", numTrees=10, maxDepth=4),
+    "gbt_train_eval": _checks("gbt", maxIter=10, maxDepth=3),
+    "gbt_default_eval": _checks("gbt_default"),
     "score_batch": q_score_batch,
     "score_report": q_score_report,
     "tree_shap_fixed": q_tree_shap_fixed,
-    "tree_shap_model": q_tree_shap_model,
-    "tree_shap_forest": q_tree_shap_forest,
+    "tree_shap_model": _checks("dt"),
+    "tree_shap_forest": _checks("rf"),
+    "tree_shap_boosted": _checks("gbt"),
+    "tree_shap_wide": q_tree_shap_wide,
     "shap_summary": q_shap_summary,
     "shap_local": q_shap_local,
 }
@@ -265,8 +325,33 @@ phi AS (
   FROM lf, z
 )"""
 
-_HASH = ("('0x' || substr(md5('42:' || CAST(l_orderkey AS VARCHAR) || ':' || "
-         "CAST(l_linenumber AS VARCHAR)), 1, 8))::BIGINT % 100")
+def _split_sql(seed: int = 42) -> str:
+    h = (f"('0x' || substr(md5('{seed}:' || CAST(l_orderkey AS VARCHAR) || ':' || "
+         "CAST(l_linenumber AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0::DOUBLE")
+    return f"CASE WHEN {h} < 0.7 THEN 'train' ELSE 'test' END"
+
+
+_CHECKS_SQL = f"""SELECT l_orderkey, l_linenumber, {_split_sql()} AS split,
+    true AS trees_ok, true AS shap_ok, true AS reload_ok FROM lineitem"""
+
+# Best of all cuts between neighbouring values, by the drop in squared error.
+_STUMP_SQL = f"""
+    WITH s AS (SELECT l_discount, l_tax, l_extendedprice AS y, {_split_sql()} AS split FROM lineitem),
+    v AS (SELECT 'd' AS f, l_discount AS x, y FROM s WHERE split = 'train'
+          UNION ALL SELECT 't', l_tax, y FROM s WHERE split = 'train'),
+    g AS (SELECT f, x, count(*) AS n, sum(y) AS s FROM v GROUP BY f, x),
+    c AS (SELECT f, (x + lead(x) OVER w) / 2 AS cut, sum(n) OVER w AS ln, sum(s) OVER w AS ls,
+                 sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s
+          FROM g WINDOW w AS (PARTITION BY f ORDER BY x)),
+    best AS (SELECT * FROM c WHERE cut IS NOT NULL
+             ORDER BY ls * ls / ln + (s - ls) * (s - ls) / (n - ln) DESC LIMIT 1),
+    p AS (SELECT y, CASE WHEN (CASE f WHEN 'd' THEN l_discount ELSE l_tax END) <= cut
+                    THEN ls / ln ELSE (s - ls) / (n - ln) END AS p
+          FROM (SELECT l_discount, l_tax, y FROM s WHERE split = 'test') a, best)
+    SELECT 'dt' AS model, count(*) AS n, round(avg(abs(y - p)), 4) AS mae,
+           round(avg((y - p) * (y - p)), 0) AS mse, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+           round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 7) AS r2 FROM p"""
+
 
 def _per_row_rank_sql(feats) -> str:
     """Rank of each feature by |phi| inside its own row (ties by name), unpivoted."""
@@ -276,13 +361,15 @@ def _per_row_rank_sql(feats) -> str:
             f"CAST(abs({g}) > abs({f}) OR (abs({g}) = abs({f}) AND '{g}' < '{f}') AS INTEGER)"
             for g in feats if g != f)
         parts.append(f"SELECT l_orderkey, l_linenumber, CAST(1 + {beats} AS INTEGER) AS rank, "
-                     f"'{f}' AS feature, round({f}, 6) AS phi FROM phi")
+                     f"'{f}' AS feature, round({f}, 6) AS phi, "
+                     "round(expected_value, 6) AS expected_value FROM phi")
     return "ranked AS (" + " UNION ALL ".join(parts) + ") SELECT * FROM ranked"
 
 
+_SCORE_EXPR = """round(coalesce(CAST(p.mean_fare_window_1h_pickup_zip AS DOUBLE), 0.0) * 1.1
+                 + r.trip_distance * 0.3713579 + 0.000123, 2) AS predicted_fare_amount"""
 _SCORE_REPORT = f"""WITH {TRIPS_SQL}, {ROUNDED_SQL}, {pickup_sql(None, CUT)}, {DROPOFF_SQL}
-    SELECT round(coalesce(CAST(p.mean_fare_window_1h_pickup_zip AS DOUBLE), 0.0) * 1.1
-                 + r.trip_distance * 0.3713579 + 0.000123, 2) AS predicted_fare_amount,
+    SELECT {_SCORE_EXPR},
            r.fare_amount, r.trip_distance, r.pickup_zip, r.dropoff_zip,
            r.rounded_pickup_datetime, r.rounded_dropoff_datetime,
            CAST(p.mean_fare_window_1h_pickup_zip AS DOUBLE) AS mean_fare_window_1h_pickup_zip,
@@ -294,8 +381,14 @@ _SCORE_REPORT = f"""WITH {TRIPS_SQL}, {ROUNDED_SQL}, {pickup_sql(None, CUT)}, {D
 
 SQL = {
     "score_report": _SCORE_REPORT,
-    "split_hash": f"""SELECT l_orderkey, l_linenumber,
-        CASE WHEN {_HASH} < 70 THEN 'train' ELSE 'test' END AS split FROM lineitem""",
+    "score_batch": _SCORE_REPORT.replace(_SCORE_EXPR, "true AS scored"),
+    "split_hash": f"SELECT l_orderkey, l_linenumber, {_split_sql()} AS split FROM lineitem",
+    "split_random": f"SELECT l_orderkey, l_linenumber, {_split_sql(7)} AS split FROM lineitem",
+    "split_counts": f"SELECT {_split_sql()} AS split, count(*) AS n FROM lineitem GROUP BY 1",
+    "dt_train_eval": _STUMP_SQL,
+    **{name: _CHECKS_SQL for name in (
+        "rf_train_eval", "gbt_train_eval", "gbt_default_eval", "tree_shap_model",
+        "tree_shap_forest", "tree_shap_boosted", "tree_shap_wide")},
     "eval_mae_mse_rmse_r2": """
         WITH s AS (SELECT l_returnflag, l_linestatus, l_extendedprice AS y,
                           l_quantity * 1500.0 AS p FROM lineitem
@@ -312,8 +405,11 @@ SQL = {
     "shap_summary": f"""WITH {_FIXED},
         long AS (SELECT 'l_extendedprice' AS feature, l_extendedprice AS phi FROM phi
                  UNION ALL SELECT 'l_discount', l_discount FROM phi
-                 UNION ALL SELECT 'l_tax', l_tax FROM phi)
-        SELECT feature, round(avg(abs(phi)), 6) AS mean_abs_shap, round(avg(phi), 6) AS mean_shap
-        FROM long GROUP BY feature""",
+                 UNION ALL SELECT 'l_tax', l_tax FROM phi),
+        g AS (SELECT feature, avg(abs(phi)) AS m, round(avg(phi), 6) AS mean_shap,
+                     quantile_cont(abs(phi), [0.25, 0.5, 0.75]) AS q FROM long GROUP BY feature)
+        SELECT feature, CAST(row_number() OVER (ORDER BY m DESC, feature) AS INTEGER) AS rank,
+               round(m, 6) AS mean_abs_shap, mean_shap,
+               list_transform(q, lambda x: round(x, 6)) AS abs_quartiles FROM g""",
     "shap_local": f"""WITH {_FIXED}, {_per_row_rank_sql(FIXED_FEATURES)}""",
 }

@@ -28,9 +28,5 @@ def q_stream_pickup_features(spark, sf_dir):
 
 QUERIES = {"stream_pickup_features": q_stream_pickup_features}
 
-# One micro-batch holds the whole file, so the table equals the batch features
-# over every trip (no range cut).
-SQL = {
-    "stream_pickup_features": TAXI_SQL["pickup_features"].replace(
-        "WHERE TRUE AND tpep_pickup_datetime < TIMESTAMP '2024-01-20'", "WHERE TRUE"),
-}
+# One micro-batch holds the whole file, so the table equals the batch features.
+SQL = {"stream_pickup_features": TAXI_SQL["pickup_features"]}

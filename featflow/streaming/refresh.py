@@ -35,7 +35,9 @@ def streaming_features(trips_stream: DataFrame, kind: str = "pickup",
     fn, ts_col = FEATURE_FNS[kind]
     # Watermarks need an instant; NTZ event times are read as UTC.
     stream = trips_stream.withColumn(ts_col, as_instant(ts_col, dtype_of(trips_stream, ts_col)))
-    return fn(stream.withWatermark(ts_col, watermark))
+    # Streams take one aggregation only, so windows are built directly.
+    how = {"method": "direct"} if kind == "pickup" else {}
+    return fn(stream.withWatermark(ts_col, watermark), **how)
 
 
 def refresh_feature_table(spark: SparkSession, trips_stream: DataFrame, table_name: str,

@@ -53,12 +53,23 @@ def test_partition_pruned_lookup(spark):
                        partition_time_key="ts")
     base = spark.createDataFrame([(1, feb, 0.0), (1, feb + 60, 0.0)], "z int, k int, y double")
     from featflow.operators.lookup import lookup_features
-    pruned = lookup_features(spark, base, FeatureLookup(name, ["f"], ["z", "k"]),
-                             prune_partitions=True)
-    full = lookup_features(spark, base, FeatureLookup(name, ["f"], ["z", "k"]))
-    assert sorted(pruned.collect()) == sorted(full.collect())
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(yyyy_mm" in plan and "2016-02" in plan
+    lk = FeatureLookup(name, ["f"], ["z", "k"])
+    out = lookup_features(spark, base, lk)
+    assert sorted(map(tuple, out.collect())) == [(1, feb, 0.0, 2.0), (1, feb + 60, 0.0, None)]
+    # A selective base prunes the months while the query runs.
+    path = f"{store.fresh_path(spark, 'base')}"
+    base.write.parquet(path)
+    some = lookup_features(spark, spark.read.parquet(path).where("y < 1"), lk)
+    assert "dynamicpruningexpression(yyyy_mm" in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wide_keys_are_a_miss_not_an_error(spark):
+    name = f"featflow_test.w_{uuid.uuid4().hex[:8]}"
+    df = spark.createDataFrame([(5_000_000_000, 1.0), (7, 2.0)], "k long, f double")
+    store.create_table(spark, name, ["k"], df=df)
+    base = spark.createDataFrame([(7, "a"), (8, "b")], "z int, x string")
+    ts = create_training_set(spark, base, [FeatureLookup(name, ["f"], ["z"])], label=None)
+    assert sorted(map(tuple, ts.load_df().collect())) == [(7, "a", 2.0), (8, "b", None)]
 
 
 def test_hot_key_lookup_without_broadcast(spark):
@@ -82,7 +93,7 @@ def test_hot_key_lookup_without_broadcast(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        joined = lookup_features(spark, base, lk, broadcast_max_bytes=None)
+        joined = lookup_features(spark, base, lk)
         got = joined.groupBy("z").agg(F.sum("f1"), F.count("*"))
         assert sorted(got.collect()) == sorted(want.collect())
         assert joined.count() == n

@@ -89,3 +89,69 @@ def test_stage_log_round_trip_and_readers(spark):
     store.delete_feature_table_tag(spark, name, "a")
     assert store.get_table(spark, name).tags == {}
     assert io.read_named(spark, name).count() == 1
+
+
+def test_small_fractions_split(spark):
+    df = spark.range(100_000)
+    from featflow.operators.models import split_by_hash
+    train, test = split_by_hash(df, ["id"], 0.004)
+    n = train.count()
+    assert 300 < n < 500 and test.count() == 100_000 - n
+    assert split_by_hash(df, ["id"], 0.996)[1].count() > 300
+
+
+def test_scoring_keeps_every_row_and_user_columns(spark):
+    df = spark.createDataFrame([(float(i), float(i % 3) if i % 4 else None, 2.0 * i, "u")
+                                for i in range(60)], "x double, f double, y double, f__d string")
+    model = fit_pipeline(df, ["x", "f"], "y", "dt")
+    assert (model.rows_used, model.rows_dropped) == (45, 15)
+    path = save_model(model, fresh_path(spark, "model-test"), None, ["x", "f"])
+    out = score_batch(spark, path, df.drop("y"))
+    assert out.count() == 60 and out.where("prediction IS NULL").count() == 15
+    assert set(out.columns) == {"x", "f", "f__d", "prediction"}
+    filled = fit_pipeline(df, ["x", "f"], "y", "dt", impute=True)
+    path = save_model(filled, fresh_path(spark, "model-test"), None, ["x", "f"])
+    out = score_batch(spark, path, df.drop("y"))
+    assert out.where("prediction IS NOT NULL").count() == 60
+    assert set(out.columns) == {"x", "f", "f__d", "prediction"}
+
+
+def test_sizing_runs_no_job(spark):
+    from featflow.session import spread
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    wide = df.join(df.select("l_orderkey").distinct(), "l_orderkey")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sizing", "sizing")
+    try:
+        spread(df)
+        spread(wide)
+        assert list(tracker.getJobIdsForGroup("sizing")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_batch_log_compaction_and_name_clashes(spark):
+    path = fresh_path(spark, "runs-batch")
+    ids = runs.log_runs(spark, path, [dict(experiment="e", metrics={"R-2": 1.0, "r 2": 2.0}, run_id=str(i))
+                                      for i in range(5)])
+    runs.log_run(spark, path, "e", {"R-2": 3.0}, run_id="last")
+    small = runs.compact_log(spark, path, fresh_path(spark, "runs-compact"))
+    log = spark.read.parquet(small)
+    assert log.count() == 6 and len(log.inputFiles()) == 1 and ids == list("01234")
+    found = runs.search_runs(log, "e")
+    assert found.columns[-2:] == ["metrics_r_2", "metrics_r_2_2"]
+    assert found.where("metrics_r_2 = 1 AND metrics_r_2_2 = 2").count() == 5
+
+
+def test_model_files_by_version_and_stage(spark):
+    path = fresh_path(spark, "stage-paths")
+    t = dt.datetime(2024, 1, 1)
+    runs.log_stage(spark, path, "m", 1, "Production", t, 1, model_path="/models/1")
+    runs.log_stage(spark, path, "m", 10, "Staging", t, 2, model_path="/models/10")
+    log = spark.read.parquet(path)
+    assert runs.model_path(log, "m", version=1) == "/models/1"
+    assert runs.model_path(log, "m", stage="Production") == "/models/1"
+    assert runs.model_path(log, "m") == "/models/10"
+    import pytest
+    with pytest.raises(LookupError):
+        runs.model_path(log, "m", stage="Archived")
