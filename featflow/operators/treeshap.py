@@ -41,7 +41,7 @@ from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 from featflow.session import ship_package, spread
 
 # Rows explained together; bounds the memory of a walk (depth x nodes x rows).
-_ROWS = 4096
+_ROWS = 8192
 # Stands in for a cover ratio of zero (a branch no training row took).
 _TINY = 1e-30
 
@@ -118,11 +118,10 @@ class Tree:
         t = ((nodes + 1) / 2)[:, None]
         w = (weights / 2 * weight)[:, None]
 
-        def factor(o, z):
-            return z * (1 - t) + t * o
+        rest = 1 - t
 
-        def share(o, z, f, below):
-            return (o - z) * (w * below / f).sum(axis=0)
+        def share(o, z, inverse, below):
+            return (o - z) * np.einsum("qr,qr->r", below, inverse)
 
         def walk(i: int, product: np.ndarray, taken: dict) -> np.ndarray:
             """Sum over the leaves below node i of value x path product."""
@@ -137,16 +136,25 @@ class Tree:
                 o = goes
                 if above is not None:
                     z, o = z * above[1], o * above[0]
-                own = factor(o, z)
-                inner = product * own if above is None else product * (own / above[2])
-                below = walk(child, inner, {**taken, f: (o, z, own)})
-                phi[:, f] += share(o, z, own, below)
+                own = t * o
+                own += z * rest
+                inner = product * own
                 if above is not None:
-                    phi[:, f] -= share(above[0], above[1], above[2], below)
-                total = below if total is None else total + below
+                    inner *= above[2]
+                inverse = np.divide(1.0, own, out=own)
+                below = walk(child, inner, {**taken, f: (o, z, inverse)})
+                gain = share(o, z, inverse, below)
+                if above is not None:
+                    gain -= share(above[0], above[1], above[2], below)
+                phi[:, f] += gain
+                if total is None:
+                    total = below
+                else:
+                    total += below
             return total
 
-        walk(0, np.ones((len(t), len(X))), {})
+        # The quadrature weights ride along in the products.
+        walk(0, np.repeat(w, len(X), axis=1), {})
 
 
 @dataclass
