@@ -43,6 +43,12 @@ CACHE_WORDS = 600_000
 QUERY_BYTES = 1 << 19
 #: From this many bytes on, a word's equal pairs are contracted together.
 LONG_WORD = 256
+#: From this many bytes on, a word is encoded in chunks that are then joined.
+GIANT_WORD = 1024
+#: Tokens on either side of a chunk border that are encoded anew.
+_SEAM = 8
+#: Tokens decoded by one query.
+DECODE_TOKENS = 1 << 20
 
 #: Positions are numbered ``word << 32 | byte``; a rank and a position are
 #: packed into one number to find the leftmost pair of minimum rank.
@@ -134,6 +140,7 @@ class MergeCodec:
         # Bytes as characters from U+0100 on: any byte string is then a text.
         self._load("vocab", {"id": np.fromiter(ranks.values(), np.int32, len(ranks)),
                              "piece": ["".join(chr(256 + x) for x in t) for t in ranks]})
+        self.token_bytes = {r: t for t, r in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         #: Ids of segments and words met (a segment of one word is that word).
         self.known: dict[bytes, bytes] = {}
@@ -165,21 +172,72 @@ class MergeCodec:
             self.known[w] = raw[a:b]
             a = b
 
+    def _batches(self, words: list[bytes], query: str) -> None:
+        at = size = 0
+        for i, w in enumerate(words):
+            size += len(w)
+            if size >= QUERY_BYTES or i == len(words) - 1:
+                self._contract(words[at:i + 1], query)
+                at, size = i + 1, 0
+
     def learn_words(self, words: list[bytes]) -> None:
         short, long = [], []
         for w in words:
             one = self.ranks.get(w)
             if one is not None:
                 self.known[w] = one.to_bytes(4, "little")
-            else:
+            elif len(w) < GIANT_WORD:
                 (short if len(w) < LONG_WORD else long).append(w)
-        for some, query in ((short, _ENCODE), (long, _ENCODE_LONG)):
-            at = size = 0
-            for i, w in enumerate(some):
-                size += len(w)
-                if size >= QUERY_BYTES or i == len(some) - 1:
-                    self._contract(some[at:i + 1], query)
-                    at, size = i + 1, 0
+        self._batches(short, _ENCODE)
+        self._batches(long, _ENCODE_LONG)
+        for w in words:
+            if w not in self.known:
+                self.known[w] = self._giant(w)
+
+    def _giant(self, word: bytes) -> bytes:
+        """Ids of a very long word, from those of its chunks.
+
+        An encoding is right exactly if each two neighbouring tokens are what
+        the two would be encoded to alone.  So chunks can be joined by encoding
+        the tokens around their border anew, provided that the outermost of
+        these come out as they were; chunks for which they do not are made one
+        and encoded as a whole.
+        """
+        chunks = [word[i:i + LONG_WORD] for i in range(0, len(word), LONG_WORD)]
+        while True:
+            known: dict[bytes, list[int]] = {}
+            self._into(known, chunks)
+            tokens = [known[c] for c in chunks]
+            seams = [(a[-_SEAM:], b[:_SEAM]) for a, b in zip(tokens, tokens[1:])]
+            joins = [b"".join(self.token_bytes[t] for t in a + b) for a, b in seams]
+            self._into(known, joins)
+            fits = [min(len(tokens[i]), len(tokens[i + 1])) >= 2 * _SEAM
+                    and known[j][0] == a[0] and known[j][-1] == b[-1]
+                    for i, (j, (a, b)) in enumerate(zip(joins, seams))]
+            if all(fits):
+                out = []
+                for i, t in enumerate(tokens):
+                    first, last = _SEAM * (i > 0), len(t) - _SEAM * (i < len(joins))
+                    out += t[first:last]
+                    if i < len(joins):
+                        out += known[joins[i]]
+                return np.array(out, "<u4").tobytes()
+            merged = [chunks[0]]
+            for c, fit in zip(chunks[1:], fits):
+                if fit:
+                    merged.append(c)
+                else:
+                    merged[-1] += c
+            chunks = merged
+
+    def _into(self, known: dict[bytes, list[int]], words: list[bytes]) -> None:
+        """Ids of words by contraction, whatever their length."""
+        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        self._batches(new, _ENCODE_LONG)
+        for w in words:
+            known[w] = np.frombuffer(self.known[w], "<u4").tolist()
+        for w in new:  # parts of one word: not worth remembering
+            del self.known[w]
 
     def learn(self, segments: list[bytes]) -> None:
         known, find = self.known, self.pattern.findall
@@ -216,15 +274,20 @@ class MergeCodec:
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """The bytes of each document's ids (``ids[bounds[i]:bounds[i + 1]]``)."""
-        docs = len(bounds) - 1
-        out = [b""] * docs
-        self.con.register("tokens", pa.table({
-            "doc": np.repeat(np.arange(docs, dtype=np.int32), np.diff(bounds)),
-            "pos": np.arange(len(ids), dtype=np.int32), "id": ids.astype(np.int32)}))
-        for doc, text in self.con.execute(_DECODE).fetchall():
-            out[doc] = text.encode("utf-16-le")[::2]
-        self.con.unregister("tokens")
-        return out
+        out: list[list[bytes]] = [[] for _ in range(len(bounds) - 1)]
+        # Documents, cut where a query would hold too many tokens.
+        cuts = np.union1d(bounds, np.arange(0, len(ids), DECODE_TOKENS))
+        owner = np.searchsorted(bounds, cuts[:-1], side="right") - 1
+        part = np.repeat(np.arange(len(cuts) - 1, dtype=np.int32), np.diff(cuts))
+        for at in range(0, len(ids), DECODE_TOKENS):
+            here = slice(at, at + DECODE_TOKENS)
+            self.con.register("tokens", pa.table({
+                "doc": part[here], "pos": np.arange(len(part[here]), dtype=np.int32),
+                "id": ids[here].astype(np.int32)}))
+            for p, text in sorted(self.con.execute(_DECODE).fetchall()):
+                out[owner[p]].append(text.encode("utf-16-le")[::2])
+            self.con.unregister("tokens")
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
 
 
 def _rejoin(segments: pa.Array, bounds: np.ndarray, data: np.ndarray):

@@ -61,6 +61,17 @@ def test_bpe_long_words(codec, texts):
     assert lists(ids, bounds) == [enc.encode_ordinary(t) for t in texts]
 
 
+def test_bpe_giant_words(codec, monkeypatch):
+    enc = tik()
+    r = random.Random(9)
+    texts = ["".join(r.choice(a) for _ in range(n)) for a in ("etaoinshr", "ab", "語日本x", "=-")
+             for n in (1500, 6000)] + ["x" * 50_000, "x" * 3000 + "the" * 900 + "y" * 1111]
+    ids, bounds = codec.encode(pa.array(texts))
+    assert lists(ids, bounds) == [enc.encode_ordinary(t) for t in texts]
+    monkeypatch.setattr(byte_bpe, "DECODE_TOKENS", 777)
+    assert codec.decode(ids, bounds) == [t.encode() for t in texts]
+
+
 def test_words_equal_library(words):
     full = Tokenizer.from_file(WORDS)
     ids, bounds = words.encode(pa.array(TEXTS, pa.string()))
