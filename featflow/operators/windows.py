@@ -18,8 +18,6 @@ one task: each map task ships one partial row per (key, window) it saw.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

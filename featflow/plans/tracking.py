@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from featflow.operators.runs import (
+    RUN_SCHEMA,
     compare_runs,
     latest_model_version,
     latest_runs,
+    log_run,
     resolve_stage,
     runs_by_start,
     search_runs,
 )
 from featflow.plans.fixtures import RUN_METRICS, model_version_log, run_log
+from featflow.session import fresh_path
 
 EXPERIMENT = "1-URGENT"
 RUN_NAMES = ("run-F", "run-O", "run-P")
@@ -43,7 +48,22 @@ def q_model_current_stage(spark, sf_dir):
     return resolve_stage(model_version_log(spark, sf_dir), "Staging")
 
 
+def q_runs_append(spark, sf_dir):
+    """Latest run per experiment after two runs were appended to the stored log."""
+    path = fresh_path(spark, "run-log")
+    run_log(spark, sf_dir).write.parquet(path)
+    late = dt.datetime(2030, 1, 1)
+    log_run(spark, path, EXPERIMENT, {RUN_METRICS[0]: 1.5}, run_name="late", run_id="late-1",
+            start_time=late)
+    log_run(spark, path, "own", {RUN_METRICS[0]: 2.5}, run_name="first", run_id="own-1",
+            start_time=late)
+    r = latest_runs(spark.read.schema(RUN_SCHEMA).parquet(path))
+    return r.select("experiment", "run_id", "run_name", "start_time",
+                    r["metrics"][RUN_METRICS[0]].alias("mae"))
+
+
 QUERIES = {
+    "runs_append": q_runs_append,
     "runs_search": q_runs_search,
     "runs_latest": q_runs_latest,
     "runs_compare": q_runs_compare,
@@ -69,6 +89,12 @@ versions AS (
 )"""
 
 SQL = {
+    "runs_append": f"""WITH {_RUNS},
+        a AS (SELECT experiment, run_id, run_name, start_time, mae FROM runs
+              UNION ALL SELECT '{EXPERIMENT}', 'late-1', 'late', TIMESTAMP '2030-01-01', 1.5
+              UNION ALL SELECT 'own', 'own-1', 'first', TIMESTAMP '2030-01-01', 2.5)
+        SELECT experiment, run_id, run_name, start_time, mae FROM a
+        QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY start_time DESC, run_id DESC) = 1""",
     "runs_search": f"""WITH {_RUNS}
         SELECT run_id, experiment, run_name, start_time,
                mae AS metrics_mean_absolute_error, mse AS metrics_mean_squared_error

@@ -69,9 +69,12 @@ def stage(spark: SparkSession, df: DataFrame, label: str = "batch") -> DataFrame
     Cuts lineage: later readers read the staged files instead of re-running the
     plan, and a lost executor re-reads them instead of recomputing from the raw
     input.  The files stay for as long as lazy readers may need them; use
-    :func:`staged` where they are only needed inside a block.
+    :func:`staged` where they are only needed inside a block, or
+    :func:`stage_scope` around the reading of a result.
     """
     path = fresh_path(spark, "stage", label)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.format("parquet").save(path)
     return spark.read.schema(df.schema).format("parquet").load(path)
 
@@ -87,6 +90,22 @@ def staged(spark: SparkSession, df: DataFrame, label: str = "batch") -> Iterator
         delete_path(spark, path)
 
 
+#: Paths staged inside the open scopes.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving whatever :func:`stage` wrote inside the block (so write
+    or count a lazy result before leaving)."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete_path(spark, path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whichever file system it is on."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
