@@ -23,7 +23,7 @@ documents, so nothing broadcast grows with the benchmark.
 Defined results: items and documents of fewer than five words have no shingle
 and never match; null texts are empty; letters A-Z count as lower case; per row
 of ``docs`` and item the most similar window is reported, the first of equals;
-repeated rows are all reported; an empty table on either side gives none.
+repeated rows of ``docs`` are all reported, repeated items count once; an empty table on either side gives none.
 """
 
 from __future__ import annotations
@@ -233,7 +233,7 @@ class ItemIndex:
 
 def _blocks(items: DataFrame, id_col: str, text_col: str):
     """The items, a block of at most about ``BLOCK_BYTES`` of text at a time."""
-    src = id_and_text(items, id_col, text_col).where("text IS NOT NULL")
+    src = id_and_text(items, id_col, text_col).where("text IS NOT NULL").distinct()
     total = src.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = -(-total // BLOCK_BYTES)
     for k in range(blocks):

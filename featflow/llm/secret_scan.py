@@ -28,8 +28,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -57,8 +59,8 @@ SENSITIVE = {
 }
 
 _NAME = rb"[A-Za-z_][A-Za-z0-9_]*(?:[.-][A-Za-z_][A-Za-z0-9_]*)*"
-#: A name directly before an assignment sign, perhaps quoted or in brackets.
-_LEFT = re.compile(rb"(" + _NAME + rb")[\"'\]]{0,2}[ \t]*$")
+_NAME_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-"
+_LAST_NAME = re.compile(_NAME + rb"$")
 _SIGN = re.compile(rb"(?::=|=>|==|!=|<=|>=|[:=])[ \t]*")
 _RIGHT = re.compile(
     rb"[fFrRbBuU]?\"((?:[^\"\\\n]|\\.)*)\"|[fFrRbBuU]?'((?:[^'\\\n]|\\.)*)'"
@@ -122,36 +124,60 @@ def _expression(text: bytes, at: int) -> list[tuple[str, bytes, int, int]]:
     return out
 
 
+def _name_before(text: bytes, at: int) -> bytes | None:
+    """The name directly before an assignment sign, perhaps quoted or in
+    brackets (names of up to about 128 bytes)."""
+    left = text[max(0, at - 160):at].rstrip(b" \t")
+    for _ in range(2):
+        if left[-1:] in (b'"', b"'", b"]"):
+            left = left[:-1]
+    tail = left[len(left.rstrip(_NAME_BYTES)):]
+    m = _LAST_NAME.search(tail)
+    return m[0] if m else None
+
+
 def literal_spans(text: bytes, min_score: float = 0.55) -> list[tuple[str, int, int]]:
-    """(``literal``, start, end) in bytes of literals that reach sensitive names."""
+    """(``literal``, start, end) in bytes of literals that reach sensitive names.
+
+    Every assignment is a node with its own literals and the nodes of the names
+    it uses; a sensitive target walks what it can reach.  A node is walked again
+    only for a more sensitive target, so the work follows the text's length.
+    """
     if b"=" not in text and b":" not in text:
         return []
-    constants: dict[bytes, list[tuple[bytes, int, int]]] = {}
+    nodes: list[tuple[list[tuple[bytes, int, int]], list[int]]] = []
+    walked: list[float] = []
+    latest: dict[bytes, int] = {}
     found = set()
     at = 0
     while sign := _SIGN.search(text, at):
         at = sign.end()
         if sign[0][:2] in (b"==", b"!=", b"<=", b">="):
             continue
-        left = _LEFT.search(text, max(0, sign.start() - 160), sign.start())
-        if not left:
+        name = _name_before(text, sign.start())
+        if not name:
             continue
-        name = left[1]
-        literals = []
+        literals, uses = [], []
         for kind, value, a, b in _expression(text, at):
-            if kind == "name":
-                literals += constants.get(value, [])
-                if value not in constants and len(value) >= 6:
-                    literals.append((value, a, b))  # a bare word is a value in configuration
-            else:
-                literals.append((value, a, b))
-        if not literals:
+            if kind == "name" and value in latest:
+                uses.append(latest[value])
+            elif kind != "name" or len(value) >= 6:
+                literals.append((value, a, b))  # a bare word is a value in configuration
+        if not literals and not uses:
             continue
-        constants[name] = literals
+        latest[name] = len(nodes)
+        nodes.append((literals, uses))
+        walked.append(0.0)
         weight = name_score(name)
-        if weight:
-            found.update((a, b) for value, a, b in literals
+        todo = [len(nodes) - 1] if weight else []
+        while todo:
+            i = todo.pop()
+            if walked[i] >= weight:
+                continue
+            walked[i] = weight
+            found.update((a, b) for value, a, b in nodes[i][0]
                          if weight * literal_score(value) >= min_score)
+            todo += nodes[i][1]
     return [("literal", a, b) for a, b in sorted(found)]
 
 
@@ -160,8 +186,14 @@ def scan(text: bytes | None, min_score: float = 0.55) -> list[tuple[str, int, in
     if not text:
         return []
     base = base_spans(text)
-    extra = [x for x in literal_spans(text, min_score)
-             if not any(a <= x[1] and x[2] <= b for _, a, b in base)]
+    places = sorted((a, b) for _, a, b in base)
+    starts = [a for a, _ in places]
+    reach = list(accumulate((b for _, b in places), max))
+    extra = []
+    for x in literal_spans(text, min_score):
+        before = bisect_right(starts, x[1])
+        if not before or reach[before - 1] < x[2]:
+            extra.append(x)
     spans = sorted(base + extra, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
     if not text.isascii() and spans:
         spans = _in_code_points(text, spans)

@@ -56,6 +56,16 @@ def test_names_and_constants():
     assert literals(f'if pwd == "{v}":') == []
 
 
+def test_work_follows_the_length():
+    """Chains of constants and many secrets stay linear."""
+    v = "Zx9-qQ77!kLm20@vv"
+    chain = f'p = "{v}"\n' + "p = p + p\n" * 2000 + "".join(f'p = p + "x{i}"\n' for i in range(2000))
+    assert literals(chain + "auth_pwd = p\n") [0] == v
+    many = "".join(f'password_{i} = "{v}"; pwd = pwd + "{v}{i}"\n' for i in range(20_000))
+    assert len(literals(many)) >= 20_000
+    S.scan(b"= : " * 100_000)
+
+
 def test_documents(spark):
     texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     got = {r.doc_id: r for r in S.op3_secrets(spark, SF).collect()}
