@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from featflow.llm import byte_bpe, decontam, quality, secret_scan, simhash
-from featflow.llm.common import stage, table, tokenizer_path
+from featflow.llm.common import table, tokenizer_path
+from featflow.session import delete_path, fresh_path, stage_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +57,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``; the last one's rows."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in order over ``documents``; the last one's rows.
+
+    A stage's input and its own intermediate files are deleted once its result
+    is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(spark, step(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = fresh_path(spark, "pipeline", name.replace(" ", "-"))
+        with stage_scope(spark):
+            result = step(spark, docs, sf_dir)
+            result.write.parquet(path)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.schema(result.schema).parquet(path), path
     return docs
