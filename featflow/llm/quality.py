@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,9 @@ SYMBOLS = "#*$%&|<>"
 _SYMBOL_BYTES = [c.encode() for c in SYMBOLS]
 _SPACES = b" \t\n\r\x0b\x0c"
 
+#: Words from which on windows are numbered by numpy instead of kept as tuples.
+LONG_TEXT = 1 << 16
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -57,7 +61,9 @@ def measure_text(text: bytes | None) -> tuple[int, int, int, int, int, int]:
     symbols = sum(map(text.count, _SYMBOL_BYTES))
     lines = [x for x in text.split(b"\n") if x.strip()]
     repeated = 0
-    if n > 5:
+    if n > LONG_TEXT:
+        repeated = _repeated_words(words)
+    elif n > 5:
         windows = list(zip(words, words[1:], words[2:], words[3:], words[4:]))
         if len(set(windows)) < len(windows):
             seen: set[tuple] = set()
@@ -73,6 +79,20 @@ def measure_text(text: bytes | None) -> tuple[int, int, int, int, int, int]:
             len(lines))
 
 
+def _repeated_words(words: list[bytes]) -> int:
+    """The same count for a long text, on word numbers instead of tuples."""
+    codes = pa.array(words, pa.binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
+    n = len(codes) - 4
+    window = codes[:n]
+    for i in range(1, 5):  # number the windows of two words, three, ... five
+        window = np.unique(window * (codes.max() + 1) + codes[i:n + i], return_inverse=True)[1]
+    starts = np.flatnonzero(np.bincount(window)[window] > 1)
+    edges = np.zeros(len(codes) + 1, np.int64)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, starts + 5, -1)
+    return int((np.cumsum(edges) > 0).sum())
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches):
         rows = [measure_text(t) for t in byte_texts(b)]

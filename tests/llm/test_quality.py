@@ -27,6 +27,21 @@ def test_measures(text):
     assert quality.measure_text(None if text is None else text.encode()) == brute(text)
 
 
+def test_long_texts_count_alike(monkeypatch):
+    import random
+    rng = random.Random(0)
+    for n in (0, 1, 4, 5, 6, 30, 400):
+        for vocabulary in (1, 2, 5, 40):
+            text = " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randrange(1, 1 + vocabulary)
+                            for _ in range(n)).encode()
+            monkeypatch.setattr(quality, "LONG_TEXT", 1 << 16)
+            want = quality.measure_text(text)
+            monkeypatch.setattr(quality, "LONG_TEXT", 5)
+            assert quality.measure_text(text) == want
+    monkeypatch.undo()
+    assert quality.measure_text(b"word " * 200_000)[4] == 200_000
+
+
 def test_matches_sql(spark):
     r = compare(spark, duck(SF), "op7", quality.op7_quality, quality.SQL_OP7, SF)
     assert r["status"] == "exact", r
