@@ -88,7 +88,7 @@ def test_user_feature_function_plugs_in(spark):
 def test_sizing_helpers(spark):
     from featflow.session import cluster_conf, spread
     conf = cluster_conf(100 * 2**40, 1000, 8)
-    assert conf["spark.sql.shuffle.partitions"] == "100000"
+    assert conf["spark.sql.shuffle.partitions"] == "819200"
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = spark.range(10).coalesce(1)
     assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

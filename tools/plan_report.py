@@ -17,32 +17,34 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 QUERIES = ["pickup_features", "pickup_features_pane", "dropoff_features", "training_set",
-           "feature_merge", "drift_report", "tree_shap_model", "runs_latest",
-           "model_current_stage", "split_hash"]
+           "feature_merge", "feature_merge_typed", "drift_report", "tree_shap_fixed",
+           "runs_latest", "model_current_stage", "split_hash"]
 
 
 NOTES = {
     "pickup_features": "Expand x4 of raw rows, then a partial HashAggregate before the only "
-                       "shuffle; the range filter and the 3 used columns reach the scan.",
+                       "shuffle; only the 3 used columns are read.",
     "pickup_features_pane": "Raw rows are aggregated once per (zip, 15-minute pane) before any "
                             "expansion; panes are fanned out (Generate) and re-aggregated. Two "
                             "shuffles, both of partial aggregates.",
-    "dropoff_features": "One partial aggregate + one shuffle. The end-of-range filter is on a "
-                        "derived time, so it stays above the scan.",
-    "training_set": "Both feature tables are under the size bound: two BroadcastHashJoins, "
-                    "the trips side is never shuffled. Above the bound the lookups become "
-                    "sort-merge joins with AQE skew splitting.",
+    "dropoff_features": "One partial aggregate + one shuffle.",
+    "training_set": "Both feature tables are under the broadcast threshold: two "
+                    "BroadcastHashJoins on key and month, the trips side is never shuffled. "
+                    "Above it the lookups become sort-merge joins with AQE skew splitting; a "
+                    "selective base prunes months dynamically.",
     "feature_merge": "Reading the merged table: a plain pruned scan of the catalog partitions.",
     "drift_report": "The histogram is materialised once (earlier job); the baseline is a "
                     "scalar subquery over the small staged table -- no join, raw data scanned once.",
-    "tree_shap_model": "Row-local MapInPandas, no shuffle by key. The round-robin exchange "
-                       "appears only because the input has fewer partitions than cores.",
+    "feature_merge_typed": "Two partition columns (boolean, date), values named as Spark "
+                           "renders them.",
+    "tree_shap_fixed": "Row-local MapInPandas, no shuffle by key. The round-robin exchange "
+                       "appears only because the input has fewer files than cores.",
     "runs_latest": "max_by with a struct/map value is not hash-aggregatable, so Spark uses "
                    "SortAggregate: still partial before the shuffle (skew-safe), plus a "
                    "local sort; fine for run logs.",
     "model_current_stage": "Two max_by levels (version stage, then version per name), each "
                            "partial before its shuffle.",
-    "split_hash": "A projection only: md5 bucket per key, no shuffle.",
+    "split_hash": "A projection only: md5 fraction per key, no shuffle.",
 }
 
 
