@@ -37,8 +37,8 @@ from pyspark.sql import types as T
 from featflow.llm.common import (id_and_text, pieces, prefix_offsets, ragged_take, ready, schema,
                                  split_segments, table, text_bytes, tokenizer_path, vocabulary)
 
-#: Distinct segments and words a worker remembers before it starts afresh.
-CACHE_WORDS = 600_000
+#: Distinct segments and words in each of the two generations a worker remembers.
+CACHE_WORDS = 225_000
 #: Bytes of words contracted by one query.
 QUERY_BYTES = 1 << 19
 #: From this many bytes on, a word's equal pairs are contracted together.
@@ -144,6 +144,8 @@ class MergeCodec:
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         #: Ids of segments and words met (a segment of one word is that word).
         self.known: dict[bytes, bytes] = {}
+        #: The generation before; what is met again moves on to the new one.
+        self.old: dict[bytes, bytes] = {}
 
     def _load(self, name: str, columns: dict) -> None:
         self.con.register("_rows", pa.table(columns))
@@ -240,17 +242,24 @@ class MergeCodec:
             del self.known[w]
 
     def learn(self, segments: list[bytes]) -> None:
-        known, find = self.known, self.pattern.findall
-        if len(known) > CACHE_WORDS:
-            known.clear()
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.old = {}, self.known
+        known, old, find = self.known, self.old, self.pattern.findall
         cut, new = [], {}
         for s in segments:
-            if s not in known:
-                parts = [x.encode() for x in find(s.decode())]
-                if len(parts) > 1:
-                    cut.append((s, parts))
-                for x in parts:
-                    if x not in known:
+            if s in known:
+                continue
+            if s in old:
+                known[s] = old[s]
+                continue
+            parts = [x.encode() for x in find(s.decode())]
+            if len(parts) > 1:
+                cut.append((s, parts))
+            for x in parts:
+                if x not in known:
+                    if x in old:
+                        known[x] = old[x]
+                    else:
                         new[x] = None
         self.learn_words(list(new))
         for s, parts in cut:

@@ -72,6 +72,18 @@ def test_bpe_giant_words(codec, monkeypatch):
     assert codec.decode(ids, bounds) == [t.encode() for t in texts]
 
 
+def test_memories_may_overflow(codec, words, monkeypatch):
+    enc, full = tik(), Tokenizer.from_file(WORDS)
+    monkeypatch.setattr(byte_bpe, "CACHE_WORDS", 20)
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 20)
+    for at in range(0, len(TEXTS), 40):
+        some = TEXTS[at:at + 40] + ["again and again", "x1 y2"]
+        col = pa.array(some, pa.string())
+        assert lists(*codec.encode(col)) == [enc.encode_ordinary(t or "") for t in some]
+        assert lists(*words.encode(col)) == [full.encode(t or "", add_special_tokens=False).ids
+                                             for t in some]
+
+
 def test_words_equal_library(words):
     full = Tokenizer.from_file(WORDS)
     ids, bounds = words.encode(pa.array(TEXTS, pa.string()))
