@@ -1,7 +1,7 @@
 """Benchmark decontamination with SimHashed item-sized windows.
 
 A benchmark item of n words is looked for in windows of n words of every
-document: each window gets a 64-bit SimHash of its five-word shingles, a
+document (in all of it, where it has fewer): each window gets a 64-bit SimHash of its five-word shingles, a
 multi-index over the items' fingerprints proposes candidates, and the exact
 weighted similarity of the shingles (weights are their counts: sum of minima
 over sum of maxima) decides, from ``min_similarity`` on.
@@ -21,8 +21,9 @@ total is measured first) and each block is broadcast for one pass over the
 documents, so nothing broadcast grows with the benchmark.
 
 Defined results: items and documents of fewer than five words have no shingle
-and never match; null texts are empty; letters A-Z count as lower case; per row
-of ``docs`` and item the most similar window is reported, the first of equals;
+and never match; null texts are empty; letters A-Z count as lower case; a
+document shorter than an item is one window as a whole; per row of ``docs`` and
+item the most similar window is reported, the first of equals;
 repeated rows of ``docs`` are all reported, repeated items count once; an empty table on either side gives none.
 """
 
@@ -203,30 +204,38 @@ class ItemIndex:
             at, owner = spot[size == k], text_of[size == k]
             low = np.maximum(at - k + 1, bounds[owner])
             high = np.minimum(at, bounds[owner + 1] - SHINGLE + 1 - k)  # last start
+            total = bounds[owner + 1] - bounds[owner] - SHINGLE + 1  # shingles of the text
+            # A text shorter than the item is a window itself, unless its length
+            # alone keeps it below the bound.
+            short = np.unique(owner[(total < k) & (total / k >= self.min_similarity)
+                                    & (at + SHINGLE <= bounds[owner + 1])])
+            length = bounds[short + 1] - bounds[short] - SHINGLE + 1
+            windows = [(m, bounds[short[length == m]], short[length == m])
+                       for m in np.unique(length).tolist()]
             ok = high >= low
             low, high, owner = low[ok], high[ok], owner[ok]
-            if not len(low):
-                continue
-            # Union of the ranges, as both ends ascend.
-            low = np.maximum(low, np.concatenate([[0], high[:-1] + 1]))
-            n = np.maximum(high - low + 1, 0)
-            ends = np.cumsum(n)
-            starts = np.arange(int(ends[-1])) + np.repeat(low - (ends - n), n)
-            text = np.repeat(owner, n)
+            if len(low):
+                # Union of the ranges, as both ends ascend.
+                low = np.maximum(low, np.concatenate([[0], high[:-1] + 1]))
+                n = np.maximum(high - low + 1, 0)
+                ends = np.cumsum(n)
+                starts = np.arange(int(ends[-1])) + np.repeat(low - (ends - n), n)
+                windows.append((k, starts, np.repeat(owner, n)))
             items, index = self.by_size[k]
-            for part in range(0, len(starts), 1 << 15):
-                some = starts[part:part + (1 << 15)]
-                fps = window_fingerprints(shingles, some, k)
-                for q, s, d in zip(*index.query(fps)):
-                    start, item = int(some[q]), int(items[s])
-                    window = words[start:start + k + SHINGLE - 1].to_pylist()
-                    sim = similarity(_shingle_counts(window), self.counts[item])
-                    if sim < self.min_similarity:
-                        continue
-                    t = int(text[part + q])
-                    old = best.get((t, item))
-                    if old is None or (-sim, start) < (-old[5], old[2]):
-                        best[t, item] = (t, item, start, k + SHINGLE - 1, int(d), sim)
+            for m, starts, text in windows:
+                for part in range(0, len(starts), 1 << 15):
+                    some = starts[part:part + (1 << 15)]
+                    fps = window_fingerprints(shingles, some, m)
+                    for q, s, d in zip(*index.query(fps)):
+                        start, item = int(some[q]), int(items[s])
+                        window = words[start:start + m + SHINGLE - 1].to_pylist()
+                        sim = similarity(_shingle_counts(window), self.counts[item])
+                        if sim < self.min_similarity:
+                            continue
+                        t = int(text[part + q])
+                        old = best.get((t, item))
+                        if old is None or (-sim, start) < (-old[5], old[2]):
+                            best[t, item] = (t, item, start, m + SHINGLE - 1, int(d), sim)
         return [(t, i, start - int(bounds[t]), n, d, sim)
                 for t, i, start, n, d, sim in best.values()]
 

@@ -86,3 +86,49 @@ def test_rows_and_blocks(spark, monkeypatch):
         assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(d[0]) for d in docs if d[0] not in hit)
     assert D.find_contamination(dd, ii.limit(0)).collect() == [] and D.drop_contaminated(dd, ii.limit(0)).count() == len(docs)
     assert D.find_contamination(dd.limit(0), ii).collect() == []
+
+
+def best_windows(docs, items, least=0.8):
+    """{(doc, item): (start, words, similarity)}; a shorter document is one window."""
+    out = {}
+    for d, text in docs:
+        w = text.encode().lower().split()
+        for i, t in items:
+            v = t.encode().lower().split()
+            n = min(len(v), len(w))
+            if n < D.SHINGLE:
+                continue
+            found = [(-D.similarity(D._shingle_counts(w[s:s + n]), D._shingle_counts(v)), s)
+                     for s in range(len(w) - n + 1)]
+            sim, start = min(found)
+            if -sim >= least:
+                out[d, i] = (start, n, -sim)
+    return out
+
+
+def test_documents_shorter_than_the_item(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    items = [(i, " ".join(word() for _ in range(n)))
+             for i, n in enumerate([59, 10, 9, 5, *(rng.randrange(9, 60) for _ in range(40))])]
+    docs = [(0, " ".join(items[0][1].split()[:52])), (1, " ".join(items[1][1].split()[1:])),
+            (2, " ".join(items[2][1].split()[:8])), (3, " ".join(items[3][1].split()[:4]))]
+    for d in range(4, 160):
+        passage = rng.choice(items)[1].split()
+        a = rng.randrange(0, 1 + len(passage) // 8)
+        passage = passage[a:len(passage) - rng.randrange(0, 1 + len(passage) // 8)]
+        if d % 3 == 0:  # thinned
+            del passage[rng.randrange(len(passage))]
+        docs.append((d, "\n".join(passage).upper() if d % 2 else " ".join(passage)))
+    want = best_windows(docs, items)
+    assert want[0, 0] == (0, 52, 48 / 55) and want[1, 1] == (0, 9, 5 / 6) and (3, 3) not in want
+    shorter = {(d, i) for d, i in want if len(docs[d][1].split()) < len(items[i][1].split())}
+    assert len(shorter) > 50
+    dd = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    ii = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.id, r.item): (r.start_word, r.n_words, r.similarity)
+           for r in D.find_contamination(dd, ii).collect()}
+    assert got == want
+    hit = {d for d, _ in want}
+    assert sorted(r.doc_id for r in D.drop_contaminated(dd, ii).collect()) == [
+        d for d, _ in docs if d not in hit]
