@@ -19,7 +19,8 @@ Words are compared by 64-bit hashes (two of them where it counts: prefix and
 context).  Sorting is range partitioning on the whole sort key, position
 included, so a passage that occurs in a third of all documents is spread over
 many tasks; each task streams its rows and keeps one, and the rows at the
-borders of the partitions (two per task) are compared in a tiny extra step.
+borders of the partitions (two per task) are filtered in parallel and moved to
+one more task that compares them.
 Documents with the same text are one document to the steps above (they sort
 next to each other and collapse) and are expanded at the end.
 
@@ -180,7 +181,8 @@ def neighbours(rows: DataFrame) -> DataFrame:
     cols = [*_SORT, "low", "high"]
     placed = rows.select(*cols).repartitionByRange(*_SORT).sortWithinPartitions(*_SORT)
     marked = stage(rows.sparkSession, placed.mapInArrow(_compare, out), "neighbours")
-    borders = marked.where("edge").select(*cols).coalesce(1).sortWithinPartitions(*_SORT)
+    # Filtered where the rows lie; only the edge rows move to one task.
+    borders = marked.where("edge").select(*cols).repartition(1).sortWithinPartitions(*_SORT)
     return marked.unionByName(borders.mapInArrow(_compare, out)).where("full OR part")
 
 

@@ -73,3 +73,14 @@ def test_overlapping_passages(spark, seed):
     got = sorted(map(tuple, S.repeated_passages(df).collect()), key=str)
     assert got == brute([(d[0], d[1]) for d in docs], 50)
     assert S.repeated_passages(df.limit(0)).collect() == []
+
+
+def test_only_border_rows_move_to_one_task(spark):
+    names = [*S._SORT, "low", "high"]
+    rows = [(i // 2, i % 3 // 2, i, 0, 0, 0) for i in range(2000)]
+    found = S.neighbours(spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names)).repartition(7))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and "Exchange SinglePartition" in plan
+    where = lambda flag: {r.th for r in found.where(flag).collect()}
+    same = {i for i in range(2000) if rows[i][1] == rows[i ^ 1][1]}
+    assert where("full") == same and where("part") == set(range(2000)) - same
