@@ -14,7 +14,10 @@ word.
 *Multi-index.*  Fingerprints are cut into eight blocks.  If two differ in at
 most ``radius`` bits, some block differs in at most ``radius // 8``, so looking
 up every block value within that many bits proposes all fingerprints within the
-radius.  Each distance is then checked on all bits.
+radius.  Each distance is then checked on all bits.  The radius holds for nearly
+all similar windows, not for all (items of a short period have few distinct
+shingles, and their fingerprints differ widely), so a window that shares enough
+shingles with an item to reach ``min_similarity`` is a candidate at any distance.
 
 *Size.*  Items are cut into blocks of at most ``BLOCK_BYTES`` of text (their
 total is measured first) and each block is broadcast for one pass over the
@@ -39,8 +42,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featflow.llm.common import (id_and_text, pieces, ready, schema, split_words, table,
-                                 text_bytes)
+from featflow.llm.common import (id_and_text, pieces, prefix_offsets, ragged_take, ready, schema,
+                                 split_words, table, text_bytes)
 
 SHINGLE = 5
 #: Bits in which a similar window's fingerprint may differ from the item's.
@@ -165,6 +168,7 @@ class ItemIndex:
             owners.append(np.full(len(s), len(s)))
             by_size.setdefault(len(s), []).append(
                 (k, window_fingerprints(s, np.zeros(1, np.int64), len(s))[0]))
+        shingles_of = keys
         keys = np.concatenate(keys) if keys else np.empty(0, np.uint64)
         owners = np.concatenate(owners) if owners else np.empty(0, np.int64)
         pairs = np.unique(np.rec.fromarrays([keys, owners], names="k,n")) if len(keys) else None
@@ -172,10 +176,51 @@ class ItemIndex:
         self.key_sizes = pairs["n"] if pairs is not None else owners
         self.gate = np.zeros(1 << 22, bool)
         self.gate[(self.keys >> np.uint64(42)).astype(np.int64)] = True
+        self.shared = {}  # by size: shingles in order and the item (within its size) of each
+        for n, v in by_size.items():
+            own = [np.unique(shingles_of[k]) for k, _ in v]
+            key, item = np.concatenate(own), np.repeat(np.arange(len(own)), list(map(len, own)))
+            order = np.argsort(key, kind="stable")
+            self.shared[n] = key[order], item[order]
         self.by_size = {n: (np.array([k for k, _ in v]),
                             MultiIndex(np.array([f for _, f in v], np.uint64), radius))
                         for n, v in by_size.items()}
 
+    def _beyond(self, k: int, m: int, at: np.ndarray, shingles: np.ndarray,
+                starts: np.ndarray, fps: np.ndarray):
+        """(window, item, distance) of pairs outside the radius that share enough
+        shingles to reach the similarity: ``m`` shingles from each of ``starts`` on
+        against items of ``k``; ``at`` are the places of shingles of such items."""
+        index, (keys, owners) = self.by_size[k][1], self.shared[k]
+        common = np.arange(1, min(m, k) + 1)
+        enough = common[common / (m + k - common) >= self.min_similarity]
+        first = np.searchsorted(at, starts)
+        last = np.searchsorted(at, starts + m)
+        rows = np.flatnonzero(last - first >= enough[0]) if len(enough) else enough
+        if not len(rows):
+            return
+        base = first[rows[0]]
+        first, n = first[rows] - base, (last - first)[rows]
+        places = shingles[at[base:last[rows[-1]]]]
+        low = np.searchsorted(keys, places)
+        width = np.searchsorted(keys, places, side="right") - low
+        upto = prefix_offsets(width)
+        size = np.cumsum(upto[first + n] - upto[first])
+        cut = 0
+        while cut < len(rows):  # windows whose lists have a bounded length together
+            done = size[cut - 1] if cut else 0
+            to = max(cut + 1, int(np.searchsorted(size, done + (1 << 20), side="right")))
+            place = ragged_take(np.arange(len(places)), first[cut:to], n[cut:to])
+            q = np.repeat(np.repeat(rows[cut:to], n[cut:to]), width[place])
+            both, count = np.unique(q * len(index.fps) + ragged_take(owners, low[place], width[place]),
+                                    return_counts=True)
+            both = both[count >= enough[0]]
+            q, s = both // len(index.fps), both % len(index.fps)
+            d = np.bitwise_count(fps[q] ^ index.fps[s])
+            far = d > index.radius
+            yield q[far], s[far], d[far]
+            cut = to
+
     def search(self, col: pa.Array) -> list[tuple[int, int, int, int, int, float]]:
         """(text, item, first word, words, distance, similarity), the best
         window per text and item, for a string column."""
@@ -226,7 +271,8 @@ class ItemIndex:
                 for part in range(0, len(starts), 1 << 15):
                     some = starts[part:part + (1 << 15)]
                     fps = window_fingerprints(shingles, some, m)
-                    for q, s, d in zip(*index.query(fps)):
+                    found = [index.query(fps), *self._beyond(k, m, at, shingles, some, fps)]
+                    for q, s, d in zip(*map(np.concatenate, zip(*found))):
                         start, item = int(some[q]), int(items[s])
                         window = words[start:start + m + SHINGLE - 1].to_pylist()
                         sim = similarity(_shingle_counts(window), self.counts[item])

@@ -132,3 +132,25 @@ def test_documents_shorter_than_the_item(spark):
     hit = {d for d, _ in want}
     assert sorted(r.doc_id for r in D.drop_contaminated(dd, ii).collect()) == [
         d for d, _ in docs if d not in hit]
+
+
+def test_similar_windows_beyond_the_radius():
+    """Texts of short periods and few words: what the exact similarity says, for any radius."""
+    rng = random.Random(11)
+    items = [(0, "a b " * 6 + "a"), (1, "a b c " * 7), (2, "z " * 9)]
+    items += [(i, " ".join(rng.choice(["ab", "xyz", "pqrstu"][i % 3]) for _ in range(rng.randrange(5, 40))))
+              for i in range(3, 60)]
+    docs = ["b a " * 6 + "b", "c a b " * 8, "z " * 8, "y " * 40 + "b a " * 30 + "a b c " * 50]
+    for _ in range(150):
+        words = rng.choice(items)[1].split()
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = rng.choice("abxy")
+        docs.append(" ".join(["n"] * rng.randrange(3) + words[rng.randrange(3):] + ["m"] * rng.randrange(3)))
+    want = best_windows(list(enumerate(docs)), items)
+    assert want[0, 0] == (0, 13, 0.8)
+    far = 0
+    for radius in (D.RADIUS, 0):
+        got = D.ItemIndex(items, radius, 0.8).search(D.pa.array(docs))
+        assert {(t, i): (start, n, sim) for t, i, start, n, _, sim in got} == want
+        far += sum(d > D.RADIUS for *_, d, _ in got)
+    assert far
