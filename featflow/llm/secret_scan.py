@@ -55,7 +55,7 @@ SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9,
     "apikey": 1.0, "accesskey": 1.0, "privatekey": 1.0, "credential": 0.9, "credentials": 0.9,
     "auth": 0.6, "bearer": 0.8, "signingkey": 1.0, "encryptionkey": 1.0, "connectionstring": 0.7,
-    "key": 0.4, "salt": 0.5,
+    "key": 0.6, "salt": 0.6,
 }
 
 _NAME = rb"[A-Za-z_][A-Za-z0-9_]*(?:[.-][A-Za-z_][A-Za-z0-9_]*)*"

@@ -56,6 +56,13 @@ def test_names_and_constants():
     assert literals(f'if pwd == "{v}":') == []
 
 
+@pytest.mark.parametrize("name", sorted(S.SENSITIVE))
+def test_every_sensitive_name_can_report(name):
+    v = "Zx9-qQ77!kLm20@vv"
+    assert literals(f'{name} = "{v}"\n') or S.base_spans(f'{name} = "{v}"\n'.encode())
+    assert literals(f'{name} = "a plain word"\n') == []
+
+
 def test_work_follows_the_length():
     """Chains of constants and many secrets stay linear."""
     v = "Zx9-qQ77!kLm20@vv"
