@@ -60,7 +60,8 @@ SENSITIVE = {
 
 _NAME = rb"[A-Za-z_][A-Za-z0-9_]*(?:[.-][A-Za-z_][A-Za-z0-9_]*)*"
 _NAME_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-"
-_LAST_NAME = re.compile(_NAME + rb"$")
+#: A name read from its end, so that the longest one is found in one pass.
+_NAME_BACK = re.compile(rb"[A-Za-z0-9_]*[A-Za-z_](?:[.-][A-Za-z0-9_]*[A-Za-z_])*")
 _SIGN = re.compile(rb"(?::=|=>|==|!=|<=|>=|[:=])[ \t]*")
 _RIGHT = re.compile(
     rb"[fFrRbBuU]?\"((?:[^\"\\\n]|\\.)*)\"|[fFrRbBuU]?'((?:[^'\\\n]|\\.)*)'"
@@ -124,16 +125,16 @@ def _expression(text: bytes, at: int) -> list[tuple[str, bytes, int, int]]:
     return out
 
 
-def _name_before(text: bytes, at: int) -> bytes | None:
-    """The name directly before an assignment sign, perhaps quoted or in
-    brackets (names of up to about 128 bytes)."""
-    left = text[max(0, at - 160):at].rstrip(b" \t")
+def _name_before(left: bytes) -> bytes | None:
+    """The name at the end of ``left`` (the text before an assignment sign),
+    perhaps quoted or in brackets, whatever blanks follow it."""
+    left = left.rstrip(b" \t")
     for _ in range(2):
         if left[-1:] in (b'"', b"'", b"]"):
             left = left[:-1]
     tail = left[len(left.rstrip(_NAME_BYTES)):]
-    m = _LAST_NAME.search(tail)
-    return m[0] if m else None
+    m = _NAME_BACK.match(tail[::-1])
+    return m[0][::-1] if m else None
 
 
 def literal_spans(text: bytes, min_score: float = 0.55) -> list[tuple[str, int, int]]:
@@ -151,10 +152,10 @@ def literal_spans(text: bytes, min_score: float = 0.55) -> list[tuple[str, int,
     found = set()
     at = 0
     while sign := _SIGN.search(text, at):
-        at = sign.end()
+        left, at = text[at:sign.start()], sign.end()  # no name reaches over a sign
         if sign[0][:2] in (b"==", b"!=", b"<=", b">="):
             continue
-        name = _name_before(text, sign.start())
+        name = _name_before(left)
         if not name:
             continue
         literals, uses = [], []

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -63,6 +64,28 @@ def test_every_sensitive_name_can_report(name):
     assert literals(f'{name} = "a plain word"\n') == []
 
 
+def test_names_of_any_length_and_distance():
+    v = "Zx9-qQ77!kLm20@vv"
+    assert literals("db.pwd" + " \t" * 300 + f'= "{v}"') == [v]
+    assert literals('config["passphrase"]' + " " * 500 + f': "{v}"') == [v]
+    long = ".".join(f"part{i}" for i in range(100))
+    assert literals(f'{long} = "{v}"\nauth_pwd = {long}\n') == [v]
+    assert v not in literals(f'x.{long} = "{v}"\nauth_pwd = {long}\n')
+    assert literals(f'pwd.{long} = "{v}"\n') == [v]
+
+
+def test_name_before():
+    """The longest name that ends the text, on random ends."""
+    rng = random.Random(3)
+    last = re.compile(S._NAME + rb"$")
+    for _ in range(20_000):
+        tail = bytes(rng.choice(b"aZ_09.-") for _ in range(rng.randrange(12)))
+        m = last.search(tail)
+        assert S._name_before(b"x (" + tail + b"\"] \t") == (m[0] if m else None)
+    for part in (b"a", b"a.", b"0", b"a1-", b".", b"a..0", b" ", b"a\""):
+        S.scan(part * 400_000 + b"= 1\n" + part * 400_000 + b".= 1")
+
+
 def test_work_follows_the_length():
     """Chains of constants and many secrets stay linear."""
     v = "Zx9-qQ77!kLm20@vv"
