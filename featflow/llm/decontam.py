@@ -34,6 +34,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -58,11 +59,11 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def word_hashes(words: pa.Array) -> np.ndarray:
+def word_hashes(words: pa.Array, seed: int = 0) -> np.ndarray:
     coded = words.dictionary_encode()
     h = xxhash.xxh64_intdigest
     known = coded.dictionary.to_pylist()
-    return np.fromiter(map(h, known), np.uint64, len(known))[
+    return np.fromiter(map(h, known, repeat(seed)), np.uint64, len(known))[
         coded.indices.to_numpy(zero_copy_only=False)]
 
 

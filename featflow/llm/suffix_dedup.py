@@ -7,16 +7,16 @@ places or more, in different documents or one.
    the position of its smallest shingle hash (the minimiser).  Any 50 words
    contain such a window, so two occurrences of a passage select the same
    positions; suffixes are kept there only (about one word in thirteen).
-2. *Sort and compare neighbours.*  Suffixes are sorted over the cluster by their
-   first 26 words (which every passage has from its minimiser on), then by the
-   words around.  A suffix whose neighbour agrees on all 50-word windows that
+2. *Sort and compare neighbours.*  Suffixes are sorted over the cluster by the
+   hash of their first 26 words (which every passage has from its minimiser on),
+   then by the hash of the words around.  A suffix whose neighbour agrees on all 50-word windows that
    belong to it is repeated there as a whole.
-3. *Extend.*  Where neighbours share the first 26 words only, the match is
-   extended left and right to 50 words: the 50-word windows around one
-   representative of each context are themselves sorted and compared.
+3. *Windows.*  Where neighbours share the first 26 words only, no match is
+   extended word by word: all 50-word windows around one representative of each
+   context are hashed, sorted and compared in the same way.
 
-Words are compared by 64-bit hashes (two of them where it counts: prefix and
-context).  Sorting is range partitioning on the whole sort key, position
+Words are compared by two 64-bit hashes wherever rows are matched: prefix and
+context of suffixes, two hashes with different seeds of windows.  Sorting is range partitioning on the whole sort key, position
 included, so a passage that occurs in a third of all documents is spread over
 many tasks; each task streams its rows and keeps one, and the rows at the
 borders of the partitions (two per task) are filtered in parallel and moved to
@@ -45,6 +45,8 @@ from featflow.llm.decontam import shingle_hashes, word_hashes
 MIN_WORDS = 50
 _POS_BITS = np.uint64(28)
 _BASE = 0x9E3779B97F4A7C15
+#: Seed of the words' second hash.
+_SECOND = 0xC2B2AE3D27D4EB4F
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
@@ -187,14 +189,14 @@ def neighbours(rows: DataFrame) -> DataFrame:
 
 
 def _windows(min_words: int):
-    """Hash of every 50-word window of the contexts listed with a text."""
+    """Two hashes of every 50-word window of the contexts listed with a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             words, bounds, _, _ = split_words(*text_bytes(b.column("text")))
             if not len(words):
                 continue
-            ranges = RangeHash(word_hashes(words))
+            ranges, others = RangeHash(word_hashes(words)), RangeHash(word_hashes(words, _SECOND))
             starts, owner = [], []
             for i, spans in enumerate(b.column("spans").to_pylist()):
                 found = np.unique(np.concatenate(
@@ -203,11 +205,10 @@ def _windows(min_words: int):
                 owner.append(np.full(len(found), i))
             start, text = np.concatenate(starts), np.concatenate(owner)
             at = pa.array(start - bounds[text])
-            zero = pa.array(np.zeros(len(start), np.int64))
             th = b.column("th").to_numpy(zero_copy_only=False)[text]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ranges.of(start, start + min_words).view(np.int64)), zero, pa.array(th),
-                 at, at, at], _NAMES[:-1])
+                [*(pa.array(r.of(start, start + min_words).view(np.int64)) for r in (ranges, others)),
+                 pa.array(th), at, at, at], _NAMES[:-1])
 
     return run
 

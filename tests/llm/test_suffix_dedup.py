@@ -84,3 +84,17 @@ def test_only_border_rows_move_to_one_task(spark):
     where = lambda flag: {r.th for r in found.where(flag).collect()}
     same = {i for i in range(2000) if rows[i][1] == rows[i ^ 1][1]}
     assert where("full") == same and where("part") == set(range(2000)) - same
+
+
+def test_windows_have_a_second_hash(monkeypatch):
+    """Windows whose first hashes collide are not taken for repeats."""
+    plain = S.word_hashes
+    monkeypatch.setattr(S, "word_hashes", lambda words, seed=0: plain(words, seed) * np.uint64(seed != 0))
+    words = [f"w{i}" for i in range(120)]
+    batch = S.pa.RecordBatch.from_pylist(
+        [{"text": " ".join(words), "th": 1, "spans": [{"low": 0, "high": 70}]},
+         {"text": "x " + " ".join(words[:60]), "th": 2, "spans": [{"low": 0, "high": 11}]}])
+    found = S.pa.Table.from_batches(S._windows(50)([batch])).sort_by([(n, "ascending") for n in S._SORT])
+    rows = [r for b in S._compare(found.combine_chunks().to_batches()) for r in b.to_pylist() if r["full"]]
+    assert sorted((r["th"], r["low"]) for r in rows) == (
+        [(1, i) for i in range(11)] + [(2, i) for i in range(1, 12)])
