@@ -360,12 +360,14 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, id_col: str = "doc_id
 
 def decode(encoded: DataFrame, ranks_file: str, pattern: str, id_col: str = "id",
            ids_col: str = "ids") -> DataFrame:
-    """``id`` and ``bytes`` of every row of ids."""
+    """``id`` and ``bytes`` of every row of ids.  Ids that the rank file does not
+    have (special or reserved ones) are an error."""
     shared = vocabulary(ready(encoded.sparkSession), ranks_file)
     src = encoded.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, pattern)
+        vocab = np.fromiter(codec.token_bytes, np.int64, len(codec.token_bytes))
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
@@ -373,6 +375,10 @@ def decode(encoded: DataFrame, ranks_file: str, pattern: str, id_col: str = "id"
                          for x in part.column("ids").to_pylist()]
                 bounds = prefix_offsets([len(x) for x in lists])
                 ids = np.concatenate(lists) if lists else np.empty(0, np.int64)
+                unknown = ids[~np.isin(ids, vocab)]
+                if len(unknown):
+                    raise ValueError(f"{len(unknown)} ids are not in {ranks_file}, "
+                                     f"first {np.unique(unknown)[:5].tolist()}")
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(codec.decode(ids, bounds), pa.binary())],
                     ["id", "bytes"])

@@ -128,6 +128,14 @@ def test_encode_then_decode_rows(spark):
     assert byte_bpe.encode(docs.limit(0), RANKS, P.PATTERN).collect() == []
 
 
+@pytest.mark.parametrize("unknown", [50257, -1, 2**32 + 5])
+def test_decode_fails_on_unknown_ids(spark, unknown):
+    rows = spark.createDataFrame([(1, [0, 1]), (2, [0, unknown, 1]), (3, None)], "id long, ids array<long>")
+    assert byte_bpe.decode(rows.where("id != 2"), RANKS, P.PATTERN).count() == 2
+    with pytest.raises(Exception, match="1 ids are not in"):
+        byte_bpe.decode(rows, RANKS, P.PATTERN).collect()
+
+
 def test_token_files_of_documents(spark):
     full = Tokenizer.from_file(WORDS)
     start, want = 0, []
