@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -161,6 +161,61 @@ def prefix_offsets(lengths):
     return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
 
 
+class WordMemory:
+    """What a worker remembers of words: bytes to bytes, bounded in bytes.
+
+    Two generations; once the newer one holds ``limit`` bytes it becomes the
+    older one, and what is met again moves on.  Words of ``longest`` bytes or
+    more are kept for the current call only.
+    """
+
+    #: Cost of an entry beside its key and value.
+    ENTRY = 170
+
+    def __init__(self, limit: int = 40 << 20, longest: int = 512):
+        self.limit, self.longest = limit, longest
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.passing: dict[bytes, bytes] = {}
+        self.size = 0
+
+    def begin(self) -> None:
+        """Start a call: forget long words, change generations if it is time."""
+        self.passing = {}
+        if self.size > self.limit:
+            self.new, self.old, self.size = {}, self.new, 0
+
+    def unknown(self, words: Iterable[bytes]) -> list[bytes]:
+        """Those of ``words`` that are not remembered."""
+        new, old, passing, out = self.new, self.old, self.passing, []
+        for w in words:
+            if w not in new and w not in passing:
+                if w in old:
+                    self[w] = old[w]
+                else:
+                    out.append(w)
+        return out
+
+    def __contains__(self, word: bytes) -> bool:
+        return word in self.new or word in self.passing
+
+    def __getitem__(self, word: bytes) -> bytes:
+        return self.new[word] if word in self.new else self.passing[word]
+
+    def __setitem__(self, word: bytes, value: bytes) -> None:
+        if len(word) >= self.longest:
+            self.passing[word] = value
+        else:
+            self.new[word] = value
+            self.size += len(word) + len(value) + self.ENTRY
+
+    def all(self, words: list[bytes]) -> list[bytes]:
+        """The values of words that are all known."""
+        if self.passing:
+            return [self[w] for w in words]
+        return list(map(self.new.__getitem__, words))
+
+
 #: Largest vocabulary file sent to every executor.
 VOCABULARY_BYTES = 64 << 20
 
