@@ -3,8 +3,8 @@ where SQL can express the query)."""
 
 from __future__ import annotations
 
-from featflow.llm import (byte_bpe, chat, decontam, fill_middle, lang_id, packing, quality,
-                          secret_scan, simhash, suffix_dedup, token_count, token_files)
+from featflow.llm import (byte_bpe, chat, decontam, fill_middle, hard_negatives, lang_id, packing,
+                          quality, secret_scan, simhash, suffix_dedup, token_count, token_files)
 
 QUERIES = {
     "op1_lang_id": lang_id.op1_lang_id,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_token_count": token_count.op9_token_count,
     "op10_token_files": token_files.op10_token_files,
     "op11_fill_middle": fill_middle.op11_fill_middle,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_packing": packing.op13_packing,
 }
 
@@ -27,4 +28,5 @@ ORACLE_SQL = {
     "op7_quality": quality.SQL_OP7,
     "op8_repeats": suffix_dedup.SQL_OP8,
     "op11_fill_middle": fill_middle.SQL_OP11,
+    "op12_hard_negatives": hard_negatives.SQL_OP12,
 }
