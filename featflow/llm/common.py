@@ -146,6 +146,77 @@ def split_segments(data, offsets):
             np.searchsorted(starts, offsets))
 
 
+#: Byte classes: 0 ASCII white space, 1 letter, 2 digit, 3 other ASCII, 4 beyond.
+_KIND = None
+
+
+def _kinds():
+    global _KIND
+    import numpy as np
+    if _KIND is None:
+        _KIND = np.full(256, 3, np.uint8)
+        _KIND[[0x20, *range(0x09, 0x0E)]] = 0
+        _KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+        _KIND[0x30:0x3A] = 2
+        _KIND[0x80:] = 4
+    return _KIND
+
+
+def split_units(data, offsets, whole: tuple[bytes, ...] = ()):
+    """Each text cut where a byte-level tokenizer's pattern (contractions, runs
+    of letters, digits or others with at most one space before, white space)
+    surely begins a match.  Returns (units, text offsets into them); the units
+    of a text join to the text.
+
+    Cuts are made before runs of ASCII white space, before the last one of a run
+    and, if it is no space, behind it where ASCII follows, and between ASCII
+    letters, digits and others, except behind an apostrophe.  So a unit that is
+    ASCII and has no apostrophe is one match.  Where other than ASCII is
+    involved nothing is cut, nor inside the strings ``whole`` or the white space
+    before them.
+    """
+    import numpy as np
+
+    n = len(data)
+    cut = np.zeros(n + 2, bool)
+    if n > 1:
+        kind = _kinds()[data]
+        a, b, ka, kb = data[:-1], data[1:], kind[:-1], kind[1:]
+        starts = offsets[:-1][offsets[:-1] < n]
+        word = (kind >= 1) & (kind <= 3)
+        here = (ka != 0) & (kb == 0)
+        if (kind == 4).any():  # white space beyond ASCII, then ASCII's: one run
+            at = np.flatnonzero(here & (ka == 4)) + 1
+            back = [data[np.maximum(at - k, 0)].astype(np.int32) for k in (1, 2, 3)]
+            two = back[1] << 8 | back[0]
+            here[at[(two == 0xC285) | (two == 0xC2A0)
+                    | np.isin(back[2] << 16 | two, _WIDE_SPACE)] - 1] = False
+        follows = np.zeros(n, bool)  # ASCII other than white space of the same text is next
+        follows[:-1] = word[1:]
+        follows[starts[starts > 0] - 1] = False
+        here |= (ka == 0) & (kb == 0) & follows[1:]
+        here |= (ka == 0) & (a != 0x20) & word[1:]
+        here |= word[:-1] & word[1:] & (ka != kb) & (a != 0x27)
+        cut[1:n] = here
+        raw = data.tobytes() if whole else b""
+        for s in whole:
+            at = raw.find(s)
+            while at >= 0:
+                cut[at + 1:at + len(s)] = False
+                cut[max(at - 1, 0)] &= not (at > 1 and kind[at - 1] == 0 and kind[at - 2] == 0)
+                at = raw.find(s, at + 1)
+        cut[starts] = True
+    elif n:
+        cut[0] = True
+    begins = np.flatnonzero(cut[:n])
+    return binary_array(data, np.concatenate([begins, [n]])), np.searchsorted(begins, offsets)
+
+
+#: White space of three UTF-8 bytes (fixed values of the Unicode property).
+_WIDE_SPACE = [int.from_bytes(chr(c).encode(), "big") for c in
+               (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
 def ragged_take(values, starts, lengths):
     """Concatenated ``values[starts[i]:starts[i] + lengths[i]]``."""
     import numpy as np

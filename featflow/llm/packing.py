@@ -34,20 +34,21 @@ other columns are ignored, whatever their names; long texts are encoded whole.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featflow.llm.byte_bpe import _rejoin
 from featflow.llm.common import (WordMemory, id_and_text, pieces, prefix_offsets, ragged_take,
-                                 ready, schema, split_segments, stage, table, text_bytes,
+                                 ready, schema, split_units, stage, table, text_bytes,
                                  tokenizer_path, vocabulary)
 
 #: Largest sequence length: the linear program's basis has its square of numbers.
@@ -255,37 +256,92 @@ def make_plan(histogram: np.ndarray, capacity: int, tolerance: float = 0.002) ->
 # --- tokenizing -------------------------------------------------------------
 
 class SegmentTokenizer:
-    """Ids of texts under a byte-level BPE that never merges across white space
-    and a word: texts are cut before runs of white space, and only segments new
-    to the worker are tokenized, by the library."""
+    """Ids of texts under a byte-level BPE with the usual pattern.
+
+    Texts are cut into units that begin a match of the pattern; units new to the
+    worker are cut into matches, and new matches are tokenized many at a time by
+    the tokenizer's model, without its pattern.
+    """
+
+    #: The pattern of byte-level tokenizers (a fixed value of their format).
+    PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
+               r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+    #: Matches joined to one call of the model.
+    JOINED = 512
 
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.full = Tokenizer.from_str(data.decode())
+        cutter = json.loads(data).get("pre_tokenizer") or {}
+        if (cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space")
+                or not cutter.get("use_regex", True)):
+            raise ValueError("not a byte-level tokenizer with the usual pattern")
+        self.special = tuple(t.content.encode() for t in self.full.get_added_tokens_decoder().values())
+        self.bare = Tokenizer(self.full.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        self.letters = _byte_letters()
+        vocab = self.full.get_vocab(with_added_tokens=False)
+        self.size = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token
+        self.size[list(vocab.values())] = list(map(len, vocab))
+        self.find = regex.compile(self.PATTERN).findall
         self.width = 2 if self.full.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
         self.memory = WordMemory()
 
+    def _learn_matches(self, new: list[bytes]) -> None:
+        chunks = [new[at:at + self.JOINED] for at in range(0, len(new), self.JOINED)]
+        joined = [" ".join([x.decode("latin-1").translate(self.letters) for x in c]) for c in chunks]
+        for some, e in zip(chunks, self.bare.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(e.ids, self.kind)
+            ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(list(map(len, some)))) + 1
+            raw, a = ids.tobytes(), 0
+            for x, b in zip(some, (ends * self.width).tolist()):
+                self.memory[x] = raw[a:b]
+                a = b
+
+    def _learn(self, units: list[bytes], special: tuple[bytes, ...]) -> None:
+        memory, matches, cut = self.memory, [], []
+        for u in memory.unknown(units):
+            if special and any(s in u for s in special):
+                ids = self.full.encode(u.decode(), add_special_tokens=False).ids
+                memory[u] = np.array(ids, self.kind).tobytes()
+            elif u.isascii() and b"'" not in u:
+                matches.append(u)
+            else:
+                parts = [x.encode() for x in self.find(u.decode())]
+                if len(parts) > 1:
+                    cut.append((u, parts))
+                matches += parts
+        self._learn_matches(list(dict.fromkeys(memory.unknown(matches))))
+        for u, parts in cut:
+            memory[u] = b"".join([memory[x] for x in parts])
+
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, text offsets into them) of a string column."""
         data, offsets = text_bytes(col)
-        segments, bounds = _rejoin(*split_segments(data, offsets), data)
-        coded = segments.dictionary_encode()
+        raw = data.tobytes()
+        special = tuple(s for s in self.special if s in raw)
+        units, bounds = split_units(data, offsets, special)
+        coded = units.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         self.memory.begin()
-        new = self.memory.unknown(distinct)
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for s, e in zip(some, self.full.encode_batch_fast([s.decode() for s in some],
-                                                              add_special_tokens=False)):
-                self.memory[s] = np.array(e.ids, self.kind).tobytes()
+        self._learn(distinct, special)
         found = self.memory.all(distinct)
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.width
         values = np.frombuffer(b"".join(found), self.kind)
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        per_segment = lengths[codes]
-        ids = ragged_take(values, (np.cumsum(lengths) - lengths)[codes], per_segment)
-        return ids, prefix_offsets(per_segment)[bounds]
+        per_unit = lengths[codes]
+        ids = ragged_take(values, (np.cumsum(lengths) - lengths)[codes], per_unit)
+        return ids, prefix_offsets(per_unit)[bounds]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes as: printable
+    ones as themselves, the others as those from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(shown)]
+    return {**{b: chr(b) for b in shown}, **{b: chr(0x100 + i) for i, b in enumerate(others)}}
 
 
 _TOKENIZERS: dict[int, SegmentTokenizer] = {}
@@ -317,7 +373,7 @@ def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int,
         part = TaskContext.get().partitionId()
         end = np.array([end_id], tok.kind).tobytes()
         seen, full = np.zeros(capacity, np.int64), 0
-        for b in pieces(batches):
+        for b in pieces(batches, limit=8 << 20):
             ids, bounds = tok.encode(b.column("text"))
             raw, cuts = ids.tobytes(), (bounds * tok.width).tolist()
             n = np.diff(bounds) + 1
