@@ -1,29 +1,33 @@
 """Byte-level BPE by recursive DuckDB queries inside each partition.
 
-Encoding: texts are cut before white space into segments, each distinct new
-segment is matched by the tokenizer's pattern, and the distinct new matches
-("words") become token-position rows, one per byte.  A recursive query joins
-neighbouring positions with the merge table, contracts every word's leftmost
-pair of minimum rank, and goes on until no pair of any word is in the table.
-Words that are tokens themselves need no merging.
+Encoding: texts are cut into units where the tokenizer's pattern surely begins a
+match, each distinct new unit is matched by the pattern, and the distinct new
+matches ("words") become token-position rows, one per byte.  A recursive query
+joins neighbouring positions with the merge table, contracts every word's
+leftmost pair of minimum rank, and goes on until no pair of any word is in the
+table; its state is what is not finished yet, each word as its list of tokens.
+Words that are tokens themselves need no merging.  Words of 256 bytes or more
+are contracted in chunks, which are joined by contracting the tokens around each
+border anew.
 
 Decoding: token-position rows join the vocabulary, and an ordered aggregation
 puts each document's bytes together.
 
-A task holds one piece of its input (a few MB of text), a bounded memory of
-words already encoded, and a DuckDB instance with a memory limit that spills to
-the task's own temporary folder; nothing is shared between tasks, so a lost
-executor only repeats its tasks.
+A task holds one piece of its input (a few MB of text), a memory of words already
+encoded that is bounded in bytes, and a DuckDB instance with a memory limit and
+no temporary folder; nothing is shared between tasks, so a lost executor only
+repeats its tasks.
 
-Defined results: a null text is empty and gives no ids; repeated rows are all
-returned; an empty table gives an empty table; other columns are ignored.
+Defined results: a null text is empty and gives no ids; null and repeated keys
+are rows like all others, all returned; an empty table gives an empty table; very
+long texts and words are encoded whole; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -34,74 +38,74 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featflow.llm.common import (id_and_text, pieces, prefix_offsets, ragged_take, ready, schema,
-                                 split_segments, table, text_bytes, tokenizer_path, vocabulary)
+from featflow.llm.common import (USUAL_PATTERN, WordMemory, id_and_text, pieces,
+                                 prefix_offsets, ragged_take, ready, schema, split_units, table,
+                                 text_bytes, tokenizer_path, vocabulary)
 
-#: Distinct segments and words in each of the two generations a worker remembers.
-CACHE_WORDS = 225_000
 #: Bytes of words contracted by one query.
 QUERY_BYTES = 1 << 19
-#: From this many bytes on, a word's equal pairs are contracted together.
+#: From this many bytes on, a word is encoded in chunks that are then joined,
+#: and a chunk's equal pairs are contracted together.
 LONG_WORD = 256
-#: From this many bytes on, a word is encoded in chunks that are then joined.
-GIANT_WORD = 1024
+#: Bytes of the chunks at first.
+CHUNK = 128
 #: Tokens on either side of a chunk border that are encoded anew.
 _SEAM = 8
 #: Tokens decoded by one query.
 DECODE_TOKENS = 1 << 20
 
-#: Positions are numbered ``word << 32 | byte``; a rank and a position are
-#: packed into one number to find the leftmost pair of minimum rank.
+#: The state is a row per word; each round its tokens become token-position
+#: rows, joined as pairs with the merge table.  A pair's id and position are
+#: packed into one number to find the leftmost pair of minimum rank.  Words
+#: without a pair are done and leave the recursion.
 _ENCODE = """
 WITH RECURSIVE state AS (
-  SELECT 0 AS round, spot, tok FROM bytes
+  SELECT word, toks, false AS done FROM words
   UNION ALL
-  SELECT round + 1, spot, CASE WHEN spot = chosen THEN merged ELSE tok END
-  FROM (
-    SELECT p.round, p.spot, p.tok, p.before,
-           (p.spot >> 32 << 32) | (b.best & 4294967295) AS chosen,
-           (b.best >> 32)::INTEGER AS merged
-    FROM (SELECT *, lag(spot) OVER (ORDER BY spot) AS before FROM state) p
-    JOIN (SELECT spot >> 32 AS word, min((m.id::BIGINT << 32) | (spot & 4294967295)) AS best
-          FROM (SELECT spot, tok, lead(spot) OVER (ORDER BY spot) AS next_spot,
-                       lead(tok) OVER (ORDER BY spot) AS next_tok FROM state) q
-          JOIN merges m ON q.tok = m.a AND q.next_tok = m.b AND q.next_spot >> 32 = q.spot >> 32
-          GROUP BY 1) b ON p.spot >> 32 = b.word)
-  WHERE before IS DISTINCT FROM chosen
+  (WITH live AS (SELECT word, toks FROM state WHERE NOT done),
+   pairs AS (SELECT word, unnest(toks[:-2]) AS a, unnest(toks[2:]) AS b,
+                    unnest(range(1, len(toks))) AS pos FROM live),
+   best AS (SELECT word, min((m.id::BIGINT << 32) | pos) AS best
+            FROM pairs JOIN merges m ON pairs.a = m.a AND pairs.b = m.b GROUP BY word)
+   SELECT word, CASE WHEN best IS NULL THEN toks ELSE
+            list_concat(list_concat(toks[:(best & 4294967295) - 1], [(best >> 32)::INTEGER]),
+                        toks[(best & 4294967295) + 2:]) END AS toks, best IS NULL AS done
+   FROM live LEFT JOIN best USING (word))
 )
-SELECT round, spot, tok FROM state ORDER BY spot
+SELECT word, toks FROM state WHERE done ORDER BY word
 """
 
 #: The same fixpoint for long words: all disjoint occurrences of a word's
 #: minimum pair, leftmost first, are contracted in one round.  (A pair made by
 #: a merge never ranks below it, so the order among equal pairs is all that
 #: counts; in a run of overlapping occurrences every second one is taken.)
+#: The state is a row per token, numbered ``word << 32 | byte``.
 _ENCODE_LONG = """
 WITH RECURSIVE state AS (
-  SELECT 0 AS round, spot, tok FROM bytes
+  SELECT spot, tok, false AS done FROM (
+    SELECT word::BIGINT << 32 | unnest(range(len(toks))) AS spot, unnest(toks) AS tok FROM words)
   UNION ALL
-  SELECT round + 1, spot, CASE WHEN taken THEN best ELSE tok END
+  SELECT spot, CASE WHEN taken THEN best ELSE tok END, best IS NULL
   FROM (
     SELECT *, lag(taken) OVER (ORDER BY spot) AS swallowed,
            lag(spot >> 32) OVER (ORDER BY spot) AS word_before
     FROM (
-      SELECT *, coalesce(hit AND (row_number() OVER (PARTITION BY run, hit ORDER BY spot)) % 2 = 1,
-                         false) AS taken
+      SELECT *, hit AND (row_number() OVER (PARTITION BY run, hit ORDER BY spot)) % 2 = 1 AS taken
       FROM (
         SELECT *, n - row_number() OVER (PARTITION BY hit ORDER BY spot) AS run
         FROM (
-          SELECT round, spot, tok, n, best, id IS NOT DISTINCT FROM best AS hit
+          SELECT spot, tok, n, best, coalesce(id = best, false) AS hit
           FROM (
             SELECT q.*, m.id, min(m.id) OVER (PARTITION BY q.spot >> 32) AS best
-            FROM (SELECT *, row_number() OVER (ORDER BY spot) AS n,
+            FROM (SELECT spot, tok, row_number() OVER (ORDER BY spot) AS n,
                          lead(spot) OVER (ORDER BY spot) AS next_spot,
-                         lead(tok) OVER (ORDER BY spot) AS next_tok FROM state) q
+                         lead(tok) OVER (ORDER BY spot) AS next_tok FROM state WHERE NOT done) q
             LEFT JOIN merges m
-              ON q.tok = m.a AND q.next_tok = m.b AND q.next_spot >> 32 = q.spot >> 32)
-          WHERE best IS NOT NULL))))
+              ON q.tok = m.a AND q.next_tok = m.b AND q.next_spot >> 32 = q.spot >> 32)))))
   WHERE NOT coalesce(swallowed AND word_before = spot >> 32, false)
 )
-SELECT round, spot, tok FROM state ORDER BY spot
+SELECT (spot >> 32)::INTEGER AS word, list(tok ORDER BY spot) AS toks
+FROM state WHERE done GROUP BY spot >> 32 ORDER BY 1
 """
 
 _DECODE = """
@@ -119,8 +123,8 @@ def _connect():
     import duckdb
     con = duckdb.connect()
     con.execute("SET threads = 1")
-    con.execute("SET memory_limit = '350MB'")
-    con.execute(f"SET temp_directory = '{tempfile.mkdtemp(prefix='merge-')}'")
+    con.execute("SET memory_limit = '500MB'")
+    con.execute("SET temp_directory = ''")  # queries are small; nothing spills to a local folder
     return con
 
 
@@ -130,8 +134,11 @@ class MergeCodec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         # White space as the tokenizer's own engine has it (no control characters).
-        self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")
-                                     .replace(r"\S", r"\P{White_Space}"))
+        pattern = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(
+            r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+        self.pattern = regex.compile(pattern)
+        #: Texts of other patterns are matched as a whole.
+        self.usual = pattern == USUAL_PATTERN
         self.con = _connect()
         rows = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items()
                 for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
@@ -142,10 +149,8 @@ class MergeCodec:
                              "piece": ["".join(chr(256 + x) for x in t) for t in ranks]})
         self.token_bytes = {r: t for t, r in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        #: Ids of segments and words met (a segment of one word is that word).
-        self.known: dict[bytes, bytes] = {}
-        #: The generation before; what is met again moves on to the new one.
-        self.old: dict[bytes, bytes] = {}
+        #: Ids of units and words met.
+        self.memory = WordMemory()
 
     def _load(self, name: str, columns: dict) -> None:
         self.con.register("_rows", pa.table(columns))
@@ -154,24 +159,17 @@ class MergeCodec:
 
     def _contract(self, words: list[bytes], query: str) -> None:
         """Ids of ``words`` into the memory."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        first = np.cumsum(lengths) - lengths
-        word = np.repeat(np.arange(len(words), dtype=np.int64), lengths)
-        byte = np.arange(int(lengths.sum()), dtype=np.int64) - first[word]
-        self.con.register("bytes", pa.table({
-            "spot": word << 32 | byte,
-            "tok": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]}))
-        got = self.con.execute(query).fetchnumpy()
-        self.con.unregister("bytes")
-        rnd, spot, tok = got["round"], got["spot"] >> 32, got["tok"]
-        cuts = np.searchsorted(spot, np.arange(len(words) + 1))
-        last = np.maximum.reduceat(rnd, cuts[:-1])
-        keep = rnd == last[spot]  # a word's rows of its last round
-        ids = tok[keep].astype("<u4")
-        ends = np.cumsum(np.bincount(spot[keep], minlength=len(words)))
-        raw, a = ids.tobytes(), 0
-        for w, b in zip(words, (ends * 4).tolist()):
-            self.known[w] = raw[a:b]
+        bounds = prefix_offsets(list(map(len, words))).astype(np.int32)
+        toks = pa.ListArray.from_arrays(
+            pa.array(bounds), pa.array(self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]))
+        self.con.register("words", pa.table({"word": np.arange(len(words), dtype=np.int32),
+                                             "toks": toks}))
+        got = self.con.sql(query).to_arrow_table()["toks"].combine_chunks()
+        self.con.unregister("words")
+        raw = got.flatten().to_numpy().astype("<u4").tobytes()
+        a = 0
+        for w, b in zip(words, np.cumsum(got.value_lengths().to_numpy() * 4).tolist()):
+            self.memory[w] = raw[a:b]
             a = b
 
     def _batches(self, words: list[bytes], query: str) -> None:
@@ -187,14 +185,12 @@ class MergeCodec:
         for w in words:
             one = self.ranks.get(w)
             if one is not None:
-                self.known[w] = one.to_bytes(4, "little")
-            elif len(w) < GIANT_WORD:
+                self.memory[w] = one.to_bytes(4, "little")
+            else:
                 (short if len(w) < LONG_WORD else long).append(w)
         self._batches(short, _ENCODE)
-        self._batches(long, _ENCODE_LONG)
-        for w in words:
-            if w not in self.known:
-                self.known[w] = self._giant(w)
+        for w in long:
+            self.memory[w] = self._giant(w)
 
     def _giant(self, word: bytes) -> bytes:
         """Ids of a very long word, from those of its chunks.
@@ -203,15 +199,16 @@ class MergeCodec:
         the two would be encoded to alone.  So chunks can be joined by encoding
         the tokens around their border anew, provided that the outermost of
         these come out as they were; chunks for which they do not are made one
-        and encoded as a whole.
+        (two at a time) and encoded as a whole.
         """
-        chunks = [word[i:i + LONG_WORD] for i in range(0, len(word), LONG_WORD)]
+        chunks = [word[i:i + CHUNK] for i in range(0, len(word), CHUNK)]
+        known: dict[bytes, np.ndarray] = {}
         while True:
-            known: dict[bytes, list[int]] = {}
             self._into(known, chunks)
             tokens = [known[c] for c in chunks]
             seams = [(a[-_SEAM:], b[:_SEAM]) for a, b in zip(tokens, tokens[1:])]
-            joins = [b"".join(self.token_bytes[t] for t in a + b) for a, b in seams]
+            joins = [b"".join([self.token_bytes[t] for t in (*a.tolist(), *b.tolist())])
+                     for a, b in seams]
             self._into(known, joins)
             fits = [min(len(tokens[i]), len(tokens[i + 1])) >= 2 * _SEAM
                     and known[j][0] == a[0] and known[j][-1] == b[-1]
@@ -219,67 +216,63 @@ class MergeCodec:
             if all(fits):
                 out = []
                 for i, t in enumerate(tokens):
-                    first, last = _SEAM * (i > 0), len(t) - _SEAM * (i < len(joins))
-                    out += t[first:last]
+                    out.append(t[_SEAM * (i > 0):len(t) - _SEAM * (i < len(joins))])
                     if i < len(joins):
-                        out += known[joins[i]]
-                return np.array(out, "<u4").tobytes()
-            merged = [chunks[0]]
+                        out.append(known[joins[i]])
+                return np.concatenate(out).astype("<u4").tobytes()
+            merged, grown = [chunks[0]], False
             for c, fit in zip(chunks[1:], fits):
-                if fit:
+                if fit or grown:
                     merged.append(c)
+                    grown = False
                 else:
                     merged[-1] += c
+                    grown = True
             chunks = merged
 
-    def _into(self, known: dict[bytes, list[int]], words: list[bytes]) -> None:
+    def _into(self, known: dict[bytes, np.ndarray], words: list[bytes]) -> None:
         """Ids of words by contraction, whatever their length."""
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        self._batches(new, _ENCODE_LONG)
-        for w in words:
-            known[w] = np.frombuffer(self.known[w], "<u4").tolist()
-        for w in new:  # parts of one word: not worth remembering
-            del self.known[w]
-
-    def learn(self, segments: list[bytes]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.old = {}, self.known
-        known, old, find = self.known, self.old, self.pattern.findall
-        cut, new = [], {}
-        for s in segments:
-            if s in known:
+        new = [w for w in dict.fromkeys(words) if w not in known]
+        kept, self.memory = self.memory, WordMemory()  # parts of one word: not worth remembering
+        self._batches([w for w in new if len(w) < LONG_WORD], _ENCODE)
+        self._batches([w for w in new if len(w) >= LONG_WORD], _ENCODE_LONG)
+        for w in new:
+            known[w] = np.frombuffer(self.memory[w], "<u4")
+        self.memory = kept
+
+    def learn(self, units: list[bytes]) -> None:
+        memory, find, cut, words = self.memory, self.pattern.findall, [], []
+        for u in memory.unknown(units):
+            if u.isascii() and b"'" not in u and self.usual:
+                words.append(u)  # one match
                 continue
-            if s in old:
-                known[s] = old[s]
-                continue
-            parts = [x.encode() for x in find(s.decode())]
+            parts = [x.encode() for x in find(u.decode())]
             if len(parts) > 1:
-                cut.append((s, parts))
-            for x in parts:
-                if x not in known:
-                    if x in old:
-                        known[x] = old[x]
-                    else:
-                        new[x] = None
-        self.learn_words(list(new))
-        for s, parts in cut:
-            known[s] = b"".join(map(known.__getitem__, parts))
+                cut.append((u, parts))
+            words += parts
+        self.learn_words(list(dict.fromkeys(memory.unknown(words))))
+        for u, parts in cut:
+            memory[u] = b"".join([memory[x] for x in parts])
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, text offsets into them) of a string column."""
-        data, offsets = text_bytes(col)
-        segments, bounds = split_segments(data, offsets)
-        segments, bounds = _rejoin(segments, bounds, data)
-        coded = segments.dictionary_encode()
+        if self.usual:
+            units, bounds = split_units(*text_bytes(col))
+        else:
+            words = [[x.encode() for x in self.pattern.findall(t or "")] for t in col.to_pylist()]
+            units, bounds = pa.array([x for t in words for x in t], pa.binary()), prefix_offsets(
+                list(map(len, words)))
+        coded = units.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
+        self.memory.begin()
         self.learn(distinct)
-        found = list(map(self.known.__getitem__, distinct))
+        found = self.memory.all(distinct)
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         values = np.frombuffer(b"".join(found), "<u4")
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        per_segment = lengths[codes]
-        ids = ragged_take(values, (np.cumsum(lengths) - lengths)[codes], per_segment)
-        return ids, prefix_offsets(per_segment)[bounds]
+        per_unit = lengths[codes]
+        ids = ragged_take(values, (np.cumsum(lengths) - lengths)[codes], per_unit)
+        return ids, prefix_offsets(per_unit)[bounds]
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """The bytes of each document's ids (``ids[bounds[i]:bounds[i + 1]]``)."""
@@ -299,36 +292,6 @@ class MergeCodec:
         return [x[0] if len(x) == 1 else b"".join(x) for x in out]
 
 
-def _rejoin(segments: pa.Array, bounds: np.ndarray, data: np.ndarray):
-    """Undo cuts inside a run of white space that holds other than ASCII
-    (such a run must be matched whole): a segment that ends in such white space
-    or in a control character's neighbour is joined with the next one."""
-    if len(data) == 0 or not (data >= 0x80).any():
-        return segments, bounds
-    offsets = np.frombuffer(segments.buffers()[1], np.int32)
-    inner = offsets[1:-1]
-    # The last character before a cut, when it is not ASCII: 2 or 3 bytes long.
-    back = [data[np.maximum(inner - k, 0)].astype(np.int32) for k in (1, 2, 3)]
-    two = back[1] << 8 | back[0]
-    three = back[2] << 16 | two
-    wide = (two == 0xC285) | (two == 0xC2A0) | np.isin(three, _WIDE_SPACE)
-    wide &= back[0] >= 0x80
-    starts_text = np.zeros(len(offsets), bool)
-    starts_text[bounds] = True
-    drop = np.concatenate([[False], wide & ~starts_text[1:-1], [False]])
-    if not drop.any():
-        return segments, bounds
-    kept = offsets[~drop]
-    moved = np.cumsum(~drop) - 1
-    return (pa.Array.from_buffers(pa.binary(), len(kept) - 1,
-                                  [None, pa.py_buffer(np.ascontiguousarray(kept)),
-                                   segments.buffers()[2]]), moved[bounds])
-
-
-#: White space of three UTF-8 bytes (fixed values of the Unicode property).
-_WIDE_SPACE = [int.from_bytes(chr(c).encode(), "big") for c in
-               (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
-
 _CODECS: dict[tuple[int, str], MergeCodec] = {}
 
 

@@ -131,21 +131,6 @@ def split_words(data, offsets):
     return (binary_array(data[~blank], bounds), np.searchsorted(starts, offsets), starts, ends)
 
 
-def split_segments(data, offsets):
-    """Each text cut before every run of ASCII white space (so a segment is
-    such a run, perhaps empty, and the word after it).  Returns (segments,
-    text offsets into them); the segments of a text join to the text."""
-    import numpy as np
-
-    blank = _space_table()[data]
-    begins = blank.copy()
-    begins[1:] &= ~blank[:-1]
-    begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-    starts = np.flatnonzero(begins)
-    return (binary_array(data, np.concatenate([starts, [len(data)]])),
-            np.searchsorted(starts, offsets))
-
-
 #: Byte classes: 0 ASCII white space, 1 letter, 2 digit, 3 other ASCII, 4 beyond.
 _KIND = None
 
@@ -162,8 +147,13 @@ def _kinds():
     return _KIND
 
 
+#: The pattern of byte-level tokenizers (a fixed value of their format).
+USUAL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
+                 r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+
+
 def split_units(data, offsets, whole: tuple[bytes, ...] = ()):
-    """Each text cut where a byte-level tokenizer's pattern (contractions, runs
+    """Each text cut where ``USUAL_PATTERN`` (contractions, runs
     of letters, digits or others with at most one space before, white space)
     surely begins a match.  Returns (units, text offsets into them); the units
     of a text join to the text.
@@ -233,7 +223,7 @@ def prefix_offsets(lengths):
 
 
 class WordMemory:
-    """What a worker remembers of words: bytes to bytes, bounded in bytes.
+    """What a worker remembers of words (by their bytes), bounded in bytes.
 
     Two generations; once the newer one holds ``limit`` bytes it becomes the
     older one, and what is met again moves on.  Words of ``longest`` bytes or
@@ -245,9 +235,9 @@ class WordMemory:
 
     def __init__(self, limit: int = 40 << 20, longest: int = 512):
         self.limit, self.longest = limit, longest
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.passing: dict[bytes, bytes] = {}
+        self.new: dict = {}
+        self.old: dict = {}
+        self.passing: dict = {}
         self.size = 0
 
     def begin(self) -> None:
@@ -270,17 +260,17 @@ class WordMemory:
     def __contains__(self, word: bytes) -> bool:
         return word in self.new or word in self.passing
 
-    def __getitem__(self, word: bytes) -> bytes:
+    def __getitem__(self, word: bytes):
         return self.new[word] if word in self.new else self.passing[word]
 
-    def __setitem__(self, word: bytes, value: bytes) -> None:
+    def __setitem__(self, word: bytes, value) -> None:
         if len(word) >= self.longest:
             self.passing[word] = value
         else:
             self.new[word] = value
             self.size += len(word) + len(value) + self.ENTRY
 
-    def all(self, words: list[bytes]) -> list[bytes]:
+    def all(self, words: list[bytes]) -> list:
         """The values of words that are all known."""
         if self.passing:
             return [self[w] for w in words]

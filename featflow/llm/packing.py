@@ -47,9 +47,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featflow.llm.common import (WordMemory, id_and_text, pieces, prefix_offsets, ragged_take,
-                                 ready, schema, split_units, stage, table, text_bytes,
-                                 tokenizer_path, vocabulary)
+from featflow.llm.common import (USUAL_PATTERN, WordMemory, id_and_text, pieces, prefix_offsets,
+                                 ragged_take, ready, schema, split_units, stage, table,
+                                 text_bytes, tokenizer_path, vocabulary)
 
 #: Largest sequence length: the linear program's basis has its square of numbers.
 MAX_CAPACITY = 4096
@@ -263,9 +263,6 @@ class SegmentTokenizer:
     the tokenizer's model, without its pattern.
     """
 
-    #: The pattern of byte-level tokenizers (a fixed value of their format).
-    PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-               r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
     #: Matches joined to one call of the model.
     JOINED = 512
 
@@ -284,7 +281,7 @@ class SegmentTokenizer:
         vocab = self.full.get_vocab(with_added_tokens=False)
         self.size = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token
         self.size[list(vocab.values())] = list(map(len, vocab))
-        self.find = regex.compile(self.PATTERN).findall
+        self.find = regex.compile(USUAL_PATTERN).findall
         self.width = 2 if self.full.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
         self.memory = WordMemory()

@@ -34,13 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from featflow.llm.common import (id_and_text, pieces, ready, schema, split_words, table,
-                                 text_bytes, tokenizer_path, vocabulary)
+from featflow.llm.common import (WordMemory, id_and_text, pieces, ready, schema, split_words,
+                                 table, text_bytes, tokenizer_path, vocabulary)
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Distinct words a worker remembers before it starts afresh.
-CACHE_WORDS = 600_000
 
 
 @dataclass
@@ -85,7 +83,8 @@ class Counter:
         self.automaton.make_automaton()
         self.unknown = min(s for _, s in model.pieces) - UNKNOWN_PENALTY
         self.byte_fallback = model.byte_fallback
-        self.known: dict[bytes, tuple[int, float]] = {}
+        #: (tokens, best score) of words met.
+        self.memory = WordMemory()
 
     def word(self, text: str) -> tuple[int, float]:
         """(tokens, best score) of one word, given without its mark."""
@@ -115,16 +114,14 @@ class Counter:
         return int(count[n]), best[n]
 
     def learn(self, words: list[bytes]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        for w in words:
-            if w not in self.known:
-                text = w.decode()
-                if w.isascii():
-                    self.known[w] = self.word(text)
-                else:
-                    parts = [self.word(x) for x in _SPACES.split(text) if x]
-                    self.known[w] = sum(c for c, _ in parts), sum(b for _, b in parts)
+        self.memory.begin()
+        for w in self.memory.unknown(words):
+            text = w.decode()
+            if w.isascii():
+                self.memory[w] = self.word(text)
+            else:
+                parts = [self.word(x) for x in _SPACES.split(text) if x]
+                self.memory[w] = sum(c for c, _ in parts), sum(b for _, b in parts)
 
     def count(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(tokens, best score) of each text of a string column."""
@@ -132,7 +129,7 @@ class Counter:
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         self.learn(distinct)
-        found = list(map(self.known.__getitem__, distinct))
+        found = self.memory.all(distinct)
         codes = coded.indices.to_numpy(zero_copy_only=False)
         per_text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         out = []

@@ -16,11 +16,13 @@ committed file) names the files and their first global token; a task that is
 run again writes new files, and only files named by the manifest count.
 
 Tokenizing: texts are cut where the tokenizer itself cuts, and only pieces new
-to the worker are tokenized (by the tokenizers library), so cost follows
-distinct words.
+to the worker are tokenized (by the tokenizers library; what it remembers is bounded
+in bytes), so cost follows distinct words.
 
-Defined results: a null text is empty; equal ids are ordered by text; null ids
-come first; an empty table gives a header-only file or none, and no rows.
+Defined results: a null text is empty; equal ids are ordered by a hash of the
+text, then by text; null ids come first; an empty table gives a header-only file
+or none, and no rows; very long texts are written whole, a record each; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,9 +39,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featflow.llm.common import (binary_array, fresh_path, id_and_text, pieces, prefix_offsets,
-                                 ragged_take, ready, schema, stage, table, text_bytes,
-                                 tokenizer_path, vocabulary)
+from featflow.llm.common import (WordMemory, binary_array, fresh_path, id_and_text, pieces,
+                                 prefix_offsets, ragged_take, ready, schema, stage, table,
+                                 text_bytes, tokenizer_path, vocabulary)
 
 MAGIC = b"TOKREC01"
 _MASK_DELTA = 0xA282EAD8
@@ -47,8 +49,6 @@ _HEADER = struct.Struct("<8sII")
 _LENGTH = struct.Struct("<QI")
 _KEY = struct.Struct("<Bq")
 _INDEX = struct.Struct("<QQ")
-#: Distinct pieces a worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
 
 
 def masked_crc(data: bytes) -> int:
@@ -118,7 +118,7 @@ class WordTokenizer:
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.width = 2 if self.full.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.memory = WordMemory()
 
     def _plain(self, new: list[bytes]) -> None:
         """Ids of plain pieces, 512 to a call; the end marks part them again."""
@@ -133,19 +133,19 @@ class WordTokenizer:
             raw = ids.astype(self.kind).tobytes()
             a = 0
             for x, b in zip(some, (stops * self.width).tolist()):
-                self.known[x] = raw[a:b]
+                self.memory[x] = raw[a:b]
                 a = b
 
     def _whole(self, new: list[bytes]) -> None:
         found = self.full.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)
         for x, e in zip(new, found):
-            self.known[x] = np.array(e.ids, self.kind).tobytes()
+            self.memory[x] = np.array(e.ids, self.kind).tobytes()
 
     def learn(self, distinct: list[bytes]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = [x for x in distinct if x not in self.known]
-        plain = [x for x in new if x.isascii() and b"'" not in x and b"<" not in x]
+        self.memory.begin()
+        new = self.memory.unknown(distinct)
+        plain = [x for x in new if x.isascii() and x.decode().isprintable()
+                 and b"'" not in x and b"<" not in x]
         if len(plain) < len(new):
             odd = set(plain)
             self._whole([x for x in new if x not in odd])
@@ -157,7 +157,7 @@ class WordTokenizer:
         coded = parts.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         self.learn(distinct)
-        found = list(map(self.known.__getitem__, distinct))
+        found = self.memory.all(distinct)
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.width
         values = np.frombuffer(b"".join(found), self.kind)
         codes = coded.indices.to_numpy(zero_copy_only=False)
@@ -284,7 +284,9 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int, out_dir
                 {"part": pa.array([part], pa.int32()), "path": [path], "n_docs": [n_docs],
                  "n_tokens": [n_tokens]})
 
-    placed = src.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # The hash deals the rows of one id (or none) over many ranges.
+    placed = (src.withColumn("mix", F.xxhash64("text")).repartitionByRange("id", "mix")
+              .sortWithinPartitions("id", "mix", "text").drop("mix"))
     manifest = stage(spark, placed.mapInArrow(write, _MANIFEST), "token-manifest")
     # One row per file, so one window partition is small.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,3 +1,4 @@
+import functools
 import random
 import zlib
 from collections import defaultdict
@@ -112,6 +113,7 @@ def test_pricing_finds_the_best_pattern(lengths, data):
     values = np.array(data.draw(st.lists(st.integers(-99, 99), min_size=len(lengths),
                                           max_size=len(lengths)))) / 100
 
+    @functools.cache
     def best(room):
         return max([0.0] + [v + best(room - n) for n, v in zip(lengths.tolist(), values) if n <= room and v > 0])
     value, pattern = packing.price(values, lengths, 24)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from featflow.llm import byte_bpe, token_files
-from featflow.llm.common import table, text_bytes, split_segments, split_words
+from featflow.llm.common import table, WordMemory, text_bytes, split_units, split_words
 
 SF = "/root/testdata/sf0.001"
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -74,8 +74,8 @@ def test_bpe_giant_words(codec, monkeypatch):
 
 def test_memories_may_overflow(codec, words, monkeypatch):
     enc, full = tik(), Tokenizer.from_file(WORDS)
-    monkeypatch.setattr(byte_bpe, "CACHE_WORDS", 20)
-    monkeypatch.setattr(token_files, "CACHE_WORDS", 20)
+    monkeypatch.setattr(codec, "memory", WordMemory(3000))
+    monkeypatch.setattr(words, "memory", WordMemory(3000))
     for at in range(0, len(TEXTS), 40):
         some = TEXTS[at:at + 40] + ["again and again", "x1 y2"]
         col = pa.array(some, pa.string())
@@ -84,6 +84,41 @@ def test_memories_may_overflow(codec, words, monkeypatch):
                                              for t in some]
 
 
+def test_memory_is_bounded_in_bytes():
+    m = WordMemory(limit=100_000, longest=100)
+    for at in range(50):
+        m.begin()
+        some = [f"{at}:{i}".encode() * (1 + i % 30) for i in range(200)]
+        for w in m.unknown(some):
+            m[w] = w[::-1]
+        assert m.all(some) == [w[::-1] for w in some]
+    held = sum(len(w) + len(v) + m.ENTRY for d in (m.new, m.old) for w, v in d.items())
+    assert held < 2 * 100_000 + 200 * (2 * 100 + m.ENTRY)
+
+
+def test_bpe_other_pattern():
+    ranks = byte_bpe.parse_ranks(open(RANKS, "rb").read())
+    pattern = r"\p{L}{1,4}|\s|[^\s\p{L}]+"
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["Some longer words, with... (signs)\n  and 1234's", "é日本 x", ""]
+    ids, bounds = byte_bpe.MergeCodec(ranks, pattern).encode(pa.array(texts))
+    assert lists(ids, bounds) == [enc.encode_ordinary(t) for t in texts]
+
+
+def test_bpe_very_long_word_in_time():
+    import resource
+    import time
+    r = random.Random(1)
+    text = "".join(r.choice("etaoinshrdlu") for _ in range(400_000))
+    codec = byte_bpe.MergeCodec(byte_bpe.parse_ranks(open(RANKS, "rb").read()), P.PATTERN)
+    codec.encode(pa.array(["warm up"]))
+    before, begin = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+    ids, _ = codec.encode(pa.array([text]))
+    assert ids.tolist() == tik().encode_ordinary(text)
+    assert time.process_time() - begin < 15
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000  # KB
+
+
 def test_words_equal_library(words):
     full = Tokenizer.from_file(WORDS)
     ids, bounds = words.encode(pa.array(TEXTS, pa.string()))
@@ -98,7 +133,7 @@ def test_splitting(texts):
     got = [w.to_pylist()[a:b] for a, b in zip(bounds, bounds[1:])]
     assert got == [t.encode().split() for t in texts]
     assert [bytes(data[a:b]) for a, b in zip(starts, ends)] == w.to_pylist()
-    s, bounds = split_segments(data, offsets)
+    s, bounds = split_units(data, offsets)
     assert [b"".join(s.to_pylist()[a:b]) for a, b in zip(bounds, bounds[1:])] == [t.encode() for t in texts]
 
 
