@@ -35,6 +35,18 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> Data
                        *[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(more)])
 
 
+def free_names(docs: DataFrame, *wanted: str) -> list[str]:
+    """Column names like ``wanted`` that ``docs`` does not have (in any case)."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 

@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featflow.llm.common import byte_texts, id_and_text, pieces, ready, schema, stage, table
+from featflow.llm.common import (byte_texts, free_names, id_and_text, pieces, ready, schema, stage,
+                                 table)
 
 _SEED = 42
 #: Home fingerprints compared at one place; a fuller anchor is split.
@@ -333,18 +334,19 @@ def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = near_duplicates(docs, id_col, text_col, shingle, max_bits).groupBy(
         "root", "id", "th").agg(F.count(F.lit(1)).alias("n"))
     first = F.min_by(F.struct("id", "th", "n"), F.struct(F.isnull("id"), "id", "th"))
+    key, text_hash, times = free_names(docs, "key", "text_hash", "times")
     keep = stage(spark, rows.groupBy("root").agg(first.alias("k")).select(
-        F.col("k.id").alias("_llm_id"), F.col("k.th").alias("_llm_th"),
-        F.col("k.n").alias("_llm_n")), "kept")
+        F.col("k.id").alias(key), F.col("k.th").alias(text_hash),
+        F.col("k.n").alias(times)), "kept")
 
     def matching(some: DataFrame) -> DataFrame:
-        return docs.join(some, docs[f"`{id_col}`"].eqNullSafe(some["_llm_id"])
-                         & (F.xxhash64(docs[f"`{text_col}`"]) == some["_llm_th"]))
+        return docs.join(some, docs[f"`{id_col}`"].eqNullSafe(some[key])
+                         & (F.xxhash64(docs[f"`{text_col}`"]) == some[text_hash]))
 
-    kept = matching(keep.where("_llm_n = 1"))
-    repeated = keep.where("_llm_n > 1")
+    kept = matching(keep.where(F.col(times) == 1))
+    repeated = keep.where(F.col(times) > 1)
     if not repeated.isEmpty():
-        kept = kept.unionByName(matching(repeated).dropDuplicates(["_llm_id", "_llm_th"]))
+        kept = kept.unionByName(matching(repeated).dropDuplicates([key, text_hash]))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -24,17 +24,20 @@ def expected(docs, items):
     for r in docs:
         n, chars, sym, dup, rep, lines = brute_measures(r.text)
         base = n < 10 or 100 * rep > 20 * n
-        soft = 10 * sym > n or 2 * dup > lines or chars > 15 * n or chars < 2 * n
-        measured[r.doc_id] = base, soft
-        hosts[r.source].append(base or soft)
+        excess = max(10 * sym / n, 2 * dup / lines, chars / (15 * n), 2 * n / chars) if n else 0
+        measured[r.doc_id] = base, excess
+        hosts[r.source].append(base or excess > 1)
     total = sum(map(len, hosts.values()))
     mean = sum(map(sum, hosts.values())) / total
     rates = np.array([sum(v) / len(v) for v in hosts.values()])
     extra = rates.var() - mean * (1 - mean) * np.mean([1 / len(v) for v in hosts.values()])
     k = min(max(mean * (1 - mean) / extra - 1, 1.0), 1e6) if extra > 0 else 1e6
-    trusted = {h: (sum(v) + mean * k) / (len(v) + k) < 0.02 for h, v in hosts.items()}
-    docs = [r for r in docs if not measured[r.doc_id][0]
-            and (not measured[r.doc_id][1] or trusted[r.source])]
+    limits = {}
+    for h, v in hosts.items():
+        rate = (sum(v) + mean * k) / (len(v) + k)
+        tail = 2 * (rate * (1 - rate) / (len(v) + k + 1)) ** 0.5
+        limits[h] = 3 if rate + tail < mean else 0.75 if rate - tail > mean else 1
+    docs = [r for r in docs if not measured[r.doc_id][0] and measured[r.doc_id][1] <= limits[r.source]]
     comp = brute_components({r.doc_id: brute_fingerprint(r.text) for r in docs}, 2)
     docs = [r for r in docs if comp[r.doc_id] == r.doc_id]
     shingles = {s for _, t in items for s in decontam._shingle_counts((t or "").encode().lower().split())}

@@ -53,18 +53,66 @@ def test_prior_shrinks():
     assert quality.beta_prior(0, 0, 0.0, 0.0) == (0.0, 1e6)
 
 
-def test_hosts_decide_only_over_failing_documents(spark):
-    good = " ".join(f"word{i}" for i in range(40))
-    junk = good + " &&&&&&&&&&"
-    rows = [(i, good + f" {i}", "en", "clean", 1, "h", "k") for i in range(300)]
-    rows += [(1000, junk, "en", "clean", 1, "h", "k")]
-    rows += [(2000 + i, junk + f" {i}", "en", "bad", 1, "h", "k") for i in range(50)]
-    rows += [(3000, good, "en", "bad", 1, "h", "k"), (3001, None, None, None, None, None, None),
-             (3002, good, "en", None, 1, "h", "k"), (3002, good, "en", None, 1, "h", "k")]
+GOOD = " ".join(f"word{i}" for i in range(40))
+
+
+def hosts():
+    """Hosts whose failure rates differ beyond chance, and what each keeps."""
+    odd = GOOD + " &&&&&&&&&&"  # an excess of 2.4
+    awful = GOOD + " " + "&" * 40
+    near = GOOD + " &&&&"  # within the limit, but near it
+    rows, kept = [], set()
+
+    def add(text, host, stays):
+        rows.append((len(rows), text, "en", host, 1, "h", "k"))
+        if stays:
+            kept.add(len(rows) - 1)
+    for h in range(8):  # clean, ordinary and bad hosts
+        for i in range(300):
+            bad = i % 100 < (0, 0, 27, 28, 28, 30, 60, 60)[h]
+            add(awful if bad else GOOD + f" {i}", f"host{h}", not bad)
+        add(odd, f"host{h}", h < 2)
+        add(awful, f"host{h}", False)
+        add(near, f"host{h}", h < 6)
+    add(None, None, False)
+    add(GOOD, None, True)
+    return rows, kept
+
+
+def test_hosts_decide(spark):
+    rows, want = hosts()
     docs = spark.createDataFrame(rows, SCHEMA)
     out = quality.quality_filter(docs)
     assert out.columns == docs.columns
-    kept = [r.doc_id for r in out.collect()]
-    assert 1000 in kept and 3000 in kept and kept.count(3002) == 2 and 3001 not in kept
-    assert not any(2000 <= k < 2050 for k in kept) and len(kept) == 304
+    got = {r.doc_id for r in out.collect()}
+    assert got == want, sorted(got ^ want)
+    rates = {r.host: r.limit for r in quality.host_rates(quality.measure(docs)).collect()}
+    assert rates["host0"] == 3.0 and rates["host4"] == 1.0 and rates["host7"] == 0.75 == rates["host6"]
     assert quality.quality_filter(docs.limit(0)).collect() == []
+
+
+def test_hosts_decide_in_sql_too(spark, tmp_path):
+    import duckdb
+    rows, want = hosts()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    got = con.sql(quality.SQL_OP7).fetchall()
+    assert {r[0] for r in got if r[7]} == want
+    judged = quality.judge(quality.measure(docs), quality.host_rates(quality.measure(docs)))
+    assert {r.id for r in judged.where("kept").collect()} == want
+
+
+def test_alike_hosts_are_ordinary(spark):
+    limits = {r["limit"] for r in quality.host_rates(quality.measure(
+        spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))).collect()}
+    assert limits == {1.0}  # these hosts differ by chance only
+
+
+def test_clashing_names_and_repeated_rows(spark):
+    names = ["doc_id", "text", "source", "n_words", "excess", "host", "limit", "kept", "kept_", "id"]
+    rows = [(1, GOOD, "a", 0, "e", "h", "l", "k", "k", 7)] * 2 + [(None, GOOD, None, 0, "e", "h", "l", "k", "k", 7)]
+    docs = spark.createDataFrame(rows, ", ".join(
+        f"{n} {'long' if n in ('doc_id', 'id', 'n_words') else 'string'}" for n in names))
+    out = quality.quality_filter(docs)
+    assert out.columns == names and sorted(map(tuple, out.collect()), key=str) == sorted(rows, key=str)

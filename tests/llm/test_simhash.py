@@ -124,3 +124,12 @@ def test_one_row_stays_per_class(spark):
         (3, "", "b"), (7, "One", "d"), (8, "other text here", "f"), (None, "alone", "g"), (None, "single", None),
         (2, "twice twice", "h"), (1, "TWICE twice x", "i")]))
     assert simhash.keep_one_per_class(docs.limit(0)).collect() == []
+
+
+def test_clashing_names(spark):
+    names = ["doc_id", "text", "key", "text_hash", "times", "KEY_", "_llm_id", "_llm_th", "_llm_n"]
+    rows = [(1, "a b c d", *"uvwxyz0"), (2, "a b c d", *"uvwxyz0"), (3, "other words are here", *"uvwxyz0")]
+    docs = spark.createDataFrame(rows, ", ".join(
+        f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names))
+    out = simhash.keep_one_per_class(docs)
+    assert out.columns == names and {r.doc_id for r in out.collect()} == {1, 3}
