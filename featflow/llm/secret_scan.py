@@ -20,8 +20,11 @@ placeholders); from ``min_score`` on its span is added with kind ``literal``,
 unless it lies inside a base span.
 
 Defined results: a null text is empty; a text without secrets has empty spans;
-repeated rows are all returned; other columns are ignored.  The work is one
-pass over the rows with no shuffle; a task holds a few MB of text.
+null and repeated keys are rows like all others, all returned; an empty table
+gives an empty table; very long texts are scanned whole; other columns are
+ignored (``redact`` keeps them, and updates a length column of a whole-number
+type).  The work is one pass over the rows with no shuffle; a task holds a few MB
+of text.
 """
 
 from __future__ import annotations
@@ -60,13 +63,14 @@ SENSITIVE = {
 
 _NAME = rb"[A-Za-z_][A-Za-z0-9_]*(?:[.-][A-Za-z_][A-Za-z0-9_]*)*"
 _NAME_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-"
+_WHOLE_NAME = re.compile(_NAME).fullmatch
 #: A name read from its end, so that the longest one is found in one pass.
 _NAME_BACK = re.compile(rb"[A-Za-z0-9_]*[A-Za-z_](?:[.-][A-Za-z0-9_]*[A-Za-z_])*")
 _SIGN = re.compile(rb"(?::=|=>|==|!=|<=|>=|[:=])[ \t]*")
 _RIGHT = re.compile(
     rb"[fFrRbBuU]?\"((?:[^\"\\\n]|\\.)*)\"|[fFrRbBuU]?'((?:[^'\\\n]|\\.)*)'"
-    rb"|([A-Za-z0-9+/_.=~$@%^-]+)")
-_JOIN = re.compile(rb"[ \t]*(?:\+|\.\.|&)?[ \t]*")
+    rb"|([A-Za-z0-9+/_.~$@%^-]+(?:(?<=[A-Za-z0-9+/_-]{8})={1,2}(?=[\s\"',;)\]}&]|\Z))?)")
+_JOIN = re.compile(rb"[ \t]*(?:\+|\.\.)?[ \t]*")
 _WORD_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _PLACEHOLDER = re.compile(
     rb"^(?:x{3,}|\*+|\.+|changeme|example|test(?:ing)?|dummy|none|null|true|false|undefined"
@@ -104,21 +108,23 @@ def base_spans(text: bytes) -> list[tuple[str, int, int]]:
     return found
 
 
-def _expression(text: bytes, at: int) -> list[tuple[str, bytes, int, int]]:
-    """Operands from ``at`` on: ("text" or "name" or "bare", value, start, end)."""
+def _expression(text: bytes, at: int, end: int) -> list[tuple[str, bytes, int, int]]:
+    """Operands from ``at`` to at most ``end``: ("text" or "name" or "bare",
+    value, start, end).  A bare value ends at ``&`` and holds no ``=`` but that
+    of base64 padding."""
     out = []
-    while m := _RIGHT.match(text, at):
+    while m := _RIGHT.match(text, at, end):
         if m[3] is not None:
             value = m[3]
-            kind = "name" if re.fullmatch(_NAME, value) else "bare"
+            kind = "name" if _WHOLE_NAME(value) else "bare"
             out.append((kind, value, *m.span(3)))
         else:
             group = 1 if m[1] is not None else 2
             out.append(("text", m[group], *m.span(group)))
-        glue = _JOIN.match(text, m.end())
+        glue = _JOIN.match(text, m.end(), end)
         joined = glue[0].strip()
         # Operands go on after a plus, or as quoted strings side by side.
-        if not joined and (out[-1][0] != "text" or text[glue.end():glue.end() + 1]
+        if not joined and (out[-1][0] != "text" or text[glue.end():min(glue.end() + 1, end)]
                            not in (b'"', b"'")):
             break
         at = glue.end()
@@ -142,7 +148,11 @@ def literal_spans(text: bytes, min_score: float = 0.55) -> list[tuple[str, int,
 
     Every assignment is a node with its own literals and the nodes of the names
     it uses; a sensitive target walks what it can reach.  A node is walked again
-    only for a more sensitive target, so the work follows the text's length.
+    only for a more sensitive target.  Assignments inside a quoted operand (a
+    query string, embedded configuration) end with it; where an expression is a
+    name and a sign follows (``a = b = "..."``), the first target uses the second
+    assignment.  So text is parsed once per level of quotes, and the work follows
+    the text's length.
     """
     if b"=" not in text and b":" not in text:
         return []
@@ -150,35 +160,52 @@ def literal_spans(text: bytes, min_score: float = 0.55) -> list[tuple[str, int,
     walked: list[float] = []
     latest: dict[bytes, int] = {}
     found = set()
+
+    def walk(start: int, weight: float) -> None:
+        todo = [start]
+        while todo:
+            i = todo.pop()
+            if walked[i] >= weight:
+                continue
+            walked[i] = weight
+            found.update((a, b) for value, a, b in nodes[i][0]
+                         if weight * literal_score(value) >= min_score)
+            todo += nodes[i][1]
+
+    quotes: list[tuple[int, int]] = []  # quoted operands ahead or around, innermost last
+    chained = None  # (end of a lone name on the right, its assignment's node)
     at = 0
     while sign := _SIGN.search(text, at):
-        left, at = text[at:sign.start()], sign.end()  # no name reaches over a sign
+        left, begin, at = text[at:sign.start()], sign.start(), sign.end()
         if sign[0][:2] in (b"==", b"!=", b"<=", b">="):
             continue
-        name = _name_before(left)
+        name = _name_before(left)  # no name reaches over a sign
         if not name:
             continue
+        while quotes and quotes[-1][1] <= begin:
+            quotes.pop()
+        end = quotes[-1][1] if quotes and quotes[-1][0] <= begin else len(text)
+        operands = _expression(text, at, end)
         literals, uses = [], []
-        for kind, value, a, b in _expression(text, at):
+        for kind, value, a, b in operands:
             if kind == "name" and value in latest:
                 uses.append(latest[value])
             elif kind != "name" or len(value) >= 6:
                 literals.append((value, a, b))  # a bare word is a value in configuration
-        if not literals and not uses:
-            continue
-        latest[name] = len(nodes)
-        nodes.append((literals, uses))
-        walked.append(0.0)
-        weight = name_score(name)
-        todo = [len(nodes) - 1] if weight else []
-        while todo:
-            i = todo.pop()
-            if walked[i] >= weight:
-                continue
-            walked[i] = weight
-            found.update((a, b) for value, a, b in nodes[i][0]
-                         if weight * literal_score(value) >= min_score)
-            todo += nodes[i][1]
+        quotes += [(a, b) for kind, _, a, b in reversed(operands) if kind == "text" and a < b]
+        lone = len(operands) == 1 and operands[0][0] == "name"
+        if literals or uses or lone:
+            here = len(nodes)
+            latest[name] = here
+            nodes.append((literals, uses))
+            walked.append(0.0)
+            if weight := name_score(name):
+                walk(here, weight)
+            if chained and not text[chained[0]:begin].strip(b" \t"):
+                nodes[chained[1]][1].append(here)
+                if walked[chained[1]]:
+                    walk(here, walked[chained[1]])
+            chained = (operands[0][3], here) if lone else None
     return [("literal", a, b) for a, b in sorted(found)]
 
 
@@ -244,7 +271,8 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     ready(docs.sparkSession)
     names = docs.columns
     place = names.index(text_col)
-    length = names.index(length_col) if length_col in names else None
+    length = names.index(length_col) if length_col in names and isinstance(
+        docs.schema[length_col].dataType, T.IntegralType) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, text_col):

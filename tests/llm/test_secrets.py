@@ -129,3 +129,105 @@ def test_rows(spark):
     assert {r.doc_id: r.text for r in rows}[3] == "é ü [SECRET]\" é"
     assert {r.doc_id: r.n_chars for r in rows}[3] == len("é ü [SECRET]\" é")
     assert S.find_secrets(docs.limit(0)).collect() == [] and S.redact(docs.limit(0)).collect() == []
+
+
+V = "Zx9-qQ77!kLm20@vv"
+
+
+@pytest.mark.parametrize("part", [b"p%d=value%d&", b"a=", b"a=b;", b"x='y=", b'a="b=c" + ', b"k: 'v' 'w' ",
+                                  b"a='b' + \"c=d\" + ", b"a.b=", b"a=abcdefgh==", b"t='", b't="\'', b"a+="])
+def test_long_chains_cost_their_length(part):
+    """600 KB of signs: in proportion, not with the square of them."""
+    import resource
+    import time
+    text = b"".join(part % (i, i) if b"%" in part else part for i in range(600_000 // len(part)))
+    before, begin = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+    S.scan(text)
+    # A tenth of the text costs about a tenth; generous bounds for busy machines.
+    assert time.process_time() - begin < 10
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000  # KB
+
+
+def test_query_strings_keep_their_parameters_apart():
+    for text in ("https://x.org/?token=abc&user=JohnSmith1234567XY&page=7",
+                 "token=abc&user=JohnSmith1234567XY&page=7\n",
+                 'url = "https://x.org/?secret=&user=JohnSmith1234567XY"'):
+        assert literals(text) == []
+    got = literals(f"?a=1&pwd={V.replace('!', '_')}&page=JohnSmith1234567XY")
+    assert got == [V.replace("!", "_")]
+
+
+def test_chains_and_padding():
+    assert literals(f'auth_pwd = a = b = "{V}"\n') == [V]
+    assert literals(f'a = auth_pwd = b = "{V}"; c = "Qq8-zzWWpl22ml"') == [V]
+    assert literals(f'a = b = "{V}"\nauth_pwd = a\n') == [V]
+    assert literals("pwd: QWxhZGRpbjpvcGVuIHNlc2FtZQ==\nx") == ["QWxhZGRpbjpvcGVuIHNlc2FtZQ=="]
+    assert literals(f"conf = \"pwd='{V}' user='JohnSmith1234567XY'\"") == [V]
+
+
+def naive(text, min_score=0.55):
+    """The lexing's definition: each assignment on its own, names looked up
+    among all earlier assignments, reached literals by recursion."""
+    signs = [m for m in S._SIGN.finditer(text)]
+    made = []  # (name, operands, sign)
+    for n, m in enumerate(signs):
+        left = text[signs[n - 1].end() if n else 0:m.start()]
+        name = S._name_before(left)
+        if m[0][:2] in (b"==", b"!=", b"<=", b">=") or not name:
+            continue
+        around = [b for _, ops, _ in made for k, _, a, b in ops if k == "text" and a <= m.start() < b]
+        made.append((name, S._expression(text, m.end(), min(around, default=len(text))), m))
+
+    def kept(i):
+        name, ops, _ = made[i]
+        return any(k != "name" or len(v) >= 6 or source(i, v) is not None for k, v, _, _ in ops) or lone(i)
+
+    def lone(i):
+        return len(made[i][1]) == 1 and made[i][1][0][0] == "name"
+
+    def source(i, value):
+        return next((j for j in range(i - 1, -1, -1) if made[j][0] == value and kept(j)), None)
+
+    def chain(i):
+        if not lone(i) or i + 1 == len(made) or not kept(i + 1):
+            return None
+        return i + 1 if not text[made[i][1][0][3]:made[i + 1][2].start()].strip(b" \t") else None
+
+    def reach(i, seen):
+        if i is None or i in seen:
+            return
+        seen.add(i)
+        for k, v, a, b in made[i][1]:
+            if k == "name" and source(i, v) is not None:
+                reach(source(i, v), seen)
+        reach(chain(i), seen)
+
+    out = set()
+    for i, (name, _, _) in enumerate(made):
+        seen = set()
+        if S.name_score(name) and kept(i):
+            reach(i, seen)
+        for j in seen:
+            for k, v, a, b in made[j][1]:
+                if (k != "name" or (len(v) >= 6 and source(j, v) is None)) \
+                        and S.name_score(name) * S.literal_score(v) >= min_score:
+                    out.add((a, b))
+    return [("literal", a, b) for a, b in sorted(out)]
+
+
+def test_lexing_equals_its_definition():
+    rng = random.Random(11)
+    parts = ["pwd", "a", "b", "key", "token_x", " = ", "=", ": ", " == ", f'"{V}"', "'Kq81-mmPL02zz'", "&", " + ",
+             " ", "\n", ";", '"', "'", "user7Longer", "b=", "c='", "QWxhZGRpbjpvcGVu==", "a.pwd", '["key"]']
+    hits = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 16))).encode()
+        got = S.literal_spans(text)
+        hits += len(got)
+        assert got == naive(text), text
+    assert hits > 400
+
+
+def test_length_column_of_another_type(spark):
+    docs = spark.createDataFrame([(1, f'pwd = "{V}"', "9")], "doc_id long, text string, n_chars string")
+    assert S.redact(docs).collect()[0]["n_chars"] == "9"
