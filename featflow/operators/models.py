@@ -9,6 +9,7 @@ aggregation pass.  A saved model carries its feature-lookup spec, so
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,7 +19,7 @@ from pyspark.ml.regression import (
     GBTRegressor,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featflow.operators.lookup import FeatureLookup, TrainingSet, apply_lookups
@@ -49,6 +50,64 @@ def label_split(df: DataFrame, key_cols: Sequence[str], train_fraction: float =
                          .otherwise("test"))
 
 
+def _key_hash(key_cols: Sequence[str], seed: int) -> Column:
+    """60 bits of the md5 of ``"<seed>:<key>"`` (the same in any SQL engine)."""
+    key = F.concat_ws(":", F.lit(str(seed)), *[F.col(f"`{c}`").cast("string") for c in key_cols])
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
+
+
+def kth_smallest(values: DataFrame, k: int, low: int = 0, high: int = 1 << 60,
+                 buckets: int = 4096) -> tuple[int, int, int]:
+    """(value, how many lie below it, how many equal it) of the ``k``-th smallest
+    of a column of whole numbers in [low, high).
+
+    No sort: each pass counts ``buckets`` ranges (that many rows reach the
+    driver) and narrows down to the one that holds the value, which the next
+    pass's filter keeps; five passes at most for 60 bits.
+    """
+    name, below = values.columns[0], 0
+    v = F.col(f"`{name}`")
+    while True:
+        width = max(1, -(-(high - low) // buckets))
+        at = ((v - F.lit(low)) / F.lit(width)) if width == 1 else F.expr(
+            f"(`{name}` - {low}L) div {width}L")
+        counts = values.where((v >= low) & (v < high)).groupBy(
+            at.cast("long").alias("b")).count().collect()
+        for r in sorted(counts, key=lambda r: r["b"]):
+            if below + r["count"] >= k:
+                if width == 1:
+                    return low + r["b"], below, r["count"]
+                low, high = low + r["b"] * width, min(high, low + (r["b"] + 1) * width)
+                break
+            below += r["count"]
+        else:
+            raise ValueError("fewer values than k")
+
+
+def split_exact(df: DataFrame, key_cols: Sequence[str], test_fraction: float = 0.25,
+                seed: int = 42, col: str = "split") -> DataFrame:
+    """Every row with a ``split`` column; the test side has exactly
+    ``ceil(rows * test_fraction)`` rows, those whose keys hash lowest.
+
+    Repeatable on any layout.  ``key_cols`` should identify a row: of the rows
+    that share the last key taken, only as many as are still wanted are taken
+    (by the order of their columns; in one task, as they are one key's rows).
+    """
+    h = _key_hash(key_cols, seed)
+    n = df.count()
+    k = min(n, math.ceil(n * test_fraction))
+    if not k:
+        return df.withColumn(col, F.lit("train"))
+    cut, below, equal = kth_smallest(df.select(h.alias("h")), k)
+    side = F.when(h <= cut, "test").otherwise("train")
+    if below + equal == k:
+        return df.withColumn(col, side)
+    order = Window.orderBy(*[F.col(f"`{c}`") for c in df.columns])
+    last = df.where(h == cut).withColumn(col, F.when(
+        F.row_number().over(order) <= k - below, "test").otherwise("train"))
+    return df.where(h != cut).withColumn(col, side).unionByName(last)
+
+
 def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42) -> list[DataFrame]:
     """``randomSplit`` (Bernoulli per row, seeded; depends on partitioning)."""
     return df.randomSplit(list(weights), seed=seed)

@@ -16,6 +16,7 @@ from featflow.operators.models import (
     save_model,
     score_batch,
     split_by_hash,
+    split_exact,
 )
 from featflow.operators.treeshap import (
     Ensemble,
@@ -56,6 +57,11 @@ def q_split_random(spark, sf_dir):
     return label_split(regression_table(spark, sf_dir), WINE_ID, 0.7, 7).select(*WINE_ID, "split")
 
 
+def q_split_exact(spark, sf_dir):
+    """Exactly a quarter of all rows (rounded up) on the test side."""
+    return split_exact(regression_table(spark, sf_dir), WINE_ID, 0.25, 42).select(*WINE_ID, "split")
+
+
 def q_split_counts(spark, sf_dir):
     """Row counts of both sides of the split."""
     split = label_split(regression_table(spark, sf_dir), WINE_ID, 0.7, 42)
@@ -75,20 +81,17 @@ def q_eval_metrics(spark, sf_dir):
                     F.round("r2", 9).alias("r2"))
 
 
-# One-level tree over features of few distinct values: every cut between two
-# values is a candidate, so SQL can find the same best cut.
-STUMP_FEATURES = ("l_discount", "l_tax")
-
-
-def q_dt_train_eval(spark, sf_dir):
-    """Depth-1 decision tree fit on the train side, evaluated on the test side."""
-    data = regression_table(spark, sf_dir)
-    train, test = split_by_hash(data, WINE_ID, 0.7, 42)
-    model = fit_pipeline(train, STUMP_FEATURES, WINE_LABEL, "dt", maxDepth=1)
-    m = regression_metrics(model.transform(test), WINE_LABEL)
-    return m.select(F.lit("dt").alias("model"), "n", F.round("mae", 4).alias("mae"),
-                    F.round("mse", 0).alias("mse"), F.round("rmse", 4).alias("rmse"),
-                    F.round("r2", 7).alias("r2"))
+def _train_eval(kind: str):
+    def q(spark, sf_dir):
+        train, test = split_by_hash(regression_table(spark, sf_dir), WINE_ID, 0.7, 42)
+        model = fit_pipeline(train, WINE_FEATURES, WINE_LABEL, kind)
+        m = regression_metrics(model.transform(test), WINE_LABEL)
+        return m.select(F.lit(kind).alias("model"), "n", F.round("mae", 4).alias("mae"),
+                        F.round("mse", 0).alias("mse"), F.round("rmse", 4).alias("rmse"),
+                        F.round("r2", 7).alias("r2"))
+    q.__name__ = f"q_{kind}_train_eval"
+    q.__doc__ = "Errors and R2 on the test side of a model fit on the train side."
+    return q
 
 
 def _close(a, b):
@@ -175,7 +178,7 @@ def q_score_batch(spark, sf_dir):
     model = fit_pipeline(train, feats, "fare_amount", "gbt", impute=True, maxIter=100, maxDepth=5)
     path = save_model(model, model_dir(spark, "taxi_fare"), ts, feats)
     scored = score_batch(spark, path, base)
-    return scored.select(*_SCORE_COLS, F.col("prediction").isNotNull().alias("scored")).withColumn(
+    return scored.select(*_SCORE_COLS, F.round("prediction", 6).alias("prediction")).withColumn(
         "mean_fare_window_1h_pickup_zip", F.col("mean_fare_window_1h_pickup_zip").cast("double"))
 
 
@@ -261,12 +264,12 @@ def q_shap_local(spark, sf_dir):
 QUERIES = {
     "split_hash": q_split_hash,
     "split_random": q_split_random,
+    "split_exact": q_split_exact,
     "split_counts": q_split_counts,
     "eval_mae_mse_rmse_r2": q_eval_metrics,
-    "dt_train_eval": q_dt_train_eval,
-    "rf_train_eval": _checks("rf", numTrees=10, maxDepth=4),
-    "gbt_train_eval": _checks("gbt", maxIter=10, maxDepth=3),
-    "gbt_default_eval": _checks("gbt_default"),
+    "rf_train_eval": _train_eval("rf"),
+    "gbt_train_eval": _train_eval("gbt"),
+    "gbt_default_eval": _train_eval("gbt_default"),
     "score_batch": q_score_batch,
     "score_report": q_score_report,
     "tree_shap_fixed": q_tree_shap_fixed,
@@ -334,25 +337,6 @@ def _split_sql(seed: int = 42) -> str:
 _CHECKS_SQL = f"""SELECT l_orderkey, l_linenumber, {_split_sql()} AS split,
     true AS trees_ok, true AS shap_ok, true AS reload_ok FROM lineitem"""
 
-# Best of all cuts between neighbouring values, by the drop in squared error.
-_STUMP_SQL = f"""
-    WITH s AS (SELECT l_discount, l_tax, l_extendedprice AS y, {_split_sql()} AS split FROM lineitem),
-    v AS (SELECT 'd' AS f, l_discount AS x, y FROM s WHERE split = 'train'
-          UNION ALL SELECT 't', l_tax, y FROM s WHERE split = 'train'),
-    g AS (SELECT f, x, count(*) AS n, sum(y) AS s FROM v GROUP BY f, x),
-    c AS (SELECT f, (x + lead(x) OVER w) / 2 AS cut, sum(n) OVER w AS ln, sum(s) OVER w AS ls,
-                 sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s
-          FROM g WINDOW w AS (PARTITION BY f ORDER BY x)),
-    best AS (SELECT * FROM c WHERE cut IS NOT NULL
-             ORDER BY ls * ls / ln + (s - ls) * (s - ls) / (n - ln) DESC LIMIT 1),
-    p AS (SELECT y, CASE WHEN (CASE f WHEN 'd' THEN l_discount ELSE l_tax END) <= cut
-                    THEN ls / ln ELSE (s - ls) / (n - ln) END AS p
-          FROM (SELECT l_discount, l_tax, y FROM s WHERE split = 'test') a, best)
-    SELECT 'dt' AS model, count(*) AS n, round(avg(abs(y - p)), 4) AS mae,
-           round(avg((y - p) * (y - p)), 0) AS mse, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
-           round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 7) AS r2 FROM p"""
-
-
 def _per_row_rank_sql(feats) -> str:
     """Rank of each feature by |phi| inside its own row (ties by name), unpivoted."""
     parts = []
@@ -381,14 +365,16 @@ _SCORE_REPORT = f"""WITH {TRIPS_SQL}, {ROUNDED_SQL}, {pickup_sql(None, CUT)}, {D
 
 SQL = {
     "score_report": _SCORE_REPORT,
-    "score_batch": _SCORE_REPORT.replace(_SCORE_EXPR, "true AS scored"),
     "split_hash": f"SELECT l_orderkey, l_linenumber, {_split_sql()} AS split FROM lineitem",
     "split_random": f"SELECT l_orderkey, l_linenumber, {_split_sql(7)} AS split FROM lineitem",
+    "split_exact": """
+        SELECT l_orderkey, l_linenumber, CASE WHEN row_number() OVER (ORDER BY h)
+                 <= ceil(count(*) OVER () * 0.25) THEN 'test' ELSE 'train' END AS split
+        FROM (SELECT *, substr(md5('42:' || CAST(l_orderkey AS VARCHAR) || ':' ||
+                                   CAST(l_linenumber AS VARCHAR)), 1, 15) AS h FROM lineitem)""",
     "split_counts": f"SELECT {_split_sql()} AS split, count(*) AS n FROM lineitem GROUP BY 1",
-    "dt_train_eval": _STUMP_SQL,
     **{name: _CHECKS_SQL for name in (
-        "rf_train_eval", "gbt_train_eval", "gbt_default_eval", "tree_shap_model",
-        "tree_shap_forest", "tree_shap_boosted", "tree_shap_wide")},
+        "tree_shap_model", "tree_shap_forest", "tree_shap_boosted", "tree_shap_wide")},
     "eval_mae_mse_rmse_r2": """
         WITH s AS (SELECT l_returnflag, l_linestatus, l_extendedprice AS y,
                           l_quantity * 1500.0 AS p FROM lineitem
