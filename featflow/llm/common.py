@@ -245,7 +245,7 @@ class WordMemory:
     #: Cost of an entry beside its key and value.
     ENTRY = 170
 
-    def __init__(self, limit: int = 40 << 20, longest: int = 512):
+    def __init__(self, limit: int = 64 << 20, longest: int = 512):
         self.limit, self.longest = limit, longest
         self.new: dict = {}
         self.old: dict = {}

@@ -121,17 +121,16 @@ class WordTokenizer:
         self.memory = WordMemory()
 
     def _plain(self, new: list[bytes]) -> None:
-        """Ids of plain pieces, 512 to a call; the end marks part them again."""
-        for at in range(0, len(new), 512):
-            some = new[at:at + 512]
-            ids = np.array(self.bare.encode(b" ".join(some).decode(), add_special_tokens=False).ids,
-                           np.int64)
+        """Ids of plain pieces, 512 joined; the end marks part them again."""
+        chunks = [new[at:at + 512] for at in range(0, len(new), 512)]
+        joined = [b" ".join(some).decode() for some in chunks]
+        for some, e in zip(chunks, self.bare.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(e.ids, self.kind)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(some):
                 self._whole(some)
                 continue
-            raw = ids.astype(self.kind).tobytes()
-            a = 0
+            raw, a = ids.tobytes(), 0
             for x, b in zip(some, (stops * self.width).tolist()):
                 self.memory[x] = raw[a:b]
                 a = b
@@ -268,7 +267,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int, out_dir
         part = TaskContext.get().partitionId()
         end = np.array([end_id], tok.kind).tobytes()
         out, path, n_docs, n_tokens = None, "", 0, 0
-        for b in pieces(batches):
+        for b in pieces(batches, limit=8 << 20):
             if out is None:
                 path = f"{root}/part-{part:06d}-{uuid.uuid4().hex[:12]}.rec"
                 out = RecordWriter(path, tok.width)
