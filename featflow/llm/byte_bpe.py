@@ -150,7 +150,7 @@ class MergeCodec:
         self.token_bytes = {r: t for t, r in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         #: Ids of units and words met.
-        self.memory = WordMemory()
+        self.memory = WordMemory(40 << 20)
 
     def _load(self, name: str, columns: dict) -> None:
         self.con.register("_rows", pa.table(columns))

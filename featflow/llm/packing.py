@@ -81,8 +81,32 @@ def price(values: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[float
     return float(best[capacity]), counts[lengths]
 
 
-def greedy_basis(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> np.ndarray:
-    """Patterns of a basic solution to start from: the longest length left is
+def inverse_of(matrix: np.ndarray) -> np.ndarray:
+    """Inverse by Gauss-Jordan steps (no threaded library: its threads do not
+    survive the fork that starts a Spark session)."""
+    n = len(matrix)
+    work, out = matrix.astype(float), np.eye(n)
+    for c in range(n):
+        p = c + int(np.abs(work[c:, c]).argmax())
+        if p != c:
+            work[[c, p]], out[[c, p]] = work[[p, c]], out[[p, c]]
+        out[c] /= work[c, c]
+        work[c] /= work[c, c]
+        rows = np.flatnonzero(work[:, c])
+        rows = rows[rows != c]
+        factor = work[rows, c][:, None]
+        out[rows] -= factor * out[c]
+        work[rows] -= factor * work[c]
+    return out
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return (matrix * vector).sum(axis=1)
+
+
+def greedy_basis(lengths: np.ndarray, demand: np.ndarray,
+                 capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns (and how often each) of a basic solution to start from: the longest length left is
     filled up with the longest that fit, as often as the first of them lasts.
 
     Each pattern uses up a length that later ones don't have, so the rows are
@@ -90,6 +114,7 @@ def greedy_basis(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> np.n
     """
     left = demand.astype(float)
     rows: list[np.ndarray] = []
+    often: list[float] = []
     while (open_ := np.flatnonzero(left > 0)).size:
         counts, room = np.zeros(len(lengths), np.int64), capacity
         for c in open_[::-1]:
@@ -103,11 +128,13 @@ def greedy_basis(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> np.n
         gone = inside[(times <= times.min() * (1 + 1e-12)) | (left[inside] < 1e-9)]
         left[gone] = 0
         rows.append(counts)
+        often.append(float(times.min()))
         for c in gone[1:]:
+            often.append(0.0)
             alone = np.zeros(len(lengths), np.int64)
             alone[c] = capacity // lengths[c]
             rows.append(alone)
-    return np.array(rows)
+    return np.array(rows), np.array(often)
 
 
 def solve_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int,
@@ -118,32 +145,33 @@ def solve_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int,
     number of sequences (from the duals, at first from the tokens alone), and
     the solution is within ``tolerance`` of it, unless ``rounds`` end first.
     """
-    patterns = greedy_basis(lengths, demand, capacity)
-    inverse = np.linalg.inv(patterns.T.astype(float))
-    x = np.maximum(inverse @ demand, 0.0)
-    bound = float(lengths @ demand) / capacity
+    patterns, x = greedy_basis(lengths, demand, capacity)
+    inverse = None
+    bound = float((lengths * demand).sum()) / capacity
     for step in range(rounds):
         if x.sum() <= bound * (1 + tolerance):
             break
+        if inverse is None:
+            inverse = inverse_of(patterns.T)
         duals = inverse.sum(axis=0)  # each pattern costs one sequence
         value, pattern = price(duals, lengths, capacity)
-        bound = max(bound, float(duals @ demand) / max(value, 1.0))
+        bound = max(bound, float((duals * demand).sum()) / max(value, 1.0))
         if value <= 1 + 1e-9:
             break
-        direction = inverse @ pattern
+        direction = _times(inverse, pattern)
         ratio = np.where(direction > 1e-9, x / np.where(direction > 1e-9, direction, 1.0), np.inf)
         out = int(ratio.argmin())
         if not np.isfinite(ratio[out]):
             break
         patterns[out] = pattern
         if step % 400 == 399:  # afresh, against rounding errors
-            inverse = np.linalg.inv(patterns.T.astype(float))
+            inverse = inverse_of(patterns.T)
         else:
             row = inverse[out] / direction[out]
             direction[out] = 0.0
             inverse -= np.outer(direction, row)
             inverse[out] = row
-        x = np.maximum(inverse @ demand, 0.0)
+        x = np.maximum(_times(inverse, demand), 0.0)
     return patterns, x, bound
 
 

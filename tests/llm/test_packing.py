@@ -98,10 +98,18 @@ def test_linear_program_is_near_its_bound(items, times):
     assert x.sum() / times <= best_number(sorted(items, reverse=True), 20) + 1e-6
 
 
+def test_inverse():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 7, 40):
+        m = rng.integers(-3, 4, (n, n)) + 9 * np.eye(n)[::-1]
+        assert np.allclose((packing.inverse_of(m)[:, :, None] * m[None, :, :]).sum(axis=1), np.eye(n))
+
+
 def test_columns_beat_the_greedy_start():
     lengths, demand = np.array([23, 31, 40, 47]), np.array([500, 500, 500, 500])
-    start = packing.greedy_basis(lengths, demand, 100)
-    greedy = (np.linalg.inv(start.T) @ demand).sum()
+    start, often = packing.greedy_basis(lengths, demand, 100)
+    assert np.allclose(often @ start, demand)
+    greedy = often.sum()
     patterns, x, bound = packing.solve_patterns(lengths, demand, 100, 1e-6)
     assert x.sum() < greedy - 1 and x.sum() == pytest.approx(bound, rel=1e-6)
 
