@@ -1,7 +1,11 @@
 import os
 import sys
 
-import pytest
+# Threads of numpy's linear algebra do not survive the fork that starts a Spark
+# session; tests that multiply matrices after it would hang.
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
+import pytest  # noqa: E402
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
