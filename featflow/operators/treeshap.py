@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 
-from featflow.session import ship_package, spread
+from featflow.operators.quantiles import exact_quantiles
+from featflow.session import ship_package, spread, staged
 
 # Rows explained together; bounds the memory of a walk (depth x nodes x rows).
 _ROWS = 8192
@@ -249,9 +250,12 @@ def shap_values(df: DataFrame, ensemble: Ensemble, feature_cols: Sequence[str] |
     ok = F.lit(True)
     for c in feats:
         ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    src = df.where(ok).select(*ids, *[F.col(c).cast("double").alias(c) for c in feats])
+    # An id column may be a feature, too.
+    xs = [f"_ff_x{j}" for j in range(len(feats))]
+    src = df.where(ok).select(*ids, *[F.col(c).cast("double").alias(x)
+                                      for c, x in zip(feats, xs)])
     phi_type = FloatType() if dtype == "float" else DoubleType()
-    id_fields = [f for f in src.schema.fields if f.name in ids]
+    id_fields = src.schema.fields[:len(ids)]
     schema = StructType(id_fields + [StructField("expected_value", DoubleType())]
                         + [StructField(prefix + c, phi_type) for c in feats]
                         + ([StructField(prediction_col, DoubleType())] if prediction_col else []))
@@ -265,7 +269,7 @@ def shap_values(df: DataFrame, ensemble: Ensemble, feature_cols: Sequence[str] |
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base = model.expected_value()
         for pdf in batches:
-            X = pdf[feats].to_numpy(dtype=np.float64)
+            X = pdf[xs].to_numpy(dtype=np.float64)
             phi = model.shap(X)
             out = pdf[ids].copy() if ids else pd.DataFrame(index=pdf.index)
             out["expected_value"] = base
@@ -283,20 +287,33 @@ def shap_summary(shap_df: DataFrame, feature_cols: Sequence[str],
     """Global importance: per feature its rank, mean |phi|, mean phi and the
     exact quartiles of |phi|; rank 1 has the largest mean |phi| (ties by name).
 
-    The data behind a summary plot.  One partial aggregation over an unpivot
-    (quartiles merge counts per distinct value); the rank is over one row per
-    feature.
+    The data behind a summary plot.  Means are one partial aggregation over an
+    unpivot, the rank is over one row per feature.  For the quartiles the shares
+    are staged for the length of the call and their ranks are found by narrowing
+    histograms (:mod:`featflow.operators.quantiles`): no task holds more than the
+    cells of a histogram.  The result then has one row per feature, kept by the
+    driver.
     """
-    long = shap_df.unpivot([], list(feature_cols), "feature", "phi")
-    absval = F.abs(F.col("phi").cast("double"))
-    aggs = [F.avg(absval).alias("mean_abs_shap"), F.avg(F.col("phi").cast("double"))
-            .alias("mean_shap")]
-    if quantiles:
-        aggs.append(F.percentile(absval, F.array(*map(F.lit, (0.25, 0.5, 0.75))))
-                    .alias("abs_quartiles"))
-    out = long.groupBy("feature").agg(*aggs)
     order = Window.orderBy(F.desc("mean_abs_shap"), "feature")
-    return out.withColumn("rank", F.row_number().over(order))
+
+    def means(src: DataFrame) -> DataFrame:
+        phi = F.col("phi").cast("double")
+        out = src.unpivot([], list(feature_cols), "feature", "phi").groupBy("feature") \
+            .agg(F.avg(F.abs(phi)).alias("mean_abs_shap"), F.avg(phi).alias("mean_shap"))
+        return out.withColumn("rank", F.row_number().over(order))
+
+    if not quantiles:
+        return means(shap_df)
+    spark = shap_df.sparkSession
+    with staged(spark, shap_df.select(*feature_cols), "shap") as shares:
+        rows = means(shares).collect()  # one per feature
+        size = shares.select(*[F.abs(F.col(c).cast("double")).alias(c) for c in feature_cols])
+        at = exact_quantiles(size, feature_cols, (0.25, 0.5, 0.75))
+    return spark.createDataFrame(
+        [(r["feature"], r["mean_abs_shap"], r["mean_shap"],
+          None if None in at[r["feature"]] else at[r["feature"]], r["rank"]) for r in rows],
+        "feature string, mean_abs_shap double, mean_shap double, abs_quartiles array<double>, "
+        "rank int")
 
 
 def shap_ranked(shap_df: DataFrame, feature_cols: Sequence[str], id_cols: Sequence[str],

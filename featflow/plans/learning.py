@@ -26,6 +26,7 @@ from featflow.operators.treeshap import (
     shap_summary,
     shap_values,
 )
+from featflow.operators.treeshap_sql import shap_values_sql
 from featflow.plans.fixtures import (
     TRIPS_SQL,
     WINE_FEATURES,
@@ -231,12 +232,16 @@ def fixed_tree_ensemble(df: DataFrame) -> Ensemble:
     return Ensemble([Tree.from_nodes(nodes)], [1.0], list(FIXED_FEATURES))
 
 
-def _fixed_shap(spark, sf_dir) -> DataFrame:
+def _fixed_model(spark, sf_dir) -> tuple[DataFrame, Ensemble]:
     li = table(spark, sf_dir, "lineitem")
     ok = F.lit(True)
     for c in FIXED_FEATURES:
         ok = ok & F.col(c).isNotNull() & ~F.isnan(c)
-    ens = fixed_tree_ensemble(li.where(ok))
+    return li, fixed_tree_ensemble(li.where(ok))
+
+
+def _fixed_shap(spark, sf_dir) -> DataFrame:
+    li, ens = _fixed_model(spark, sf_dir)
     return shap_values(li, ens, FIXED_FEATURES, WINE_ID, dtype="double")
 
 
@@ -248,6 +253,12 @@ def q_tree_shap_fixed(spark, sf_dir):
     return _round6(_fixed_shap(spark, sf_dir), {"expected_value", *FIXED_FEATURES})
 
 
+def q_tree_shap_sql(spark, sf_dir):
+    """The same shares by a join with the share table, without Python."""
+    out = shap_values_sql(*_fixed_model(spark, sf_dir), FIXED_FEATURES, WINE_ID)
+    return _round6(out, {"expected_value", *FIXED_FEATURES})
+
+
 def q_shap_summary(spark, sf_dir):
     s = shap_summary(_fixed_shap(spark, sf_dir), FIXED_FEATURES)
     q = F.transform("abs_quartiles", lambda x: F.round(x, 6)).alias("abs_quartiles")
@@ -273,6 +284,7 @@ QUERIES = {
     "score_batch": q_score_batch,
     "score_report": q_score_report,
     "tree_shap_fixed": q_tree_shap_fixed,
+    "tree_shap_sql": q_tree_shap_sql,
     "tree_shap_model": _checks("dt"),
     "tree_shap_forest": _checks("rf"),
     "tree_shap_boosted": _checks("gbt"),
@@ -363,6 +375,11 @@ _SCORE_REPORT = f"""WITH {TRIPS_SQL}, {ROUNDED_SQL}, {pickup_sql(None, CUT)}, {D
     LEFT JOIN pick p ON p.zip = r.pickup_zip AND p.ts = r.rounded_pickup_datetime
     LEFT JOIN dropf d ON d.zip = r.dropoff_zip AND d.ts = r.rounded_dropoff_datetime"""
 
+_FIXED_SHAP_SQL = f"""WITH {_FIXED}
+  SELECT l_orderkey, l_linenumber, round(expected_value, 6) AS expected_value,
+         round(l_extendedprice, 6) AS l_extendedprice, round(l_discount, 6) AS l_discount,
+         round(l_tax, 6) AS l_tax FROM phi"""
+
 SQL = {
     "score_report": _SCORE_REPORT,
     "split_hash": f"SELECT l_orderkey, l_linenumber, {_split_sql()} AS split FROM lineitem",
@@ -384,10 +401,8 @@ SQL = {
                round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
                round(1 - sum((y - p) * (y - p)) / NULLIF(var_pop(y) * count(*), 0), 9) AS r2
         FROM s GROUP BY l_returnflag, l_linestatus""",
-    "tree_shap_fixed": f"""WITH {_FIXED}
-        SELECT l_orderkey, l_linenumber, round(expected_value, 6) AS expected_value,
-               round(l_extendedprice, 6) AS l_extendedprice, round(l_discount, 6) AS l_discount,
-               round(l_tax, 6) AS l_tax FROM phi""",
+    "tree_shap_fixed": _FIXED_SHAP_SQL,
+    "tree_shap_sql": _FIXED_SHAP_SQL,
     "shap_summary": f"""WITH {_FIXED},
         long AS (SELECT 'l_extendedprice' AS feature, l_extendedprice AS phi FROM phi
                  UNION ALL SELECT 'l_discount', l_discount FROM phi
