@@ -64,18 +64,34 @@ def window_mean_count(df: DataFrame, key: str, ts: str, value: str | None,
         raise ValueError("method must be 'direct' or 'pane'")
     if length_s % slide_s:
         raise ValueError("pane method needs a window length that is a multiple of the slide")
-    fan_out = length_s // slide_s
-    panes = (
+    return windows_of_panes(panes(df, key, ts, value, slide), key, length, slide)
+
+
+def panes(df: DataFrame, key: str, ts: str, value: str | None, slide: str) -> DataFrame:
+    """Per (key, slide-sized pane) sums that add up: ``key, pane_end, s`` (sum of
+    ``value``), ``nv`` (rows with a value), ``n`` (rows)."""
+    val = F.col(value) if value else F.lit(None).cast("double")
+    return (
         df.where(F.col(ts).isNotNull())
         .groupBy(F.col(key), F.window(ts, slide).end.alias("pane_end"))
         .agg(F.sum(val).alias("s"), F.count(val).alias("nv"), F.count(F.lit(1)).alias("n"))
     )
-    # A pane [p, p+slide) lies in the windows ending p+slide, ..., p+length.
-    ends = F.explode(F.array(*[
-        F.timestamp_add("SECOND", F.lit(j * slide_s), F.col("pane_end")) for j in range(fan_out)
-    ]))
+
+
+def window_ends(pane_end: Column, length: str, slide: str) -> Column:
+    """Ends of the windows that contain a pane: a pane [p, p+slide) lies in the
+    windows ending p+slide, ..., p+length."""
+    slide_s = duration_seconds(slide)
+    return F.array(*[F.timestamp_add("SECOND", F.lit(j * slide_s), pane_end)
+                     for j in range(duration_seconds(length) // slide_s)])
+
+
+def windows_of_panes(found: DataFrame, key: str, length: str, slide: str) -> DataFrame:
+    """Windows from panes (several rows of a pane are added up); the columns of
+    :func:`window_mean_count`."""
+    ends = F.explode(window_ends(F.col("pane_end"), length, slide))
     return (
-        panes.select(F.col(key), ends.alias("window_end"), "s", "nv", "n")
+        found.select(F.col(key), ends.alias("window_end"), "s", "nv", "n")
         .groupBy(key, "window_end")
         .agg((F.sum("s") / F.nullif(F.sum("nv"), F.lit(0))).alias("mean_value"),
              F.sum("n").alias("n_rows"))
@@ -112,6 +128,11 @@ def pickup_features_fn(df: DataFrame, ts_column: str | None = None, start_date=N
     df = filter_df_by_ts(df, ts_column, start_date, end_date)
     end_type = dtype_of(df, time_col)
     agg = window_mean_count(df, key_col, time_col, value_col, "1 hour", "15 minutes", method)
+    return pickup_columns(agg, key_col, end_type)
+
+
+def pickup_columns(agg: DataFrame, key_col: str, end_type) -> DataFrame:
+    """Names and types of the pickup feature group."""
     return agg.select(
         F.col(key_col).alias("zip"),
         *_keyed(F.col("window_end"), end_type),

@@ -229,7 +229,9 @@ def _partition_filter(parts: Sequence[str], values: list[tuple]):
 
 def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merge",
                 validate: bool = True) -> None:
-    """Write rows into a feature table: ``merge`` (upsert by key) or ``overwrite``.
+    """Write rows into a feature table: ``merge`` (upsert by key), ``overwrite`` or
+    ``partitions`` (the rows replace all rows of the partitions they fall in; no
+    other partition is read or changed).
 
     ``validate=False`` skips the null/duplicate key check of the batch.
     """
@@ -240,14 +242,16 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
         raise FeatureTableError(f"columns not in {name}: {extra}")
     keys, parts = list(t.primary_keys), list(t.partition_columns)
     missing = [c for c in table_cols if c not in df.columns]
-    if mode == "overwrite":
+    if mode in ("overwrite", "partitions"):
         if missing:
-            raise FeatureTableError(f"overwrite needs every column; missing {missing}")
-        _replace(spark, name, df.select(*table_cols), parts, t.path, None,
-                 keys if validate else ())
+            raise FeatureTableError(f"{mode} needs every column; missing {missing}")
+        if mode == "partitions" and not parts:
+            raise FeatureTableError(f"{name} has no partition columns")
+        _replace(spark, name, df.select(*table_cols), parts, t.path,
+                 None if mode == "overwrite" else set(), keys if validate else ())
         return
     if mode != "merge":
-        raise FeatureTableError("mode must be 'merge' or 'overwrite'")
+        raise FeatureTableError("mode must be 'merge', 'overwrite' or 'partitions'")
     with staged(spark, df, name.replace(".", "_")) as batch:
         if validate:
             check_keys(batch, keys)
