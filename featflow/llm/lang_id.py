@@ -37,6 +37,9 @@ UNKNOWN = "und"
 GRAM = 4
 #: Most distinct languages that a filter is built for.
 MAX_LANGUAGES = 1024
+#: Most bytes of a filter.
+MAX_FILTER_BYTES = 128 << 20
+_SLOTS_PER_GRAM = 8
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 _LETTER = np.zeros(256, bool)
@@ -129,7 +132,7 @@ class LanguageFilter:
     def build(cls, owned: dict[str, np.ndarray], totals: dict[str, int]) -> LanguageFilter:
         languages = sorted(owned)
         n = max(1, sum(len(x) for x in owned.values()))
-        bits = max(10, int(np.ceil(np.log2(8 * n))))
+        bits = max(10, int(np.ceil(np.log2(_SLOTS_PER_GRAM * n))))
         planes = np.zeros((max(1, -(-len(languages) // 64)), 1 << bits), np.uint64)
         out = cls(languages, 0, planes)
         for l, name in enumerate(languages):
@@ -167,12 +170,21 @@ class LanguageFilter:
         return np.clip(out / np.maximum(count, 1)[:, None], 0, 1)
 
 
+def _most_grams(languages: int, max_bytes: int) -> int:
+    """N-grams that a filter of at most ``max_bytes`` can own."""
+    planes = -(-languages // 64)
+    slots = 1 << max(10, int(np.log2(max(1, max_bytes // (8 * planes)))))
+    return slots // _SLOTS_PER_GRAM
+
+
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-          min_rate: float = 5e-5) -> LanguageFilter:
+          min_rate: float = 5e-5, max_bytes: int = MAX_FILTER_BYTES) -> LanguageFilter:
     """Fit a filter on all labelled rows of ``docs``.
 
     Only n-grams above ``min_rate`` of their language reach the driver: at most
-    ``1 / min_rate`` per language.
+    ``1 / min_rate`` per language, and no more in all than ``max_bytes`` of filter
+    (but 1,024 slots) can own; where there are more, ``min_rate`` is doubled until
+    they fit.
     """
     from featflow.llm.common import stage
     counts = stage(docs.sparkSession, count_grams(docs, text_col, lang_col), "grams")
@@ -182,11 +194,23 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not totals:
         return LanguageFilter.build({}, {})
-    least = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, n * min_rate)])
-    owned: dict[str, list[int]] = {k: [] for k in totals}
-    for r in counts.where(F.col("n") >= least[F.col("lang")]).select("lang", "gram").collect():
-        owned[r["lang"]].append(r["gram"])
-    return LanguageFilter.build({k: np.array(v, np.int64) for k, v in owned.items()}, totals)
+    languages = sorted(totals)
+    least = F.create_map(*[F.lit(x) for k in languages for x in (k, totals[k] * min_rate)])
+    number = F.create_map(*[F.lit(x) for i, k in enumerate(languages) for x in (k, i)])
+    # How often min_rate can be doubled without losing the n-gram.
+    doublings = F.floor(F.log2(F.col("n") / least[F.col("lang")])).cast("int")
+    owned = counts.where(F.col("n") >= least[F.col("lang")]).select(
+        number[F.col("lang")].alias("lang"), "gram", doublings.alias("doublings"))
+    # At most log2(1 / min_rate) rows.
+    sizes = dict(owned.groupBy("doublings").count().collect())
+    level, left = 0, sum(sizes.values())
+    while left > _most_grams(len(languages), max_bytes):
+        level += 1
+        left = sum(n for d, n in sizes.items() if d >= level)
+    kept = owned.where(F.col("doublings") >= level) if level else owned
+    found = kept.select("lang", "gram").toArrow()
+    lang, gram = (found.column(c).to_numpy() for c in ("lang", "gram"))
+    return LanguageFilter.build({k: gram[lang == i] for i, k in enumerate(languages)}, totals)
 
 
 def _has_letter(text: str | None) -> bool:
@@ -197,7 +221,7 @@ def predict(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """``id``, ``lang_pred`` and ``score`` of every row."""
     spark = ready(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)  # bounded, see learn()
+    shared = spark.sparkContext.broadcast(model)  # at most max_bytes, see learn()
     src = id_and_text(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
