@@ -23,6 +23,11 @@ checked that every written partition is registered.  A partition is thus always
 complete, old or new, even if the driver dies half way.  Replaced files stay
 for readers that still scan them until :func:`vacuum` removes them.  An empty
 string as partition value is stored as null, as Spark's file layout does.
+
+A table that is looked up far more often than it is written can be clustered by
+its key (``bucket_count``): one sorted file per bucket of key hashes.  A
+sort-merge lookup then moves and sorts the base only, never the table.  Such a
+table has no partitions, and a merge rewrites it as a whole.
 When the session catalog can run ``MERGE INTO`` (a Delta table) a user can do
 that instead; we do not depend on it.
 """
@@ -45,6 +50,7 @@ _KEYS = _P + "primary_keys"
 _PARTS = _P + "partition_columns"
 _PART_OF_KEY = _P + "partition_of_key"
 _TIME_KEY = _P + "partition_time_key"
+_BUCKETS = _P + "bucket_count"
 _BASE = _P + "base_path"
 _TAG = _P + "tag."
 _VERSIONS = "_versions"
@@ -66,6 +72,7 @@ class FeatureTable:
     partition_of_key: bool = True
     tags: dict = field(default_factory=dict)
     partition_time_key: str | None = None
+    bucket_count: int = 0
 
 
 def _q(name: str) -> str:
@@ -109,7 +116,7 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
                  description: str = "", path: str | None = None,
                  partition_of_key: bool = True,
                  partition_time_key: str | None = None,
-                 validate: bool = True) -> FeatureTable:
+                 bucket_count: int = 0, validate: bool = True) -> FeatureTable:
     """Register a feature table; if ``df`` is given also write its rows.
 
     ``partition_of_key`` states that the partition columns are a function of
@@ -118,6 +125,11 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
     partitions holding the incoming keys.  ``partition_time_key`` names an INT
     epoch-seconds key column whose UTC month (``YYYY-MM``) is the partition
     value; lookups can then prune partitions to the base's key range.
+    ``bucket_count`` clusters a table without partitions by its key: choose it so
+    that a bucket's file is some 100 to 500 MB and lookups have enough tasks.
+    Reading a bucket's order needs ``spark.sql.legacy.bucketedTableScan.outputOrdering``
+    (:func:`featflow.session.cluster_conf` has it); without it lookups still move
+    nothing of the table, but sort it.
     ``validate=False`` skips the key check (a shuffle of the whole table) for
     rows that are unique by construction, e.g. a ``groupBy`` over the key.
     """
@@ -147,16 +159,23 @@ def create_table(spark: SparkSession, name: str, primary_keys: Sequence[str],
             raise FeatureTableError("partition_time_key must be a key column of a table "
                                     "with one partition column")
         props[_TIME_KEY] = partition_time_key
+    cluster_sql = ""
+    if bucket_count:
+        if parts:
+            raise FeatureTableError("a table has buckets or partition columns, not both")
+        props[_BUCKETS] = str(int(bucket_count))
+        by = ", ".join(f"`{k}`" for k in keys)
+        cluster_sql = f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {int(bucket_count)} BUCKETS"
     prop_sql = ", ".join(f"{_lit(k)}={_lit(v)}" for k, v in props.items())
     part_sql = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
     spark.sql(
-        f"CREATE TABLE {_q(name)} ({cols}) USING parquet {part_sql} "
+        f"CREATE TABLE {_q(name)} ({cols}) USING parquet {part_sql} {cluster_sql} "
         f"LOCATION {_lit(location)} COMMENT {_lit(description)} TBLPROPERTIES ({prop_sql})"
     )
     if df is not None:
         try:
             _replace(spark, name, df.select(*names), parts, location, set(),
-                     keys if validate else ())
+                     keys if validate else (), (bucket_count, keys))
         except FeatureTableError:
             drop_table(spark, name)
             delete_path(spark, location)
@@ -187,6 +206,7 @@ def get_table(spark: SparkSession, name: str) -> FeatureTable:
         partition_of_key=props.get(_PART_OF_KEY, "true") == "true",
         tags={k[len(_TAG):]: v for k, v in props.items() if k.startswith(_TAG)},
         partition_time_key=props.get(_TIME_KEY),
+        bucket_count=int(props.get(_BUCKETS, 0)),
     )
 
 
@@ -248,7 +268,8 @@ def write_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "merg
         if mode == "partitions" and not parts:
             raise FeatureTableError(f"{name} has no partition columns")
         _replace(spark, name, df.select(*table_cols), parts, t.path,
-                 None if mode == "overwrite" else set(), keys if validate else ())
+                 None if mode == "overwrite" else set(), keys if validate else (),
+                 (t.bucket_count, keys))
         return
     if mode != "merge":
         raise FeatureTableError("mode must be 'merge', 'overwrite' or 'partitions'")
@@ -282,7 +303,7 @@ def _merge(spark: SparkSession, t: FeatureTable, batch: DataFrame, table_cols: l
     incoming = incoming.select(*table_cols)
     keep = existing.select(*table_cols).join(incoming.select(*keys), keys, "left_anti")
     _replace(spark, t.name, keep.select(*table_cols).unionByName(incoming), parts, t.path,
-             replaced, ())
+             replaced, (), (t.bucket_count, keys))
 
 
 def _folder(spark: SparkSession, parts: Sequence[str], values: Sequence[str | None]) -> str:
@@ -323,19 +344,34 @@ def _partitions(spark: SparkSession, name: str) -> set[str]:
     return {r[0] for r in spark.sql(f"SHOW PARTITIONS {_q(name)}").collect()}
 
 
+def _write_buckets(spark: SparkSession, scratch: str, frame: DataFrame, path: str, count: int,
+                   keys: Sequence[str]) -> None:
+    """One file per bucket, sorted by key.  Spark writes buckets to catalog tables
+    only; ``scratch`` names an external one, which leaves its files when dropped."""
+    # Hashed as buckets are, so every task holds just one bucket.
+    frame.repartition(count, *keys).write.format("parquet").bucketBy(count, *keys) \
+        .sortBy(*keys).option("path", path).saveAsTable(scratch)
+    drop_table(spark, scratch)
+
+
 def _replace(spark: SparkSession, name: str, frame: DataFrame, parts: Sequence[str], base: str,
-             replaced: set[str] | None, check: Sequence[str]) -> None:
+             replaced: set[str] | None, check: Sequence[str],
+             buckets: tuple[int, Sequence[str]]) -> None:
     """Write ``frame`` to a new version folder and switch the table to it.
 
     ``replaced`` names the partitions whose present rows are superseded by
     ``frame`` (None: all); those it has no rows for are dropped.  ``check``:
-    key columns to validate on the written files before the switch.
+    key columns to validate on the written files before the switch.  ``buckets``:
+    their number (0: none) and the columns they are made and sorted by.
     """
     root = f"{base}/{_VERSIONS}/{uuid.uuid4().hex}"
-    writer = frame.write.format("parquet")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.save(root)
+    if buckets[0]:
+        _write_buckets(spark, f"{name}_{uuid.uuid4().hex[:12]}", frame, root, *buckets)
+    else:
+        writer = frame.write.format("parquet")
+        if parts:
+            writer = writer.partitionBy(*parts)
+        writer.save(root)
     if check:
         check_keys(spark.read.schema(frame.schema).parquet(root), check)
     if not parts:
