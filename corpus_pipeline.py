@@ -10,6 +10,11 @@ Each stage is a function of (spark, docs, sf_dir); its result is written as
 Parquet to the cluster's shared folder and read again as the next one's input,
 so a lost executor never reaches back beyond its stage.  All but the last
 return the columns of their input.
+
+Defined results: null and empty texts fail the quality rules (too few words);
+repeated rows are copies, of which one stays; texts are read whole, however long;
+an empty table gives an empty table; further columns of the documents pass
+through to the last stage, whatever their names.
 """
 
 from __future__ import annotations

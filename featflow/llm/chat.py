@@ -25,7 +25,9 @@ stream over the sorted turns with constant memory.
 
 Defined results: a null text or role is empty; equal turns of a conversation
 are ordered by role, then text; a null conversation id is a conversation;
-repeated rows are repeated turns; an empty table gives an empty table.
+repeated rows are repeated turns; an empty table gives an empty table; a text of
+any length is one turn, encoded whole; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations

@@ -19,7 +19,9 @@ row per task.
 Defined results: a null or empty text has no words and fingerprint zero; fewer
 words than a shingle make one shingle; repeated rows are all returned; rows
 with a null id get a class like any other (the class id is the smallest
-non-null id, null if there is none).
+non-null id, null if there is none); texts are read whole, however long; an empty
+table gives an empty table; other columns are ignored, whatever their names
+(``keep_one_per_class`` returns them as they are).
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ next to each other and collapse) and are expanded at the end.
 
 Defined results: null texts are empty; texts of fewer than 50 words have no
 span; white space does not count; repeated rows are copies of each other; an
-empty table gives none.
+empty table gives none; texts are read whole, however long; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ Words are counted once per worker (bounded memory) and looked up again, so the
 cost follows distinct words.
 
 Defined results: a null or empty text has no tokens; repeated rows are all
-returned; an empty table gives an empty table.
+returned; an empty table gives an empty table; texts are read whole, however long;
+other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
