@@ -56,15 +56,6 @@ class FeatureLookup:
         return FeatureLookup(d["table_name"], d["feature_names"], d["lookup_key"])
 
 
-def size_estimate(df: DataFrame) -> int | None:
-    """Optimizer's size estimate (bytes) of a plan, or None when unavailable."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # Spark Connect or a plan without stats
-        return None
-
-
 def _month(key) -> Column:
     """``YYYY-MM`` (UTC) of an epoch-seconds column, whatever the session zone."""
     # Keys no 32-bit time can equal have no month, and no match.

@@ -15,6 +15,7 @@ import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
@@ -121,11 +122,9 @@ def spread(df: DataFrame) -> DataFrame:
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < cores:
-            return df.repartition(cores)
-    except Exception:  # Spark Connect: keep the layout
-        pass
-    return df
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect: keep the layout
+        return df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
