@@ -331,7 +331,10 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str, rounds: int
 
 def bag_weight(keys: Sequence[str], seed: int, tree: int) -> Column:
     """Poisson(1) weight of a row in a tree, from its keys' hash."""
-    u = hash_fraction(keys, seed * 1000 + tree)
+    return _poisson(hash_fraction(keys, seed * 1000 + tree))
+
+
+def _poisson(u: Column) -> Column:
     total = F.lit(0)
     for p in POISSON:
         total = total + F.when(u >= p, 1).otherwise(0)
@@ -351,7 +354,10 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, keys: Sequenc
                edges: Sequence[Sequence[float]] | None = None, scale: float | None = None,
                parallel: int = 4) -> HistModel:
     """Random forest; ``keys`` identify a row and decide its bagging weights.
-    ``parallel`` trees are grown side by side (as Spark jobs)."""
+
+    ``parallel`` trees at a time are prepared in one pass over the rows, which
+    adds up rows of equal bins, and grown side by side (as Spark jobs).
+    """
     from multiprocessing.pool import ThreadPool
     features = list(features)
     rows, edges = _binned(df, features, label, edges, bins, keys)
@@ -360,21 +366,45 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, keys: Sequenc
         names = [f"k{i}" for i in range(len(keys))]
         if rows.frame.isEmpty():
             raise ValueError("no rows to fit")
-
-        def one(t: int) -> Node:
-            w = bag_weight(names, seed, t) if bagging else F.lit(1).cast("long")
-            return _finish(grow(
-                rows.frame, _fixed(F.col("y"), scale) * w, w, edges, 1 << depth, depth, min_leaf, 0.0,
-                lambda heap: node_features(seed, t, heap, len(features), subset or len(features))),
-                scale, 0.0)
-
-        with ThreadPool(parallel) as pool:
-            grown = pool.map(one, range(trees))
+        grown = []
+        for first in range(0, trees, parallel):
+            some = range(first, min(trees, first + parallel))
+            cells = _Rows(_bagged(rows.frame, len(features), names, seed, some, bagging, scale))
+
+            def one(t: int) -> Node:
+                return _finish(grow(
+                    cells.frame, F.col(f"g{t}"), F.col(f"w{t}"), edges, 1 << depth, depth, min_leaf, 0.0,
+                    lambda heap: node_features(seed, t, heap, len(features), subset or len(features))),
+                    scale, 0.0)
+
+            try:
+                with ThreadPool(parallel) as pool:
+                    grown += pool.map(one, some)
+            finally:
+                cells.close()
         return HistModel(features, 0.0, grown, [1.0 / trees] * trees)
     finally:
         rows.close()
 
 
+def _bagged(rows: DataFrame, features: int, keys: Sequence[str], seed: int, trees: Sequence[int],
+            bagging: bool, scale: float) -> DataFrame:
+    """Per combination of bins and per tree the sums of weights and weighted labels.
+
+    A row's key is hashed once per tree; growing a tree then reads the
+    combinations, not the rows.
+    """
+    bins = [f"b{i}" for i in range(features)]
+    # Kept as columns of their own: a weight compares its hash ten times.
+    hashed = rows.select(*bins, _fixed(F.col("y"), scale).alias("y"), *[
+        hash_fraction(keys, seed * 1000 + t).alias(f"u{t}") for t in trees if bagging])
+    weighted = hashed.select(*bins, "y", *[
+        (_poisson(F.col(f"u{t}")) if bagging else F.lit(1).cast("long")).alias(f"w{t}") for t in trees])
+    return weighted.groupBy(*bins).agg(*[
+        x for t in trees for x in (F.sum(f"w{t}").alias(f"w{t}"),
+                                   F.sum(F.col("y") * F.col(f"w{t}")).alias(f"g{t}"))])
+
+
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, depth: int = 5, bins: int = 32,
              min_leaf: int = 1, edges: Sequence[Sequence[float]] | None = None,
              scale: float | None = None) -> HistModel:

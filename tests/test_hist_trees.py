@@ -193,3 +193,20 @@ def test_random_split_parts_the_rows(spark):
     a, b = {r.id for r in train.collect()}, {r.id for r in test.collect()}
     assert not a & b and len(a) + len(b) == 20_000 and abs(len(a) / 20_000 - 0.7) < 0.02
     assert a == {r.id for r in again[0].collect()}
+
+
+def test_forest_trees_grow_on_combinations_of_bins(spark, monkeypatch):
+    """Keys are hashed in one pass per group of trees; growing reads sums per
+    combination of bins, however many rows there are."""
+    seen, plain = [], H.grow
+    monkeypatch.setattr(H, "grow", lambda rows, *a: (seen.append(rows.count()), plain(rows, *a))[1])
+    data = rows(1500)
+    model = H.fit_forest(frame(spark, data), NAMES, "y", ["id"], 5, 3, 2, edges=EDGES, scale=1024.0,
+                         parallel=2)
+    assert len(seen) == 5 and max(seen) <= 9 * 2 * 4
+    got = spark.createDataFrame(data, "id long, a double, b double, c double, y double").agg(
+        *[F.sum(H.bag_weight(["id"], 42, t)).alias(str(t)) for t in range(5)],
+        *[F.sum(H.bag_weight(["id"], 42, t) * F.floor(F.col("y") * 1024 + 0.5)).alias(f"g{t}")
+          for t in range(5)]).first()
+    assert [t.weight for t in model.trees] == list(got)[:5]
+    assert [t.grad for t in model.trees] == list(got)[5:]
