@@ -151,3 +151,57 @@ def test_shap_runs_when_workers_do_not_see_the_repo(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=600)
     assert "ROWS 6000" in out.stdout, out.stderr[-2000:]
+
+
+def test_rows_of_a_cell_are_walked_once(monkeypatch):
+    """A few-feature model: each cell of its cuts is explained once, however many rows."""
+    from featflow.operators.treeshap import Cells
+
+    rng = np.random.default_rng(5)
+    ens = Ensemble([_random_tree(rng, 4, 3, 0.9) for _ in range(3)], [0.2, 0.3, 0.5], list("abc"))
+    X = rng.normal(size=(4000, 3))
+    X[:40, 0] = ens.trees[0].threshold[ens.trees[0].feature == 0][0]  # on a cut
+    X[7, 1], X[8, 2] = np.inf, -np.inf
+    phi, prediction = ens.shap(X), ens.predict(X)
+    walked = []
+    plain = Tree.add_shap
+    monkeypatch.setattr(Tree, "add_shap", lambda t, x, w, out: (walked.append(len(x)), plain(t, x, w, out)))
+    cells = Cells(ens, 3)
+    for part in (X[:1000], X[:1000], X[1000:], X, X[:0]):
+        got, p = cells.explain(part)
+        assert len(got) == len(p) == len(part)
+    assert sum(walked) / 3 <= cells.count < 4000
+    assert np.allclose(got, phi[:0]) and np.allclose(cells.explain(X)[0], phi, rtol=0, atol=1e-12)
+    assert np.array_equal(cells.explain(X)[1], prediction)
+    # A model with too many cells to remember them walks each cell once per batch.
+    monkeypatch.setattr("featflow.operators.treeshap._KEPT_CELLS", 0)
+    walked.clear()
+    got, p = Cells(ens, 3).explain(np.concatenate([X, X]))
+    assert sum(walked) / 3 <= cells.count
+    assert np.allclose(got, np.concatenate([phi, phi]), rtol=0, atol=1e-12)
+    assert np.array_equal(p, np.concatenate([prediction, prediction]))
+
+
+def test_query_walks_cells_not_rows(spark, tmp_path):
+    """Every row gets the walk's shares; a task walks the model's cells, not its rows."""
+    from featflow.operators import treeshap as T
+
+    rng = np.random.default_rng(6)
+    ens = Ensemble([_random_tree(rng, 3, 2, 1.0)], [1.0], ["a", "b"])
+    X = rng.normal(size=(3000, 2))
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], "id long, a double, b double")
+    log = str(tmp_path)
+
+    class Counted(Ensemble):
+        def shap(self, x):
+            import uuid
+            with open(f"{log}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(len(x)))
+            return super().shap(x)
+    out = T.shap_values(df.repartition(2), Counted(**vars(ens)), ["a", "b"], ["id"], dtype="double",
+                        prefix="phi_", prediction_col="p").collect()
+    want, p = ens.shap(X), ens.predict(X)
+    assert len(out) == 3000
+    for r in out:
+        assert np.allclose([r["phi_a"], r["phi_b"]], want[r["id"]], atol=1e-12) and r["p"] == p[r["id"]]
+    assert 0 < sum(int(f.read_text()) for f in tmp_path.iterdir()) < 1000
